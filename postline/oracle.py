@@ -179,7 +179,7 @@ landing AS (
     (NOT {_null_like('job_skills')}) AND skills_list IS NULL AS job_skills_invalid,
     {_null_like('job_type_skills')} AS job_type_skills_missing,
     (NOT {_null_like('job_type_skills')}) AND type_entries IS NULL AS job_type_skills_invalid,
-    TIMESTAMP '2024-01-01 00:00:00' + to_hours(batch * 6) AS ingested_at
+    TIMESTAMP '2024-01-01 00:00:00' + to_hours(batch * 6) AS ingested_at, batch
   FROM cells
 ),
 keyed AS (
@@ -308,3 +308,135 @@ job_skill AS (
 
 def q(body: str) -> str:
     return BASE + body
+
+
+# relation name in the models → CTE name above
+_REL = {"stg_raw_jobs": "stg", "stg_job_skills_exploded": "flat", "stg_job_type_skills_exploded": "grouped"}
+
+
+def _check_sql(ch) -> str:
+    rel = _REL.get(ch.relation, ch.relation)
+    head = f"SELECT '{ch.name}' AS check_name, '{ch.relation}' AS relation, '{ch.kind}' AS kind, "
+    if ch.kind == "not_null":
+        return head + f"count(*) AS failures FROM {rel} WHERE {ch.columns[0]} IS NULL"
+    if ch.kind == "unique":
+        c = ch.columns[0]
+        return head + (f"count(*) AS failures FROM (SELECT {c} FROM {rel} WHERE {c} IS NOT NULL "
+                       f"GROUP BY {c} HAVING count(*) > 1)")
+    if ch.kind == "relationships":
+        c, parent, pf = ch.columns[0], _REL.get(ch.parent, ch.parent), ch.parent_field
+        extra = f" AND ({ch.where})" if ch.where else ""
+        return head + (f"CAST(coalesce(sum(n), 0) AS BIGINT) AS failures FROM (SELECT {c} AS k, count(*) AS n "
+                       f"FROM {rel} WHERE {c} IS NOT NULL{extra} GROUP BY {c}) x "
+                       f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pf} = x.k)")
+    if ch.kind == "composite_key_unique":
+        cols = ", ".join(ch.columns)
+        return head + f"count(*) AS failures FROM (SELECT {cols} FROM {rel} GROUP BY {cols} HAVING count(*) > 1)"
+    if ch.kind == "dates_not_future":
+        c = ch.columns[0]
+        return head + (f"count(*) AS failures FROM (SELECT count(*) FROM {rel} WHERE {c} IS NOT NULL "
+                       f"AND {c} > CAST(current_timestamp AS TIMESTAMP) HAVING count(*) > 0)")
+    if ch.name == "job_posting_matches_staging":
+        return head + ("count(*) AS failures FROM stg s WHERE nullif(trim(s.company_name), '') IS NOT NULL "
+                       "AND NOT EXISTS (SELECT 1 FROM job_posting p WHERE p.business_key = s.business_key)")
+    if ch.name == "job_skill_unique_combination":
+        return head + ("count(*) AS failures FROM (SELECT job_id, skill_id, skill_cat_id FROM job_skill "
+                       "GROUP BY job_id, skill_id, skill_cat_id HAVING count(*) > 1)")
+    raise ValueError(ch.name)
+
+
+def quality_report_sql(checks) -> str:
+    return BASE + "\nUNION ALL\n".join(_check_sql(ch) for ch in checks)
+
+
+_LINES = "CAST(len(string_split(text, chr(10))) AS BIGINT)"
+_PATH = "'documents/' || source || '/' || CAST(doc_id AS VARCHAR) || '.txt'"
+
+LEDGER_CTES = f"""
+WITH files AS (
+  SELECT {_PATH} AS file_path, md5(text) AS file_md5, source AS source_name, {_LINES} AS total_rows
+  FROM documents
+),
+prior_rows AS (
+  SELECT md5(d.text) AS file_md5, d.doc_id, {_PATH.replace("source", "d.source").replace("CAST(doc_id", "CAST(d.doc_id")} AS file_path, d.source AS source_name,
+    CASE WHEN l.quality = 1 THEN 'completed' ELSE 'failed' END AS status, {_LINES.replace("text", "d.text")} AS lines,
+    row_number() OVER (PARTITION BY md5(d.text) ORDER BY d.doc_id) AS rn
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+),
+prior AS (
+  SELECT file_md5, file_path, source_name, status, CAST(NULL AS BIGINT) AS row_cap,
+    lines AS total_rows, CAST(CASE WHEN status = 'completed' THEN lines ELSE 0 END AS BIGINT) AS inserted_rows,
+    CAST(0 AS BIGINT) AS parse_warnings, CAST(0 AS BIGINT) AS job_skills_missing,
+    CAST(0 AS BIGINT) AS job_skills_invalid, CAST(0 AS BIGINT) AS job_type_skills_missing,
+    CAST(0 AS BIGINT) AS job_type_skills_invalid,
+    TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id) AS started_at,
+    CASE WHEN status = 'completed' THEN TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id) + to_seconds(30) END
+      AS finished_at
+  FROM prior_rows WHERE rn = 1
+),
+one_per_hash AS (
+  SELECT file_md5, file_path, source_name, total_rows FROM (
+    SELECT *, row_number() OVER (PARTITION BY file_md5 ORDER BY file_path) AS rn FROM files) WHERE rn = 1
+),
+pending AS (
+  SELECT * FROM one_per_hash o
+  WHERE NOT EXISTS (SELECT 1 FROM prior p WHERE p.file_md5 = o.file_md5 AND p.status = 'completed'
+                    AND p.row_cap IS NULL)
+),
+entries AS (
+  SELECT file_md5, file_path, source_name, 'completed' AS status, CAST(NULL AS BIGINT) AS row_cap,
+    total_rows, total_rows AS inserted_rows, CAST(0 AS BIGINT) AS parse_warnings,
+    CAST(0 AS BIGINT) AS job_skills_missing, CAST(0 AS BIGINT) AS job_skills_invalid,
+    CAST(0 AS BIGINT) AS job_type_skills_missing, CAST(0 AS BIGINT) AS job_type_skills_invalid,
+    {RUN_TS_SQL} AS started_at, {RUN_TS_SQL} AS finished_at
+  FROM pending
+),
+upserted AS (
+  SELECT coalesce(o.file_md5, n.file_md5) AS file_md5,
+    coalesce(o.file_path, n.file_path) AS file_path,
+    coalesce(o.source_name, n.source_name) AS source_name,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.status ELSE o.status END AS status,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.row_cap ELSE o.row_cap END AS row_cap,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.total_rows ELSE o.total_rows END AS total_rows,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.inserted_rows ELSE o.inserted_rows END AS inserted_rows,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.parse_warnings ELSE o.parse_warnings END AS parse_warnings,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.job_skills_missing ELSE o.job_skills_missing END AS job_skills_missing,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.job_skills_invalid ELSE o.job_skills_invalid END AS job_skills_invalid,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.job_type_skills_missing ELSE o.job_type_skills_missing END
+      AS job_type_skills_missing,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.job_type_skills_invalid ELSE o.job_type_skills_invalid END
+      AS job_type_skills_invalid,
+    coalesce(o.started_at, n.started_at) AS started_at,
+    CASE WHEN n.file_md5 IS NOT NULL THEN n.finished_at ELSE o.finished_at END AS finished_at
+  FROM prior o FULL OUTER JOIN entries n ON o.file_md5 = n.file_md5
+)
+"""
+
+_POSTED = "try_strptime(posted_date, '%Y-%m-%d %H:%M:%S')"
+_FLAG_KEY = ("CAST((CASE WHEN work_from_home IS NULL THEN 2 WHEN work_from_home THEN 1 ELSE 0 END)"
+             " + 3 * (CASE WHEN no_degree_mention IS NULL THEN 2 WHEN no_degree_mention THEN 1 ELSE 0 END)"
+             " + 9 * (CASE WHEN health_insurance IS NULL THEN 2 WHEN health_insurance THEN 1 ELSE 0 END) AS INTEGER)")
+
+STAR_FACT = f"""
+SELECT p.job_id, p.company_id, p.country_id, p.platform_id, p.schedule_type_id, p.rate_type_id, p.title_cat_id,
+  CAST(year({_POSTED}) * 10000 + month({_POSTED}) * 100 + day({_POSTED}) AS INTEGER) AS date_key,
+  {_FLAG_KEY} AS job_flags_key, 1 AS job_count, p.salary_year_avg, p.salary_hour_avg,
+  coalesce(m.skill_count, 0) AS skill_count, coalesce(m.distinct_skill_count, 0) AS distinct_skill_count
+FROM job_posting p LEFT JOIN (
+  SELECT job_id, count(*) AS skill_count, count(DISTINCT skill_id) AS distinct_skill_count
+  FROM job_skill GROUP BY job_id) m ON m.job_id = p.job_id"""
+
+STAR_DIM_DATE = f"""
+SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS date,
+  year(d) AS year, quarter(d) AS quarter, month(d) AS month, day(d) AS day,
+  isodow(d) AS iso_day_of_week, monthname(d) AS month_name
+FROM (SELECT DISTINCT CAST({_POSTED} AS DATE) AS d FROM job_posting) WHERE d IS NOT NULL"""
+
+STAR_DIM_FLAGS = f"""
+SELECT {_FLAG_KEY} AS job_flags_key, work_from_home, no_degree_mention, health_insurance,
+  CASE WHEN work_from_home IS NULL THEN 'unknown' WHEN work_from_home THEN 'remote' ELSE 'on-site' END AS remote_label,
+  CASE WHEN no_degree_mention IS NULL THEN 'unknown' WHEN no_degree_mention THEN 'no degree mentioned'
+       ELSE 'degree mentioned' END AS degree_label,
+  CASE WHEN health_insurance IS NULL THEN 'unknown' WHEN health_insurance THEN 'health insurance'
+       ELSE 'no health insurance' END AS benefits_label
+FROM (SELECT DISTINCT work_from_home, no_degree_mention, health_insurance FROM job_posting)"""

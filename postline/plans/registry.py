@@ -13,10 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from datetime import datetime
+
 from postline import oracle
 from postline.functions.columns import map_text, sorted_text
 from postline.operators import bridge, dedup, dimensions, nested
-from postline.plans import models
+from postline.operators import quality
+from postline.operators.normalise import normalise_postings
+from postline.plans import ingest, doc_ledger, models, star
+from postline.sources import ledger
+from postline.sources.driver_tables import postings_source
 from postline.schemas import BOOL_COLUMNS, DECIMAL_COLUMNS, TEXT_COLUMNS
 from postline.sources.driver_tables import read_table
 
@@ -178,8 +184,237 @@ def job_skill_joined_q(spark, sf_dir):
                                    m["skill_category"], m["job_posting"], models.RUN_TS)
 
 
-def sorted_dimension(spark, sf_dir):
-    return dimensions.sorted_by(_models(spark, sf_dir)["skill"], "skill_name")
+# --- ingest statistics: S9, S10 (each load batch is one source file) --------
+
+@register("ingest_stats", oracle.q("""
+SELECT batch,
+  count(*) AS total_rows, count(*) AS inserted_rows,
+  CAST(sum(CAST(job_skills_invalid AS INTEGER)) + sum(CAST(job_type_skills_invalid AS INTEGER)) AS BIGINT) AS parse_warnings,
+  CAST(sum(CAST(job_skills_missing AS INTEGER)) AS BIGINT) AS job_skills_missing,
+  CAST(sum(CAST(job_skills_invalid AS INTEGER)) AS BIGINT) AS job_skills_invalid,
+  CAST(sum(CAST(job_type_skills_missing AS INTEGER)) AS BIGINT) AS job_type_skills_missing,
+  CAST(sum(CAST(job_type_skills_invalid AS INTEGER)) AS BIGINT) AS job_type_skills_invalid
+FROM landing GROUP BY batch"""))
+def ingest_stats_q(spark, sf_dir):
+    src = postings_source(spark, sf_dir)
+    typed = normalise_postings(src, keep=["batch"], profile=True)
+    return ingest.ingest_stats(typed, by=["batch"])
+
+
+# --- quality: Q1–Q8 ----------------------------------------------------------
+
+def _tables(spark, sf_dir):
+    return _models(spark, sf_dir)
+
+
+@register("quality_report", oracle.quality_report_sql(quality.model_checks()))
+def quality_report_q(spark, sf_dir):
+    return quality.QualitySuite().report(_tables(spark, sf_dir))
+
+
+@register("q_unique_offenders", oracle.q("""
+SELECT skill_assignment_id, count(*) AS n_records FROM flat
+WHERE skill_assignment_id IS NOT NULL GROUP BY skill_assignment_id HAVING count(*) > 1"""))
+def q_unique_offenders(spark, sf_dir):
+    return quality.unique(_tables(spark, sf_dir)["stg_job_skills_exploded"], "skill_assignment_id")
+
+
+@register("q_not_null_offenders", oracle.q(
+    "SELECT job_id, title_cat_id, rate_type_id FROM job_posting WHERE rate_type_id IS NULL"))
+def q_not_null_offenders(spark, sf_dir):
+    posting = _tables(spark, sf_dir)["job_posting"]
+    return quality.not_null(posting, "rate_type_id").select("job_id", "title_cat_id", "rate_type_id")
+
+
+@register("q_orphans", oracle.q("""
+SELECT p.platform_id, count(*) AS n_records FROM job_posting p
+WHERE p.platform_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM platform d WHERE d.platform_id = p.platform_id)
+GROUP BY p.platform_id"""))
+def q_orphans(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return quality.relationships(t["job_posting"], "platform_id", t["platform"], "platform_id")
+
+
+@register("q_orphans_lineitem_part", """
+SELECT l_partkey, count(*) AS n_records FROM lineitem l
+WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)
+GROUP BY l_partkey""")
+def q_orphans_lineitem_part(spark, sf_dir):
+    return quality.relationships(read_table(spark, sf_dir, "lineitem"), "l_partkey",
+                                 read_table(spark, sf_dir, "part"), "p_partkey")
+
+
+@register("q_composite_key", oracle.q("""
+SELECT job_id, skill_id, skill_cat_id, count(*) AS duplicate_count FROM job_skill
+GROUP BY job_id, skill_id, skill_cat_id HAVING count(*) > 1"""))
+def q_composite_key(spark, sf_dir):
+    return quality.composite_key_unique(_tables(spark, sf_dir)["job_skill"], ["job_id", "skill_id", "skill_cat_id"])
+
+
+@register("q_composite_key_raw", """
+SELECT l_orderkey, l_linenumber, count(*) AS duplicate_count FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_composite_key_raw(spark, sf_dir):
+    return quality.composite_key_unique(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("q_dates_not_future", oracle.q(
+    "SELECT count(*) AS future_dates FROM stg WHERE ingested_at IS NOT NULL AND ingested_at > "
+    + oracle.RUN_TS_SQL + " HAVING count(*) > 0"))
+def q_dates_not_future(spark, sf_dir):
+    return quality.dates_not_future(_tables(spark, sf_dir)["stg_raw_jobs"], "ingested_at", models.RUN_TS)
+
+
+@register("q_dates_not_future_orders", """
+SELECT count(*) AS future_dates FROM orders WHERE o_orderdate IS NOT NULL AND o_orderdate > TIMESTAMP '1998-01-01 00:00:00'
+HAVING count(*) > 0""")
+def q_dates_not_future_orders(spark, sf_dir):
+    return quality.dates_not_future(read_table(spark, sf_dir, "orders"), "o_orderdate", datetime(1998, 1, 1))
+
+
+@register("q_posting_matches_staging", oracle.q("""
+SELECT s.business_key FROM stg s WHERE nullif(trim(s.company_name), '') IS NOT NULL
+AND NOT EXISTS (SELECT 1 FROM job_posting p WHERE p.business_key = s.business_key)"""))
+def q_posting_matches_staging(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return quality.posting_matches_staging(t["stg_raw_jobs"], t["job_posting"])
+
+
+# --- ledger over document "files": S3, S4, S7, S8, O2, J10 ------------------
+
+@register("files_fingerprint", oracle.LEDGER_CTES + "SELECT file_path, file_md5, source_name, total_rows FROM files")
+def files_fingerprint_q(spark, sf_dir):
+    return doc_ledger.document_files(spark, sf_dir)
+
+
+@register("ledger_pending", oracle.LEDGER_CTES + "SELECT file_md5, file_path, source_name FROM pending")
+def ledger_pending_q(spark, sf_dir):
+    files_ = doc_ledger.document_files(spark, sf_dir)
+    prior = doc_ledger.prior_ledger(spark, sf_dir)
+    return ledger.pending_files(files_, prior).select("file_md5", "file_path", "source_name")
+
+
+@register("ledger_already_loaded", oracle.LEDGER_CTES + """
+SELECT f.file_path, f.file_md5 FROM files f WHERE EXISTS
+  (SELECT 1 FROM prior p WHERE p.file_md5 = f.file_md5 AND p.status = 'completed')""")
+def ledger_already_loaded_q(spark, sf_dir):
+    files_ = doc_ledger.document_files(spark, sf_dir)
+    return ledger.already_loaded(files_, doc_ledger.prior_ledger(spark, sf_dir)).select("file_path", "file_md5")
+
+
+@register("ledger_upsert", oracle.LEDGER_CTES + "SELECT * FROM upserted")
+def ledger_upsert_q(spark, sf_dir):
+    return doc_ledger.upserted(spark, sf_dir)
+
+
+@register("ledger_latest", oracle.LEDGER_CTES
+          + "SELECT * FROM upserted ORDER BY finished_at DESC NULLS FIRST, file_md5 ASC LIMIT 5")
+def ledger_latest_q(spark, sf_dir):
+    return ledger.latest_runs(doc_ledger.upserted(spark, sf_dir), 5)
+
+
+@register("ledger_invalid_status", oracle.LEDGER_CTES
+          + "SELECT * FROM upserted WHERE status IS NULL OR status NOT IN ('completed', 'skipped', 'failed')")
+def ledger_invalid_status_q(spark, sf_dir):
+    return ledger.invalid_status(doc_ledger.upserted(spark, sf_dir))
+
+
+# --- star: R1–R11 ------------------------------------------------------------
+
+@register("fact_job_posting", oracle.q(oracle.STAR_FACT))
+def fact_job_posting_q(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    return star.fact_job_posting(m["job_posting"], m["job_skill"])
+
+
+@register("fact_job_posting_daily", oracle.q("""
+SELECT md5(business_key) AS job_id, CAST(ingested_at AS DATE) AS ingestion_date, count(*) AS records_seen
+FROM keyed GROUP BY 1, 2"""))
+def fact_job_posting_daily_q(spark, sf_dir):
+    return star.fact_job_posting_daily(dedup.with_business_key(_raw(spark, sf_dir)))
+
+
+@register("dim_date", oracle.q(oracle.STAR_DIM_DATE))
+def dim_date_q(spark, sf_dir):
+    return star.dim_date(_models(spark, sf_dir)["job_posting"])
+
+
+@register("dim_job_flags", oracle.q(oracle.STAR_DIM_FLAGS))
+def dim_job_flags_q(spark, sf_dir):
+    return star.dim_job_flags(_models(spark, sf_dir)["job_posting"])
+
+
+@register("skill_measures", oracle.q("""
+SELECT job_id, count(*) AS skill_count, count(DISTINCT skill_id) AS distinct_skill_count
+FROM job_skill GROUP BY job_id"""))
+def skill_measures_q(spark, sf_dir):
+    return star.skill_measures(_models(spark, sf_dir)["job_skill"])
+
+
+@register("bridge_skill_weight", oracle.q("""
+SELECT job_id, skill_id, 1.0 / count(*) OVER (PARTITION BY job_id) AS weight
+FROM (SELECT DISTINCT job_id, skill_id FROM job_skill)"""))
+def bridge_skill_weight_q(spark, sf_dir):
+    return star.bridge_skill_weight(_models(spark, sf_dir)["job_skill"])
+
+
+@register("jobs_per_month", oracle.q("""
+SELECT c.company_name, k.month, k.job_count FROM (
+  SELECT company_id, date_trunc('month', try_strptime(posted_date, '%Y-%m-%d %H:%M:%S')) AS month,
+    count(*) AS job_count
+  FROM job_posting GROUP BY 1, 2) k LEFT JOIN company c ON c.company_id = k.company_id"""))
+def jobs_per_month_q(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    return star.jobs_per_month(m["job_posting"], m["company"])
+
+
+@register("top_skills_by_title", oracle.q("""
+SELECT t.job_title_short, r.skill_rank, r.skill_name, r.job_count FROM (
+  SELECT title_cat_id, skill_name, job_count,
+    row_number() OVER (PARTITION BY title_cat_id ORDER BY job_count DESC, skill_name ASC) AS skill_rank
+  FROM (
+    SELECT p.title_cat_id, s.skill_name, count(*) AS job_count
+    FROM (SELECT DISTINCT job_id, skill_id FROM job_skill) b
+    JOIN job_posting p ON p.job_id = b.job_id
+    JOIN skill s ON s.skill_id = b.skill_id
+    GROUP BY p.title_cat_id, s.skill_name)
+) r LEFT JOIN job_title_category t ON t.title_cat_id = r.title_cat_id
+WHERE r.skill_rank <= 5"""))
+def top_skills_by_title_q(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    return star.top_skills_by_title(m["job_posting"], m["job_skill"], m["skill"], m["job_title_category"], 5)
+
+
+@register("avg_salary_country_platform", oracle.q("""
+SELECT c.country_name, pl.platform_name, k.job_count, k.avg_salary_year, k.min_salary_year, k.max_salary_year
+FROM (
+  SELECT country_id, platform_id, count(*) AS job_count,
+    ((2 * sum(CAST(salary_year_avg * 100 AS BIGINT)) + count(salary_year_avg)) // (2 * count(salary_year_avg))) / 100.0
+      AS avg_salary_year,
+    min(salary_year_avg) AS min_salary_year, max(salary_year_avg) AS max_salary_year
+  FROM job_posting WHERE salary_year_avg IS NOT NULL GROUP BY 1, 2
+) k LEFT JOIN country c ON c.country_id = k.country_id
+LEFT JOIN platform pl ON pl.platform_id = k.platform_id"""))
+def avg_salary_country_platform_q(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    return star.avg_salary_country_platform(m["job_posting"], m["country"], m["platform"])
+
+
+@register("remote_vs_onsite", oracle.q("""
+SELECT CASE WHEN work_from_home IS NULL THEN 'unknown' WHEN work_from_home THEN 'remote' ELSE 'on-site' END
+    AS remote_label,
+  count(*) AS job_count,
+  count(salary_year_avg) AS jobs_with_year_salary,
+  CASE WHEN count(salary_year_avg) > 0 THEN
+    ((2 * sum(CAST(salary_year_avg * 100 AS BIGINT)) + count(salary_year_avg)) // (2 * count(salary_year_avg))) / 100.0
+  END AS avg_salary_year,
+  count(salary_hour_avg) AS jobs_with_hour_salary,
+  CASE WHEN count(salary_hour_avg) > 0 THEN
+    ((2 * sum(CAST(salary_hour_avg * 100 AS BIGINT)) + count(salary_hour_avg)) // (2 * count(salary_hour_avg))) / 100.0
+  END AS avg_salary_hour
+FROM job_posting GROUP BY 1"""))
+def remote_vs_onsite_q(spark, sf_dir):
+    return star.remote_vs_onsite(_models(spark, sf_dir)["job_posting"])
 
 
 __all__ = ["REGISTRY", "register", "sorted_text"]

@@ -29,10 +29,64 @@ FALSE_WORDS = ["false", "f", "0", "no", "n"]
 KEY_SEPARATOR = "||"
 # ---------------------------------------------------------------------------
 
-# Every code point Python's str.strip() removes: \s is [ \t\n\x0B\f\r],
-# \p{Z} the Unicode separators; \x1c-\x1f and \x85 complete the set.
-_WS = r"[\s\x1c-\x1f\x85\p{Z}]"
-_EDGE_WS = rf"^{_WS}+|{_WS}+$"
+# Every code point Python's str.strip() removes (29 of them), built by rule.
+WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+
+
+# --- SQL text of the same expressions --------------------------------------
+# Building a long expression through the Column API costs one driver→JVM call
+# per node; the SQL text of a whole column is parsed in one call.  Both give
+# the same Catalyst expression.
+
+def sql_literal(text: str) -> str:
+    """A Spark SQL string literal for any text (unicode escapes for non-ASCII)."""
+    out = []
+    for ch in text:
+        if ch in ("\\", "'"):
+            out.append("\\" + ch)
+        elif 32 <= ord(ch) < 127:
+            out.append(ch)
+        else:
+            out.append("\\u%04x" % ord(ch) if ord(ch) < 0x10000 else ch)
+    return "'" + "".join(out) + "'"
+
+
+def sql_ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+WS_SQL = sql_literal(WHITESPACE)
+
+
+def sql_in(values) -> str:
+    return "(" + ", ".join(sql_literal(v) for v in values) + ")"
+
+
+def strip_sql(x: str) -> str:
+    return f"trim(BOTH {WS_SQL} FROM {x})"
+
+
+def null_like_sql(x: str, s: str | None = None) -> str:
+    s = s or strip_sql(x)
+    return f"({x} IS NULL OR {x} IN {sql_in(PANDAS_NA_TOKENS)} OR lower({s}) IN {sql_in(NULL_WORDS)})"
+
+
+def clean_text_sql(x: str, s: str | None = None) -> str:
+    s = s or strip_sql(x)
+    return f"CASE WHEN {null_like_sql(x, s)} THEN NULL ELSE {s} END"
+
+
+def clean_bool_sql(x: str, s: str | None = None) -> str:
+    s = s or strip_sql(x)
+    return (f"CASE WHEN {null_like_sql(x, s)} THEN CAST(NULL AS BOOLEAN) "
+            f"WHEN lower({s}) IN {sql_in(TRUE_WORDS)} THEN true "
+            f"WHEN lower({s}) IN {sql_in(FALSE_WORDS)} THEN false END")
+
+
+def clean_decimal_sql(x: str, precision: int, scale: int = 2, s: str | None = None) -> str:
+    s = s or strip_sql(x)
+    text = f"CASE WHEN instr({s}, '_') > 0 THEN regexp_replace({s}, '(?<=[0-9])_(?=[0-9])', '') ELSE {s} END"
+    return f"CASE WHEN {null_like_sql(x, s)} THEN NULL ELSE try_cast({text} AS DECIMAL({precision},{scale})) END"
 
 
 def _col(c: str | Column) -> Column:
@@ -40,8 +94,12 @@ def _col(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    """Remove leading/trailing Unicode whitespace (Spark ``trim`` only drops spaces)."""
-    return F.regexp_replace(_col(c), _EDGE_WS, "")
+    """Remove leading/trailing Unicode whitespace like Python's ``str.strip``.
+
+    Plain ``trim`` drops only spaces; ``trim(BOTH set FROM x)`` with the
+    whitespace set is a character scan, no regex.
+    """
+    return F.trim(_col(c), F.lit(WHITESPACE))
 
 
 def is_pandas_na(c: str | Column) -> Column:
@@ -49,35 +107,45 @@ def is_pandas_na(c: str | Column) -> Column:
     return _col(c).isin(PANDAS_NA_TOKENS)
 
 
-def is_null_like(c: str | Column) -> Column:
-    """NULL, an NA token, or a blank/null word after strip+lower."""
+def _stripped(c: str | Column, stripped: Column | None) -> Column:
+    return stripped if stripped is not None else strip(c)
+
+
+def is_null_like(c: str | Column, stripped: Column | None = None) -> Column:
+    """NULL, an NA token, or a blank/null word after strip+lower.
+
+    ``stripped`` may pass an already stripped copy of the column.
+    """
     x = _col(c)
-    return x.isNull() | is_pandas_na(x) | F.lower(strip(x)).isin(NULL_WORDS)
+    return x.isNull() | is_pandas_na(x) | F.lower(_stripped(x, stripped)).isin(NULL_WORDS)
 
 
-def clean_text(c: str | Column) -> Column:
+def clean_text(c: str | Column, stripped: Column | None = None) -> Column:
     """Stripped text, NULL when null-like or blank."""
-    return F.when(~is_null_like(c), strip(c))
+    s = _stripped(c, stripped)
+    return F.when(~is_null_like(c, s), s)
 
 
-def clean_bool(c: str | Column) -> Column:
+def clean_bool(c: str | Column, stripped: Column | None = None) -> Column:
     """Tri-state boolean from the usual spellings; anything else is NULL."""
-    word = F.lower(strip(c))
+    s = _stripped(c, stripped)
+    word = F.lower(s)
     return (
-        F.when(is_null_like(c), F.lit(None).cast("boolean"))
+        F.when(is_null_like(c, s), F.lit(None).cast("boolean"))
         .when(word.isin(TRUE_WORDS), F.lit(True))
         .when(word.isin(FALSE_WORDS), F.lit(False))
     )
 
 
-def clean_decimal(c: str | Column, precision: int, scale: int = 2) -> Column:
+def clean_decimal(c: str | Column, precision: int, scale: int = 2, stripped: Column | None = None) -> Column:
     """P5: decimal(precision, scale); unparsable or out-of-range text is NULL.
 
     Underscores between digits are accepted (``1_000``) as Python's Decimal
     does; the cast rounds half away from zero like a NUMERIC column.
     """
-    text = F.regexp_replace(strip(c), r"(?<=[0-9])_(?=[0-9])", "")
-    return F.when(~is_null_like(c), text.try_cast(f"decimal({precision},{scale})"))
+    s = _stripped(c, stripped)
+    text = F.when(s.contains("_"), F.regexp_replace(s, r"(?<=[0-9])_(?=[0-9])", "")).otherwise(s)
+    return F.when(~is_null_like(c, s), text.try_cast(f"decimal({precision},{scale})"))
 
 
 def canon(c: str | Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postline.functions.columns import clean_text, is_null_like
+from postline.functions.columns import NULL_WORDS, is_null_like, null_like_sql, sql_in, sql_literal, strip, strip_sql
 
 LIST_TYPE = T.ArrayType(T.StringType())
 MAP_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
@@ -84,8 +84,17 @@ _ENTRY_LIST = T.ArrayType(
 )
 
 
+def clean_item(x: Column) -> Column:
+    """Text of one list item or dict key: stripped; NULL for None and null words.
+
+    (The reader's NA tokens apply to whole cells, not to items inside a literal.)
+    """
+    s = strip(x)
+    return F.when(~F.lower(s).isin(NULL_WORDS), s)
+
+
 def _clean_items(arr: Column) -> Column:
-    return F.filter(F.transform(arr, lambda x: clean_text(x)), lambda x: x.isNotNull())
+    return F.filter(F.transform(arr, strip), lambda x: x.isNotNull() & ~F.lower(x).isin(NULL_WORDS))
 
 
 def parse_list(c: str | Column) -> Column:
@@ -116,7 +125,7 @@ def parse_map(c: str | Column) -> Column:
     slow = F.from_json(_dict_fallback(F.when(~missing & ~guarded, raw)), _ENTRY_LIST)
     entries = F.when(missing, F.lit(None).cast(_ENTRY_LIST)).when(guarded, fast).otherwise(slow)
     cleaned = F.filter(
-        F.transform(entries, lambda e: F.struct(clean_text(e["key"]).alias("key"),
+        F.transform(entries, lambda e: F.struct(clean_item(e["key"]).alias("key"),
                                                 _clean_items(e["value"]).alias("value"))),
         lambda e: e["key"].isNotNull() & (F.size(e["value"]) > 0),
     )
@@ -131,3 +140,54 @@ def missing_flag(c: str | Column) -> Column:
 def invalid_flag(c: str | Column, parsed: Column) -> Column:
     """The cell has a value but it parsed to nothing usable."""
     return ~missing_flag(c) & parsed.isNull()
+
+
+# --- SQL text of the same parse (one parse call per column) -----------------
+
+LIST_UDF = "postline_list_literal"
+DICT_UDF = "postline_dict_literal"
+_ENTRY_LIST_SQL = "array<struct<key:string,value:array<string>>>"
+
+
+def register_udfs(spark) -> None:
+    """Make the fallback literal readers callable from SQL text."""
+    spark.udf.register(LIST_UDF, _list_fallback)
+    spark.udf.register(DICT_UDF, _dict_fallback)
+
+
+def _item_sql(v: str) -> str:
+    return f"CASE WHEN NOT lower({strip_sql(v)}) IN {sql_in(NULL_WORDS)} THEN {strip_sql(v)} END"
+
+
+def _items_sql(arr: str) -> str:
+    return (f"filter(transform({arr}, v -> {strip_sql('v')}), "
+            f"v -> v IS NOT NULL AND NOT lower(v) IN {sql_in(NULL_WORDS)})")
+
+
+def parsed_list_sql(x: str) -> str:
+    """Read step of E1: the literal as ``array<string>`` before cleaning (NULL if missing/invalid)."""
+    miss = null_like_sql(x)
+    guard = f"{x} RLIKE {sql_literal(LIST_GUARD)}"
+    return (f"CASE WHEN {miss} THEN CAST(NULL AS ARRAY<STRING>) "
+            f"WHEN {guard} THEN from_json({x}, 'array<string>', map('allowSingleQuotes', 'true')) "
+            f"ELSE from_json({LIST_UDF}(CASE WHEN NOT {miss} AND NOT ({guard}) THEN {x} END), 'array<string>') END")
+
+
+def parsed_map_sql(x: str) -> str:
+    """Read step of E2: the literal as an entry list before cleaning."""
+    miss = null_like_sql(x)
+    guard = f"{x} RLIKE {sql_literal(DICT_GUARD)}"
+    return (f"CASE WHEN {miss} THEN CAST(NULL AS {_ENTRY_LIST_SQL}) "
+            f"WHEN {guard} THEN map_entries(from_json({x}, 'map<string,array<string>>', "
+            f"map('allowSingleQuotes', 'true'))) "
+            f"ELSE from_json({DICT_UDF}(CASE WHEN NOT {miss} AND NOT ({guard}) THEN {x} END), "
+            f"'{_ENTRY_LIST_SQL}') END")
+
+
+def cleaned_list_sql(parsed: str) -> str:
+    return _items_sql(parsed)
+
+
+def cleaned_entries_sql(parsed: str) -> str:
+    return (f"filter(transform({parsed}, e -> named_struct('key', {_item_sql('e.key')}, "
+            f"'value', {_items_sql('e.value')})), e -> e.key IS NOT NULL AND size(e.value) > 0)")

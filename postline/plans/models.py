@@ -11,6 +11,7 @@ under one root, the way a scheduled build would.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,22 +64,40 @@ def build_models(raw: DataFrame, run_ts: datetime = RUN_TS, stg: DataFrame | Non
     return out
 
 
-def materialise_models(raw: DataFrame, root: str, run_ts: datetime = RUN_TS) -> dict[str, DataFrame]:
+LAYER = {"stg_raw_jobs": "staging", "stg_job_skills_exploded": "staging",
+         "stg_job_type_skills_exploded": "staging", "job_skill": "marts"}
+
+
+def model_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{LAYER.get(name, 'core')}/{name}"
+
+
+def materialise_models(raw: DataFrame, root: str, run_ts: datetime = RUN_TS,
+                       parallelism: int = 4) -> dict[str, DataFrame]:
     """Write every model as parquet under ``root`` (overwrite) and read them back.
 
-    The staged relation is written first and all other models are built from
-    the written copy, so the dedup shuffle runs once and lineage is cut at a
-    durable, shared location.
+    The staged relation is written first; the other twelve models are built
+    from the written copy (so the dedup shuffle runs once and lineage is cut at
+    a durable, shared location) and, being independent of each other, are
+    submitted as concurrent Spark jobs from ``parallelism`` driver threads.
     """
     spark = raw.sparkSession
-    root = root.rstrip("/")
-    staging(raw, run_ts).write.mode("overwrite").parquet(f"{root}/staging/stg_raw_jobs")
-    stg = spark.read.parquet(f"{root}/staging/stg_raw_jobs")
+    staging(raw, run_ts).write.mode("overwrite").parquet(model_path(root, "stg_raw_jobs"))
+    stg = spark.read.parquet(model_path(root, "stg_raw_jobs"))
     models = build_models(raw, run_ts, stg=stg)
-    layer = {"stg_job_skills_exploded": "staging", "stg_job_type_skills_exploded": "staging", "job_skill": "marts"}
-    written = {"stg_raw_jobs": stg}
-    for name in MODEL_NAMES[1:]:
-        path = f"{root}/{layer.get(name, 'core')}/{name}"
-        models[name].write.mode("overwrite").parquet(path)
-        written[name] = spark.read.parquet(path)
-    return written
+
+    def write(name: str) -> str:
+        models[name].write.mode("overwrite").parquet(model_path(root, name))
+        return name
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        done = list(pool.map(write, MODEL_NAMES[1:]))
+    return {"stg_raw_jobs": stg, **{n: spark.read.parquet(model_path(root, n)) for n in done}}
+
+
+def shared_models(raw: DataFrame, run_ts: datetime = RUN_TS) -> dict[str, DataFrame]:
+    """Models for one query that uses several of them: the staged relation is
+    checkpointed once (shared checkpoint folder) instead of being re-derived by
+    every consumer."""
+    from postline.session import cut_lineage
+    return build_models(raw, run_ts, stg=cut_lineage(staging(raw, run_ts)))

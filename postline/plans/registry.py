@@ -45,6 +45,11 @@ def _models(spark, sf_dir):
     return models.build_models(_raw(spark, sf_dir))
 
 
+def _shared(spark, sf_dir):
+    """Models for queries that combine several of them (staging checkpointed once)."""
+    return models.shared_models(_raw(spark, sf_dir))
+
+
 # --- landing: P1–P6, E1–E3 -------------------------------------------------
 
 @register("landing_text", oracle.q(f"SELECT id, {', '.join(TEXT_COLUMNS)} FROM landing"))
@@ -179,7 +184,7 @@ def job_skill_q(spark, sf_dir):
 
 @register("job_skill_joined", oracle.q("SELECT * FROM job_skill"))
 def job_skill_joined_q(spark, sf_dir):
-    m = _models(spark, sf_dir)
+    m = _shared(spark, sf_dir)
     return bridge.job_skill_joined(m["stg_job_skills_exploded"], m["stg_job_type_skills_exploded"], m["skill"],
                                    m["skill_category"], m["job_posting"], models.RUN_TS)
 
@@ -204,7 +209,7 @@ def ingest_stats_q(spark, sf_dir):
 # --- quality: Q1–Q8 ----------------------------------------------------------
 
 def _tables(spark, sf_dir):
-    return _models(spark, sf_dir)
+    return _shared(spark, sf_dir)
 
 
 @register("quality_report", oracle.quality_report_sql(quality.model_checks()))
@@ -323,7 +328,7 @@ def ledger_invalid_status_q(spark, sf_dir):
 
 @register("fact_job_posting", oracle.q(oracle.STAR_FACT))
 def fact_job_posting_q(spark, sf_dir):
-    m = _models(spark, sf_dir)
+    m = _shared(spark, sf_dir)
     return star.fact_job_posting(m["job_posting"], m["job_skill"])
 
 
@@ -336,26 +341,26 @@ def fact_job_posting_daily_q(spark, sf_dir):
 
 @register("dim_date", oracle.q(oracle.STAR_DIM_DATE))
 def dim_date_q(spark, sf_dir):
-    return star.dim_date(_models(spark, sf_dir)["job_posting"])
+    return star.dim_date(_shared(spark, sf_dir)["job_posting"])
 
 
 @register("dim_job_flags", oracle.q(oracle.STAR_DIM_FLAGS))
 def dim_job_flags_q(spark, sf_dir):
-    return star.dim_job_flags(_models(spark, sf_dir)["job_posting"])
+    return star.dim_job_flags(_shared(spark, sf_dir)["job_posting"])
 
 
 @register("skill_measures", oracle.q("""
 SELECT job_id, count(*) AS skill_count, count(DISTINCT skill_id) AS distinct_skill_count
 FROM job_skill GROUP BY job_id"""))
 def skill_measures_q(spark, sf_dir):
-    return star.skill_measures(_models(spark, sf_dir)["job_skill"])
+    return star.skill_measures(_shared(spark, sf_dir)["job_skill"])
 
 
 @register("bridge_skill_weight", oracle.q("""
 SELECT job_id, skill_id, 1.0 / count(*) OVER (PARTITION BY job_id) AS weight
 FROM (SELECT DISTINCT job_id, skill_id FROM job_skill)"""))
 def bridge_skill_weight_q(spark, sf_dir):
-    return star.bridge_skill_weight(_models(spark, sf_dir)["job_skill"])
+    return star.bridge_skill_weight(_shared(spark, sf_dir)["job_skill"])
 
 
 @register("jobs_per_month", oracle.q("""
@@ -364,7 +369,7 @@ SELECT c.company_name, k.month, k.job_count FROM (
     count(*) AS job_count
   FROM job_posting GROUP BY 1, 2) k LEFT JOIN company c ON c.company_id = k.company_id"""))
 def jobs_per_month_q(spark, sf_dir):
-    m = _models(spark, sf_dir)
+    m = _shared(spark, sf_dir)
     return star.jobs_per_month(m["job_posting"], m["company"])
 
 
@@ -381,7 +386,7 @@ SELECT t.job_title_short, r.skill_rank, r.skill_name, r.job_count FROM (
 ) r LEFT JOIN job_title_category t ON t.title_cat_id = r.title_cat_id
 WHERE r.skill_rank <= 5"""))
 def top_skills_by_title_q(spark, sf_dir):
-    m = _models(spark, sf_dir)
+    m = _shared(spark, sf_dir)
     return star.top_skills_by_title(m["job_posting"], m["job_skill"], m["skill"], m["job_title_category"], 5)
 
 
@@ -396,7 +401,7 @@ FROM (
 ) k LEFT JOIN country c ON c.country_id = k.country_id
 LEFT JOIN platform pl ON pl.platform_id = k.platform_id"""))
 def avg_salary_country_platform_q(spark, sf_dir):
-    m = _models(spark, sf_dir)
+    m = _shared(spark, sf_dir)
     return star.avg_salary_country_platform(m["job_posting"], m["country"], m["platform"])
 
 
@@ -414,7 +419,7 @@ SELECT CASE WHEN work_from_home IS NULL THEN 'unknown' WHEN work_from_home THEN
   END AS avg_salary_hour
 FROM job_posting GROUP BY 1"""))
 def remote_vs_onsite_q(spark, sf_dir):
-    return star.remote_vs_onsite(_models(spark, sf_dir)["job_posting"])
+    return star.remote_vs_onsite(_shared(spark, sf_dir)["job_posting"])
 
 
 __all__ = ["REGISTRY", "register", "sorted_text"]

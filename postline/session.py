@@ -68,11 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when it is unset (tests, local runs) a fresh scratch folder is
     made for this process.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    sc = spark.sparkContext
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        sc.setCheckpointDir(named)
+        return sc.getCheckpointDir() or named
     scratch = tempfile.mkdtemp(prefix="postline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)

@@ -186,18 +186,34 @@ class QualitySuite:
         self.checks = list(checks) if checks is not None else model_checks()
 
     def report(self, tables: Mapping[str, DataFrame], now: datetime | None = None) -> DataFrame:
-        """One row per check: (check_name, relation, kind, failures)."""
+        """One row per check: (check_name, relation, kind, failures).
+
+        Not-null checks: one scan + global aggregate per relation.  Unique
+        checks of *all* relations: one shuffle (values stacked with a check
+        id).  Relationship checks of all relations: one shuffle of distinct
+        child keys, one of parent keys, one anti join.
+        """
         parts: list[DataFrame] = []
-        batched: dict[tuple[str, str], list[Check]] = {}
+        not_null_by_rel: dict[str, list[Check]] = {}
+        uniques: list[Check] = []
+        rels: list[Check] = []
         for ch in self.checks:
-            if isinstance(ch, Check) and ch.kind in ("not_null", "unique", "relationships"):
-                batched.setdefault((ch.relation, ch.kind), []).append(ch)
+            if isinstance(ch, Check) and ch.kind == "not_null":
+                not_null_by_rel.setdefault(ch.relation, []).append(ch)
+            elif isinstance(ch, Check) and ch.kind == "unique":
+                uniques.append(ch)
+            elif isinstance(ch, Check) and ch.kind == "relationships":
+                rels.append(ch)
             else:
                 parts.append(_failures(ch, tables, now).select(
                     F.lit(ch.name).alias("check_name"), F.lit(ch.relation).alias("relation"),
                     F.lit(ch.kind).alias("kind"), "failures"))
-        for (rel, kind), group in batched.items():
-            parts.append(_batched(kind, rel, group, tables))
+        for rel, group in not_null_by_rel.items():
+            parts.append(_not_null_batch(rel, group, tables))
+        if uniques:
+            parts.append(_unique_batch(uniques, tables))
+        if rels:
+            parts.append(_relationships_batch(rels, tables))
         return reduce(DataFrame.unionByName, parts)
 
     def run(self, tables: Mapping[str, DataFrame], fail_fast: bool = True,
@@ -215,43 +231,49 @@ class QualitySuite:
         return results
 
 
-def _batched(kind: str, rel: str, group: list[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    df = tables[rel]
-    names = [ch.name for ch in group]
-    if kind == "not_null":
-        counts = df.agg(*[F.count(F.when(F.col(ch.columns[0]).isNull(), 1)).alias(f"c{i}")
-                          for i, ch in enumerate(group)])
-        stacked = F.array(*[F.struct(F.lit(names[i]).alias("check_name"), F.col(f"c{i}").alias("failures"))
-                            for i in range(len(group))])
-        return counts.select(F.inline(stacked)).select(
-            "check_name", F.lit(rel).alias("relation"), F.lit(kind).alias("kind"), "failures")
-    if kind == "unique":
-        stacked = F.array(*[F.struct(F.lit(i).alias("check_id"), F.col(ch.columns[0]).cast("string").alias("v"))
-                            for i, ch in enumerate(group)])
-        dup = (df.select(F.inline(stacked)).where(F.col("v").isNotNull())
-               .groupBy("check_id", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-               .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
-        return _with_all_ids(dup, names, rel, kind)
-    # relationships: stacked child keys anti-joined with stacked parent keys
-    child = reduce(DataFrame.unionByName, [
-        (df.where(F.col(ch.columns[0]).isNotNull() & (F.expr(ch.where) if ch.where else F.lit(True)))
-         .groupBy(F.col(ch.columns[0]).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-         .select(F.lit(i).alias("check_id"), "k", "n"))
+def _not_null_batch(rel: str, group: list[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    counts = tables[rel].agg(*[F.count(F.when(F.col(ch.columns[0]).isNull(), 1)).alias(f"c{i}")
+                               for i, ch in enumerate(group)])
+    stacked = F.array(*[F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.relation).alias("relation"),
+                                 F.col(f"c{i}").alias("failures")) for i, ch in enumerate(group)])
+    return counts.select(F.inline(stacked)).select("check_name", "relation", F.lit("not_null").alias("kind"),
+                                                   "failures")
+
+
+def _stack(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _unique_batch(group: list[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    values = _stack([
+        tables[ch.relation].select(F.lit(i).alias("check_id"), F.col(ch.columns[0]).cast("string").alias("v"))
+        .where(F.col("v").isNotNull())
         for i, ch in enumerate(group)])
-    parent = reduce(DataFrame.unionByName, [
+    dup = (values.groupBy("check_id", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+           .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
+    return _with_all_ids(dup, group, "unique")
+
+
+def _relationships_batch(group: list[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    child = _stack([
+        tables[ch.relation]
+        .where(F.col(ch.columns[0]).isNotNull() & (F.expr(ch.where) if ch.where else F.lit(True)))
+        .select(F.lit(i).alias("check_id"), F.col(ch.columns[0]).cast("string").alias("k"))
+        for i, ch in enumerate(group)]).groupBy("check_id", "k").agg(F.count(F.lit(1)).alias("n"))
+    parent = _stack([
         tables[ch.parent].select(F.lit(i).alias("check_id"), F.col(ch.parent_field).cast("string").alias("k"))
-        for i, ch in enumerate(group)])
+        for i, ch in enumerate(group)]).distinct()
     orphans = (child.join(parent, ["check_id", "k"], "left_anti")
                .groupBy("check_id").agg(F.sum("n").cast("long").alias("failures")))
-    return _with_all_ids(orphans, names, rel, kind)
+    return _with_all_ids(orphans, group, "relationships")
 
 
-def _with_all_ids(counts: DataFrame, names: list[str], rel: str, kind: str) -> DataFrame:
+def _with_all_ids(counts: DataFrame, group: list[Check], kind: str) -> DataFrame:
     """Turn (check_id, failures) of failing checks into one row per check."""
     per_check = counts.agg(*[
         F.coalesce(F.sum(F.when(F.col("check_id") == i, F.col("failures"))), F.lit(0)).cast("long").alias(f"c{i}")
-        for i in range(len(names))])
-    stacked = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("failures"))
-                        for i, n in enumerate(names)])
-    return per_check.select(F.inline(stacked)).select(
-        "check_name", F.lit(rel).alias("relation"), F.lit(kind).alias("kind"), "failures")
+        for i in range(len(group))])
+    stacked = F.array(*[F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.relation).alias("relation"),
+                                 F.col(f"c{i}").alias("failures")) for i, ch in enumerate(group)])
+    return per_check.select(F.inline(stacked)).select("check_name", "relation", F.lit(kind).alias("kind"),
+                                                      "failures")

@@ -41,7 +41,7 @@ def landing_from_tables(spark: SparkSession, sf_dir: str, profile: bool = False)
     return typed.select(
         F.col("source_row").alias("id"),
         *[c for c in typed.columns if c not in ("source_row", "batch") and c not in extra],
-        batch_ingested_at(F.col("batch")).alias("ingested_at"),
+        batch_ingested_at("batch").alias("ingested_at"),
         *extra,
     )
 

@@ -14,7 +14,8 @@ broken and empty literals, blank items, scalar dict values…).
 
 Work grows with the tables: one shuffle groups lines by order, one join
 attaches them to the orders; customer and nation are joined on their keys
-(AQE broadcasts them only when measured small).
+(AQE broadcasts them only when measured small).  Cells are written as SQL
+expression text: one parse per column when the plan is built.
 """
 
 from __future__ import annotations
@@ -34,39 +35,103 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _q(x: Column) -> Column:
-    return F.concat(F.lit("'"), x, F.lit("'"))
-
-
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its lines (sorted) and the part types present."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     lines = li.join(part, li.l_partkey == part.p_partkey)
-    return (
-        lines.groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_list(F.struct(
-            "l_linenumber", "l_partkey", "p_name", "p_type", "p_brand"))).alias("lines"))
-        .withColumn("types", F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["p_type"]))))
-    )
-
-
-def _list_literal(lines: Column, field: str, sep: str, opening: str, closing: str,
-                  extra: Column | None = None) -> Column:
-    items = F.transform(lines, lambda x: _q(x[field]))
-    if extra is not None:
-        items = F.concat(items, extra)
-    return F.concat(F.lit(opening), F.array_join(items, sep), F.lit(closing))
-
-
-def _dict_literal(lines: Column, types: Column, field: str, key_fn, item_sep: str,
-                  value_open: str) -> Column:
-    def one(t):
-        members = F.filter(lines, lambda x: x["p_type"] == t)
-        return F.concat(_q(key_fn(t)), F.lit(value_open),
-                        F.array_join(F.transform(members, lambda x: _q(x[field])), item_sep),
-                        F.lit("]"))
-    return F.array_join(F.transform(types, one), ", ")
+    return lines.groupBy("l_orderkey").agg(
+        F.expr("array_sort(collect_list(struct(l_linenumber, l_partkey, p_name, p_type, p_brand))) AS lines")
+    ).selectExpr("l_orderkey", "lines", "array_sort(array_distinct(transform(lines, x -> x.p_type))) AS types")
+
+
+# --- SQL text of the cells ---------------------------------------------------
+
+QUOTE = "'\\''"      # SQL literal holding one single quote
+
+
+def lit(text: str) -> str:
+    """SQL literal of plain text (escapes quotes and backslashes)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted(expr: str) -> str:
+    return f"concat({QUOTE}, {expr}, {QUOTE})"
+
+
+def items(field: str, sep: str) -> str:
+    return f"array_join(transform(lines, x -> {quoted('x.' + field)}), {lit(sep)})"
+
+
+def dict_body(field: str, key: str, item_sep: str, value_open: str) -> str:
+    members = "filter(lines, x -> x.p_type = t)"
+    return (f"array_join(transform(types, t -> concat({quoted(key)}, {lit(value_open)}, "
+            f"array_join(transform({members}, x -> {quoted('x.' + field)}), {lit(item_sep)}), ']')), ', ')")
+
+
+def pick(v0: str, v1: str) -> str:
+    return f"CASE WHEN copy = 1 THEN {v1} ELSE {v0} END"
+
+
+K = "o_orderkey"
+TITLE = "concat(c_mktsegment, ' Analyst ', substring(o_orderpriority, 3, 1000))"
+YEAR = "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)"
+HOUR = f"concat(CAST({K} % 90 + 10 AS STRING), '.', lpad(CAST({K} % 100 AS STRING), 2, '0'))"
+POSTED = "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')"
+NAMES = items("p_name", ", ")
+FIRST_NAME = "element_at(lines, 1).p_name"
+
+SKILLS0 = (
+    f"CASE WHEN {K} % 13 = 0 THEN 'not-a-list' "
+    f"WHEN {K} % 29 = 0 THEN '[]' "
+    f"WHEN {K} % 31 = 0 THEN concat('[', {NAMES}, {lit(", '  ', None, 'null']")}) "
+    f"WHEN {K} % 37 = 0 THEN concat('[\"', {FIRST_NAME}, {lit("'s" + '", ')}, {NAMES}, ']') "
+    f"ELSE concat('[', {NAMES}, ']') END"
+)
+SKILLS1 = (
+    f"concat('[ ', array_join(concat(transform(lines, x -> {quoted('x.p_brand')}), "
+    f"CASE WHEN {K} % 10 = 0 THEN array({quoted('upper(' + FIRST_NAME + ')')}) "
+    f"ELSE CAST(array() AS ARRAY<STRING>) END), ' ,'), ' ]')"
+)
+DICT0_BODY = dict_body("p_name", "t", ", ", ": [")
+SCALAR0 = (f"concat('{{', {quoted('element_at(types, 1)')}, ': ', "
+           f"{quoted('filter(lines, x -> x.p_type = element_at(types, 1))[0].p_name')}, '}}')")
+DICT0 = (
+    f"CASE WHEN {K} % 13 = 0 THEN 'definitely-not-a-dict' "
+    f"WHEN {K} % 29 = 0 THEN '{{}}' "
+    f"WHEN {K} % 31 = 0 THEN concat('{{', {DICT0_BODY}, {lit(", ' ': ['x'], 'EMPTY': []}")}) "
+    f"WHEN {K} % 41 = 0 THEN {SCALAR0} "
+    f"ELSE concat('{{', {DICT0_BODY}, '}}') END"
+)
+DICT1 = f"concat('{{', {dict_body('p_brand', 'lower(t)', ',', ':[')}, '}}')"
+
+CELLS_SQL = {
+    "job_title_short": pick(f"CASE WHEN {K} % 23 = 0 THEN '   ' ELSE c_mktsegment END", "lower(c_mktsegment)"),
+    "job_title": pick(TITLE, f"concat('  ', upper({TITLE}), ' ')"),
+    "job_location": pick("n_name", "lower(n_name)"),
+    "job_via": (f"CASE WHEN {K} % 11 = 0 THEN {pick(lit(''), lit(' '))} "
+                f"ELSE {pick(f'concat({lit('Platform ')}, CAST({K} % 7 AS STRING))', f'concat({lit('PLATFORM ')}, CAST({K} % 7 AS STRING))')} END"),
+    "job_schedule_type": "o_orderpriority",
+    "job_work_from_home": (f"CASE WHEN o_orderstatus = 'O' THEN {pick(lit('True'), lit('yes'))} "
+                           f"WHEN o_orderstatus = 'F' THEN {pick(lit('False'), lit('n'))} "
+                           f"ELSE {pick(lit('unknown'), lit(''))} END"),
+    "search_location": pick("n_name", lit("Anywhere")),
+    "job_posted_date": pick(POSTED, f"concat(' ', {POSTED}, ' ')"),
+    "job_no_degree_mention": (f"CASE WHEN {K} % 2 = 0 THEN {pick(lit('1'), lit('t'))} "
+                              f"ELSE {pick(lit('0'), lit('f'))} END"),
+    "job_health_insurance": (f"CASE WHEN {K} % 17 = 0 THEN 'N/A' "
+                             f"WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN {pick(lit('Y'), lit('TRUE'))} "
+                             f"ELSE {pick(lit('N'), lit('FALSE'))} END"),
+    "job_country": pick("n_name", "concat('  ', n_name)"),
+    "salary_rate": (f"CASE WHEN {K} % 3 = 0 THEN {pick(lit('year'), lit('YEAR '))} "
+                    f"WHEN {K} % 3 = 1 THEN {pick(lit('hour'), lit('Hour'))} ELSE '' END"),
+    "salary_year_avg": (f"CASE WHEN {K} % 3 <> 0 THEN '' WHEN {K} % 19 = 0 THEN 'bad-value' "
+                        f"ELSE {pick(YEAR, f'concat(' + lit(' ') + f', {YEAR}, ' + lit('0') + ')')} END"),
+    "salary_hour_avg": f"CASE WHEN {K} % 3 = 1 THEN {pick(HOUR, f'concat({HOUR}, ' + lit('0') + ')')} ELSE '' END",
+    "company_name": f"CASE WHEN {K} % 97 = 0 THEN '' ELSE {pick('c_name', 'concat(' + lit('  ') + ', upper(c_name))')} END",
+    "job_skills": f"CASE WHEN lines IS NOT NULL THEN {pick(SKILLS0, SKILLS1)} END",
+    "job_type_skills": f"CASE WHEN lines IS NOT NULL THEN {pick(DICT0, DICT1)} END",
+}
 
 
 def postings_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,91 +140,19 @@ def postings_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-
     base = (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .join(order_lines(spark, sf_dir), orders.o_orderkey == F.col("l_orderkey"), "left")
-        .withColumn("copy", F.explode(F.when(F.col("o_orderkey") % 5 == 0, F.array(F.lit(0), F.lit(1)))
-                                      .otherwise(F.array(F.lit(0)))))
-    )
-
-    k = F.col("o_orderkey")
-    c1 = F.col("copy") == 1
-    lines, types = F.col("lines"), F.col("types")
-    status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
-    seg, nat, cname = F.col("c_mktsegment"), F.col("n_name"), F.col("c_name")
-
-    title = F.concat(seg, F.lit(" Analyst "), F.substring(prio, 3, 1000))
-    year_text = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
-    hour_text = F.concat((k % 90 + 10).cast("string"), F.lit("."), F.lpad((k % 100).cast("string"), 2, "0"))
-    posted = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
-
-    first = F.element_at(lines, 1)
-    skills0 = (
-        F.when(k % 13 == 0, F.lit("not-a-list"))
-        .when(k % 29 == 0, F.lit("[]"))
-        .when(k % 31 == 0, _list_literal(lines, "p_name", ", ", "[", ", '  ', None, 'null']"))
-        .when(k % 37 == 0, F.concat(F.lit('["'), first["p_name"], F.lit("'s\", "),
-                                    F.array_join(F.transform(lines, lambda x: _q(x["p_name"])), ", "), F.lit("]")))
-        .otherwise(_list_literal(lines, "p_name", ", ", "[", "]"))
-    )
-    skills1 = _list_literal(
-        lines, "p_brand", " ,", "[ ", " ]",
-        extra=F.when(k % 10 == 0, F.array(_q(F.upper(first["p_name"])))).otherwise(F.array().cast("array<string>")),
-    )
-    dict0 = (
-        F.when(k % 13 == 0, F.lit("definitely-not-a-dict"))
-        .when(k % 29 == 0, F.lit("{}"))
-        .when(k % 31 == 0, F.concat(F.lit("{"), _dict_literal(lines, types, "p_name", lambda t: t, ", ", ": ["),
-                                    F.lit(", ' ': ['x'], 'EMPTY': []}")))
-        .when(k % 41 == 0, F.concat(F.lit("{"), _q(F.element_at(types, 1)), F.lit(": "),
-                                    _q(F.filter(lines, lambda x: x["p_type"] == F.element_at(types, 1))[0]["p_name"]),
-                                    F.lit("}")))
-        .otherwise(F.concat(F.lit("{"), _dict_literal(lines, types, "p_name", lambda t: t, ", ", ": ["), F.lit("}")))
+        .selectExpr("*", f"explode(CASE WHEN {K} % 5 = 0 THEN array(0, 1) ELSE array(0) END) AS copy")
     )
-    dict1 = F.concat(F.lit("{"), _dict_literal(lines, types, "p_brand", F.lower, ",", ":["), F.lit("}"))
-
-    def pick(v0: Column, v1: Column) -> Column:
-        return F.when(c1, v1).otherwise(v0)
-
-    cells = {
-        "job_title_short": pick(F.when(k % 23 == 0, F.lit("   ")).otherwise(seg), F.lower(seg)),
-        "job_title": pick(title, F.concat(F.lit("  "), F.upper(title), F.lit(" "))),
-        "job_location": pick(nat, F.lower(nat)),
-        "job_via": F.when(k % 11 == 0, pick(F.lit(""), F.lit(" "))).otherwise(
-            pick(F.concat(F.lit("Platform "), (k % 7).cast("string")),
-                 F.concat(F.lit("PLATFORM "), (k % 7).cast("string")))),
-        "job_schedule_type": prio,
-        "job_work_from_home": F.when(status == "O", pick(F.lit("True"), F.lit("yes")))
-        .when(status == "F", pick(F.lit("False"), F.lit("n")))
-        .otherwise(pick(F.lit("unknown"), F.lit(""))),
-        "search_location": pick(nat, F.lit("Anywhere")),
-        "job_posted_date": pick(posted, F.concat(F.lit(" "), posted, F.lit(" "))),
-        "job_no_degree_mention": F.when(k % 2 == 0, pick(F.lit("1"), F.lit("t"))).otherwise(pick(F.lit("0"), F.lit("f"))),
-        "job_health_insurance": F.when(k % 17 == 0, F.lit("N/A"))
-        .when(prio.isin("1-URGENT", "2-HIGH"), pick(F.lit("Y"), F.lit("TRUE")))
-        .otherwise(pick(F.lit("N"), F.lit("FALSE"))),
-        "job_country": pick(nat, F.concat(F.lit("  "), nat)),
-        "salary_rate": F.when(k % 3 == 0, pick(F.lit("year"), F.lit("YEAR ")))
-        .when(k % 3 == 1, pick(F.lit("hour"), F.lit("Hour")))
-        .otherwise(F.lit("")),
-        "salary_year_avg": F.when(k % 3 != 0, F.lit(""))
-        .when(k % 19 == 0, F.lit("bad-value"))
-        .otherwise(pick(year_text, F.concat(F.lit(" "), year_text, F.lit("0")))),
-        "salary_hour_avg": F.when(k % 3 == 1, pick(hour_text, F.concat(hour_text, F.lit("0")))).otherwise(F.lit("")),
-        "company_name": F.when(k % 97 == 0, F.lit("")).otherwise(
-            pick(cname, F.concat(F.lit("  "), F.upper(cname)))),
-        "job_skills": F.when(lines.isNotNull(), pick(skills0, skills1)),
-        "job_type_skills": F.when(lines.isNotNull(), pick(dict0, dict1)),
-    }
-    return base.select(
-        (k * 2 + F.col("copy")).alias("source_row"),
-        ((k + 3 * F.col("copy")) % N_BATCHES).cast("int").alias("batch"),
-        *[cells[c].alias(c) for c in SOURCE_COLUMNS],
+    return base.selectExpr(
+        f"{K} * 2 + copy AS source_row",
+        f"CAST(({K} + 3 * copy) % {N_BATCHES} AS INT) AS batch",
+        *[f"{CELLS_SQL[c]} AS {c}" for c in SOURCE_COLUMNS],
     )
 
 
-def batch_ingested_at(batch: Column) -> Column:
+def batch_ingested_at(batch: str = "batch") -> Column:
     """Load time of a batch: every row of one file shares it."""
-    return F.to_timestamp(F.lit(BASE_INGEST)) + F.make_dt_interval(hours=batch * BATCH_HOURS)
+    return F.expr(f"TIMESTAMP '{BASE_INGEST}' + make_dt_interval(0, {batch} * {BATCH_HOURS}, 0, 0)")

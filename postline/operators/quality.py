@@ -188,33 +188,15 @@ class QualitySuite:
     def report(self, tables: Mapping[str, DataFrame], now: datetime | None = None) -> DataFrame:
         """One row per check: (check_name, relation, kind, failures).
 
-        Not-null checks: one scan + global aggregate per relation.  Unique
-        checks of *all* relations: one shuffle (values stacked with a check
-        id).  Relationship checks of all relations: one shuffle of distinct
-        child keys, one of parent keys, one anti join.
+        Built as one SQL statement over the relations (one analysis, however
+        many checks).  Not-null checks: one scan + global aggregate per
+        relation.  Unique checks of *all* relations: one shuffle (values
+        stacked with a check id).  Relationship checks of all relations: one
+        shuffle of distinct child keys, one of parent keys, one anti join.
         """
-        parts: list[DataFrame] = []
-        not_null_by_rel: dict[str, list[Check]] = {}
-        uniques: list[Check] = []
-        rels: list[Check] = []
-        for ch in self.checks:
-            if isinstance(ch, Check) and ch.kind == "not_null":
-                not_null_by_rel.setdefault(ch.relation, []).append(ch)
-            elif isinstance(ch, Check) and ch.kind == "unique":
-                uniques.append(ch)
-            elif isinstance(ch, Check) and ch.kind == "relationships":
-                rels.append(ch)
-            else:
-                parts.append(_failures(ch, tables, now).select(
-                    F.lit(ch.name).alias("check_name"), F.lit(ch.relation).alias("relation"),
-                    F.lit(ch.kind).alias("kind"), "failures"))
-        for rel, group in not_null_by_rel.items():
-            parts.append(_not_null_batch(rel, group, tables))
-        if uniques:
-            parts.append(_unique_batch(uniques, tables))
-        if rels:
-            parts.append(_relationships_batch(rels, tables))
-        return reduce(DataFrame.unionByName, parts)
+        spark = next(iter(tables.values())).sparkSession
+        text, used = report_sql(self.checks, now)
+        return spark.sql(text, **{_ref(r): tables[r] for r in used})
 
     def run(self, tables: Mapping[str, DataFrame], fail_fast: bool = True,
             now: datetime | None = None) -> list[tuple[str, int]]:
@@ -231,49 +213,90 @@ class QualitySuite:
         return results
 
 
-def _not_null_batch(rel: str, group: list[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    counts = tables[rel].agg(*[F.count(F.when(F.col(ch.columns[0]).isNull(), 1)).alias(f"c{i}")
-                               for i, ch in enumerate(group)])
-    stacked = F.array(*[F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.relation).alias("relation"),
-                                 F.col(f"c{i}").alias("failures")) for i, ch in enumerate(group)])
-    return counts.select(F.inline(stacked)).select("check_name", "relation", F.lit("not_null").alias("kind"),
-                                                   "failures")
-
-
-def _stack(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _unique_batch(group: list[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    values = _stack([
-        tables[ch.relation].select(F.lit(i).alias("check_id"), F.col(ch.columns[0]).cast("string").alias("v"))
-        .where(F.col("v").isNotNull())
-        for i, ch in enumerate(group)])
-    dup = (values.groupBy("check_id", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-           .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
-    return _with_all_ids(dup, group, "unique")
-
-
-def _relationships_batch(group: list[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    child = _stack([
-        tables[ch.relation]
-        .where(F.col(ch.columns[0]).isNotNull() & (F.expr(ch.where) if ch.where else F.lit(True)))
-        .select(F.lit(i).alias("check_id"), F.col(ch.columns[0]).cast("string").alias("k"))
-        for i, ch in enumerate(group)]).groupBy("check_id", "k").agg(F.count(F.lit(1)).alias("n"))
-    parent = _stack([
-        tables[ch.parent].select(F.lit(i).alias("check_id"), F.col(ch.parent_field).cast("string").alias("k"))
-        for i, ch in enumerate(group)]).distinct()
-    orphans = (child.join(parent, ["check_id", "k"], "left_anti")
-               .groupBy("check_id").agg(F.sum("n").cast("long").alias("failures")))
-    return _with_all_ids(orphans, group, "relationships")
-
-
-def _with_all_ids(counts: DataFrame, group: list[Check], kind: str) -> DataFrame:
-    """Turn (check_id, failures) of failing checks into one row per check."""
-    per_check = counts.agg(*[
-        F.coalesce(F.sum(F.when(F.col("check_id") == i, F.col("failures"))), F.lit(0)).cast("long").alias(f"c{i}")
-        for i in range(len(group))])
-    stacked = F.array(*[F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.relation).alias("relation"),
-                                 F.col(f"c{i}").alias("failures")) for i, ch in enumerate(group)])
-    return per_check.select(F.inline(stacked)).select("check_name", "relation", F.lit(kind).alias("kind"),
-                                                      "failures")
+def _ref(rel: str) -> str:
+    return f"t_{rel}"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def report_sql(checks: Sequence[Check | Singular], now: datetime | None = None) -> tuple[str, set[str]]:
+    """SQL text of the batched report and the relations it reads."""
+    used: set[str] = set()
+
+    def t(rel: str) -> str:
+        used.add(rel)
+        return "{" + _ref(rel) + "}"
+
+    limit = "current_timestamp()" if now is None else f"TIMESTAMP {_lit(now.isoformat(sep=' '))}"
+    ctes: list[str] = []
+    selects: list[str] = []
+    meta: list[str] = []          # (check_id, check_name, relation, kind) of batched checks
+
+    def head(ch) -> str:
+        return f"{_lit(ch.name)} AS check_name, {_lit(ch.relation)} AS relation, {_lit(ch.kind)} AS kind"
+
+    by_rel: dict[str, list[Check]] = {}
+    uniques: list[tuple[int, Check]] = []
+    rels: list[tuple[int, Check]] = []
+    for i, ch in enumerate(checks):
+        if isinstance(ch, Check) and ch.kind == "not_null":
+            by_rel.setdefault(ch.relation, []).append(ch)
+        elif isinstance(ch, Check) and ch.kind == "unique":
+            uniques.append((i, ch))
+        elif isinstance(ch, Check) and ch.kind == "relationships":
+            rels.append((i, ch))
+        elif isinstance(ch, Check) and ch.kind == "composite_key_unique":
+            cols = ", ".join(ch.columns)
+            selects.append(f"SELECT {head(ch)}, count(*) AS failures FROM (SELECT {cols} FROM {t(ch.relation)} "
+                           f"GROUP BY {cols} HAVING count(*) > 1)")
+        elif isinstance(ch, Check) and ch.kind == "dates_not_future":
+            c = ch.columns[0]
+            selects.append(f"SELECT {head(ch)}, count(*) AS failures FROM (SELECT count(*) AS n FROM {t(ch.relation)} "
+                           f"WHERE {c} IS NOT NULL AND {c} > {limit} HAVING count(*) > 0)")
+        elif ch.name == "job_posting_matches_staging":
+            selects.append(
+                f"SELECT {head(ch)}, count(*) AS failures FROM {t('stg_raw_jobs')} s LEFT ANTI JOIN "
+                f"{t('job_posting')} p ON s.business_key = p.business_key "
+                f"WHERE nullif(trim(s.company_name), '') IS NOT NULL")
+        elif ch.name == "job_skill_unique_combination":
+            selects.append(f"SELECT {head(ch)}, count(*) AS failures FROM (SELECT job_id, skill_id, skill_cat_id "
+                           f"FROM {t('job_skill')} GROUP BY job_id, skill_id, skill_cat_id HAVING count(*) > 1)")
+        else:
+            raise ValueError(f"no SQL form for check {ch.name}")
+
+    for n, (rel, group) in enumerate(by_rel.items()):
+        aggs = ", ".join(f"count_if({ch.columns[0]} IS NULL) AS c{k}" for k, ch in enumerate(group))
+        ctes.append(f"nn{n} AS (SELECT {aggs} FROM {t(rel)})")
+        selects += [f"SELECT {head(ch)}, c{k} AS failures FROM nn{n}" for k, ch in enumerate(group)]
+
+    if uniques:
+        vals = " UNION ALL ".join(
+            f"SELECT {i} AS check_id, CAST({ch.columns[0]} AS STRING) AS v FROM {t(ch.relation)} "
+            f"WHERE {ch.columns[0]} IS NOT NULL" for i, ch in uniques)
+        ctes.append(f"uq AS (SELECT check_id, count(*) AS failures FROM (SELECT check_id, v FROM ({vals}) "
+                    f"GROUP BY check_id, v HAVING count(*) > 1) GROUP BY check_id)")
+        meta += [f"({i}, {_lit(ch.name)}, {_lit(ch.relation)}, 'unique')" for i, ch in uniques]
+    if rels:
+        child = " UNION ALL ".join(
+            f"SELECT {i} AS check_id, CAST({ch.columns[0]} AS STRING) AS k FROM {t(ch.relation)} "
+            f"WHERE {ch.columns[0]} IS NOT NULL" + (f" AND ({ch.where})" if ch.where else "")
+            for i, ch in rels)
+        parent = " UNION ALL ".join(
+            f"SELECT {i} AS check_id, CAST({ch.parent_field} AS STRING) AS k FROM {t(ch.parent)}" for i, ch in rels)
+        ctes.append(f"rc AS (SELECT check_id, k, count(*) AS n FROM ({child}) GROUP BY check_id, k)")
+        ctes.append(f"rp AS (SELECT DISTINCT check_id, k FROM ({parent}) WHERE k IS NOT NULL)")
+        ctes.append("rf AS (SELECT c.check_id, sum(c.n) AS failures FROM rc c LEFT ANTI JOIN rp p "
+                    "ON c.check_id = p.check_id AND c.k = p.k GROUP BY c.check_id)")
+        meta += [f"({i}, {_lit(ch.name)}, {_lit(ch.relation)}, 'relationships')" for i, ch in rels]
+    if meta:
+        ctes.append(f"meta AS (SELECT * FROM VALUES {', '.join(meta)} AS m(check_id, check_name, relation, kind))")
+        counts = " UNION ALL ".join(x for x in [
+            "SELECT check_id, failures FROM uq" if uniques else "",
+            "SELECT check_id, failures FROM rf" if rels else ""] if x)
+        selects.append("SELECT m.check_name, m.relation, m.kind, coalesce(f.failures, 0) AS failures "
+                       f"FROM meta m LEFT JOIN ({counts}) f ON f.check_id = m.check_id")
+    body = " UNION ALL ".join(
+        f"SELECT check_name, relation, kind, CAST(failures AS BIGINT) AS failures FROM ({x})" for x in selects)
+    return (("WITH " + ", ".join(ctes) + " ") if ctes else "") + body, used

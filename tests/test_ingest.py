@@ -107,3 +107,17 @@ def test_ledger_upsert_keeps_origin_fields(spark):
     assert merged["m2"].file_path == "p/two"
     latest = ledger.latest_runs(ledger.upsert_ledger(old, new), 1).collect()
     assert latest[0].file_md5 == "m1"          # ties on finish time → by fingerprint
+
+
+def test_stream_ingest_is_idempotent(spark):
+    from postline.streaming.file_ingest import start_file_ingest
+    root, paths = _write_csv_files(spark, 2)
+    store = Paths(landing=f"{root}/landing", ledger=f"{root}/ledger")
+    q = start_file_ingest(spark, root, store, checkpoint=f"{root}/_stream_ckpt", available_now=True)
+    q.awaitTermination(300)
+    n = committed_landing(spark, store).count()
+    assert n > 0 and read_ledger(spark, store).count() == 2
+    # a fresh stream over the same files (new checkpoint) loads nothing twice
+    q2 = start_file_ingest(spark, root, store, checkpoint=f"{root}/_stream_ckpt2", available_now=True)
+    q2.awaitTermination(300)
+    assert committed_landing(spark, store).count() == n

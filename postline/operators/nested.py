@@ -65,3 +65,12 @@ def json_props_exploded(events: DataFrame) -> DataFrame:
     """E5 on a JSON text column: ``props`` → (event_id, prop_key, prop_value) rows."""
     props = F.from_json(F.col("props"), "map<string,bigint>")
     return events.select("event_id", F.explode(props).alias("prop_key", "prop_value"))
+
+
+def nested_as_json(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """array/map/struct columns written as JSON text (for text exports)."""
+    from pyspark.sql.types import ArrayType, MapType, StructType
+    nested_types = (ArrayType, MapType, StructType)
+    targets = set(cols) if cols is not None else {
+        f.name for f in df.schema.fields if isinstance(f.dataType, nested_types)}
+    return df.select(*[F.to_json(c).alias(c) if c in targets else F.col(c) for c in df.columns])

@@ -87,3 +87,8 @@ def invalid_status(ledger: DataFrame) -> DataFrame:
 def latest_runs(ledger: DataFrame, k: int = 5) -> DataFrame:
     """O2: the ``k`` most recently finished loads (unfinished first), ties by fingerprint."""
     return ledger.orderBy(F.col("finished_at").desc_nulls_first(), F.col("file_md5").asc()).limit(k)
+
+
+def exists(df: DataFrame) -> bool:
+    """O3: does the frame hold at least one row (a LIMIT 1 probe)."""
+    return len(df.limit(1).take(1)) > 0

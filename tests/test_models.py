@@ -102,3 +102,12 @@ def test_case_variants_make_duplicate_assignment_ids(small_models):
     flat = small_models["stg_job_skills_exploded"]
     dups = flat.groupBy("skill_assignment_id").count().where("count > 1").count()
     assert dups > 0
+
+
+def test_nested_as_json_and_exists(small_models):
+    from postline.operators.nested import nested_as_json
+    from postline.sources.ledger import exists
+    stg = small_models["stg_raw_jobs"]
+    out = nested_as_json(stg.select("business_key", "job_skills_array", "job_type_skills")).first()
+    assert out.job_skills_array.startswith("[") and out.job_type_skills.startswith("{")
+    assert exists(stg) and not exists(stg.where("1 = 0"))

@@ -428,8 +428,8 @@ FROM job_posting p LEFT JOIN (
 
 STAR_DIM_DATE = f"""
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS date,
-  year(d) AS year, quarter(d) AS quarter, month(d) AS month, day(d) AS day,
-  isodow(d) AS iso_day_of_week, monthname(d) AS month_name
+  CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+  CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS iso_day_of_week, monthname(d) AS month_name
 FROM (SELECT DISTINCT CAST({_POSTED} AS DATE) AS d FROM job_posting) WHERE d IS NOT NULL"""
 
 STAR_DIM_FLAGS = f"""

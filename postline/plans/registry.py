@@ -376,7 +376,8 @@ def jobs_per_month_q(spark, sf_dir):
 @register("top_skills_by_title", oracle.q("""
 SELECT t.job_title_short, r.skill_rank, r.skill_name, r.job_count FROM (
   SELECT title_cat_id, skill_name, job_count,
-    row_number() OVER (PARTITION BY title_cat_id ORDER BY job_count DESC, skill_name ASC) AS skill_rank
+    CAST(row_number() OVER (PARTITION BY title_cat_id ORDER BY job_count DESC, skill_name ASC) AS INTEGER)
+      AS skill_rank
   FROM (
     SELECT p.title_cat_id, s.skill_name, count(*) AS job_count
     FROM (SELECT DISTINCT job_id, skill_id FROM job_skill) b

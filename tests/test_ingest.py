@@ -121,3 +121,24 @@ def test_stream_ingest_is_idempotent(spark):
     q2 = start_file_ingest(spark, root, store, checkpoint=f"{root}/_stream_ckpt2", available_now=True)
     q2.awaitTermination(300)
     assert committed_landing(spark, store).count() == n
+
+
+def test_file_positions_across_split_partitions(spark):
+    """A file read in several splits still gets dense positions in file order."""
+    root = tempfile.mkdtemp(prefix="postline-test-split-")
+    path = os.path.join(root, "big.csv")
+    n = 20000
+    with open(path, "w") as fh:
+        fh.write("job_title,company_name\n")
+        for i in range(n):
+            fh.write(f"title {i:06d},co{i % 97}\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = files.read_postings_csv(spark, [path], multiline=False)
+        assert df.rdd.getNumPartitions() > 3
+        rows = files.with_file_positions(df).select("_pos", "job_title").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = sorted((r._pos, r.job_title) for r in rows)
+    assert got == [(i, f"title {i:06d}") for i in range(n)]

@@ -25,8 +25,12 @@ from postline.functions.columns import canon, hash_key, non_blank
 from postline.operators.nested import flat_skill_names, typed_skill_pairs
 
 
-def job_posting(stg: DataFrame, run_ts: datetime) -> DataFrame:
-    """One row per staged posting with a company; FKs hash names."""
+def job_posting(stg: DataFrame, run_ts: datetime | None) -> DataFrame:
+    """One row per staged posting with a company; FKs hash names.
+
+    Extra columns of ``stg`` starting with ``_`` are carried along.
+    """
+    extra = [c for c in stg.columns if c.startswith("_")]
     return stg.where(F.nullif(F.trim("company_name"), F.lit("")).isNotNull()).select(
         hash_key("business_key").alias("job_id"),
         "business_key",
@@ -49,12 +53,16 @@ def job_posting(stg: DataFrame, run_ts: datetime) -> DataFrame:
         hash_key(canon("salary_rate")).alias("rate_type_id"),
         "ingested_at",
         F.lit(run_ts).alias("created_at"),
+        *extra,
     )
 
 
-def job_skill(stg: DataFrame, run_ts: datetime) -> DataFrame:
-    """(job_id, skill_id, skill_cat_id) per valid posting, row-local."""
-    link = "struct<skill_id:string,skill_cat_id:string>"
+LINK = "struct<skill_id:string,skill_cat_id:string>"
+
+
+def job_links():
+    """The distinct (skill_id, skill_cat_id) links of a staged row (M13 inside one row)."""
+    link = LINK
     flat = F.transform(flat_skill_names(F.coalesce(F.col("job_skills_array"), F.array().cast("array<string>"))),
                        lambda s: F.struct(F.md5(s).alias("skill_id"),
                                           F.lit(None).cast("string").alias("skill_cat_id")))
@@ -62,7 +70,12 @@ def job_skill(stg: DataFrame, run_ts: datetime) -> DataFrame:
         F.coalesce(typed_skill_pairs(F.col("job_type_skills")),
                    F.array().cast("array<struct<skill_category:string,skill_name:string>>")),
         lambda p: F.struct(F.md5(p["skill_name"]).alias("skill_id"), F.md5(p["skill_category"]).alias("skill_cat_id")))
-    links = F.array_distinct(F.concat(flat.cast(f"array<{link}>"), typed.cast(f"array<{link}>")))
+    return F.array_distinct(F.concat(flat.cast(f"array<{link}>"), typed.cast(f"array<{link}>")))
+
+
+def job_skill(stg: DataFrame, run_ts: datetime) -> DataFrame:
+    """(job_id, skill_id, skill_cat_id) per valid posting, row-local."""
+    links = job_links()
     return (
         stg.where(F.nullif(F.trim("company_name"), F.lit("")).isNotNull())
         .select(hash_key("business_key").alias("job_id"), "ingested_at", F.explode(links).alias("l"))

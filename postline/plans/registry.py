@@ -328,8 +328,7 @@ def ledger_invalid_status_q(spark, sf_dir):
 
 @register("fact_job_posting", oracle.q(oracle.STAR_FACT))
 def fact_job_posting_q(spark, sf_dir):
-    m = _shared(spark, sf_dir)
-    return star.fact_job_posting(m["job_posting"], m["job_skill"])
+    return star.fact_from_staging(models.staging(_raw(spark, sf_dir)))
 
 
 @register("fact_job_posting_daily", oracle.q("""

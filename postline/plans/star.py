@@ -81,6 +81,25 @@ def fact_job_posting(posting: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
+def fact_from_staging(stg: DataFrame) -> DataFrame:
+    """R1 built inside each staged row: no join, no shuffle.
+
+    A posting and all of its bridge rows come from one staged row, so the
+    measures (bridge rows, distinct skills) are array sizes of that row's
+    links; the result equals ``fact_job_posting(posting, bridge)``.
+    """
+    from postline.operators.bridge import job_links, job_posting
+    posting = job_posting(stg.withColumn("_links", job_links()), run_ts=None)
+    return posting.select(
+        "job_id", "company_id", "country_id", "platform_id", "schedule_type_id", "rate_type_id", "title_cat_id",
+        date_key(posted_ts()).alias("date_key"), job_flags_key().alias("job_flags_key"),
+        F.lit(1).alias("job_count"), "salary_year_avg", "salary_hour_avg",
+        F.size("_links").cast("long").alias("skill_count"),
+        F.size(F.array_distinct(F.transform("_links", lambda l: l["skill_id"]))).cast("long")
+        .alias("distinct_skill_count"),
+    )
+
+
 def fact_job_posting_daily(keyed_landing: DataFrame) -> DataFrame:
     """R2: snapshot grain — one row per posting per ingestion date, with copies seen."""
     return (keyed_landing.select(F.md5("business_key").alias("job_id"),

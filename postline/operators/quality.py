@@ -266,10 +266,12 @@ def report_sql(checks: Sequence[Check | Singular], now: datetime | None = None)
         else:
             raise ValueError(f"no SQL form for check {ch.name}")
 
-    for n, (rel, group) in enumerate(by_rel.items()):
+    for rel, group in by_rel.items():
+        # one scan and one global aggregate per relation; its checks become rows via inline()
         aggs = ", ".join(f"count_if({ch.columns[0]} IS NULL) AS c{k}" for k, ch in enumerate(group))
-        ctes.append(f"nn{n} AS (SELECT {aggs} FROM {t(rel)})")
-        selects += [f"SELECT {head(ch)}, c{k} AS failures FROM nn{n}" for k, ch in enumerate(group)]
+        rows = ", ".join(f"named_struct('check_name', {_lit(ch.name)}, 'relation', {_lit(ch.relation)}, "
+                         f"'kind', 'not_null', 'failures', c{k})" for k, ch in enumerate(group))
+        selects.append(f"SELECT inline(array({rows})) FROM (SELECT {aggs} FROM {t(rel)})")
 
     if uniques:
         vals = " UNION ALL ".join(

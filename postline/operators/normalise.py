@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postline.functions.columns import (clean_bool, clean_bool_sql, clean_decimal, clean_decimal_sql, clean_text,
-                                        clean_text_sql, null_like_sql, sql_ident, strip_sql)
-from postline.functions.literals import (cleaned_entries_sql, cleaned_list_sql, parse_list, parse_map,
-                                         parsed_list_sql, parsed_map_sql, register_udfs)
+from postline.functions.columns import clean_bool_sql, clean_decimal_sql, clean_text_sql, null_like_sql, sql_ident, strip_sql
+from postline.functions.literals import (cleaned_entries_sql, cleaned_list_sql, parsed_list_sql, parsed_map_sql,
+                                         register_udfs)
 from postline.schemas import BOOL_COLUMNS, DECIMAL_COLUMNS, LIST_COLUMN, MAP_COLUMN, SOURCE_COLUMNS, TEXT_COLUMNS
 
 PROFILE_COLUMNS = [
@@ -18,20 +17,6 @@ PROFILE_COLUMNS = [
 ]
 
 
-def typed_column(name: str, stripped: Column | None = None) -> Column:
-    if name in TEXT_COLUMNS:
-        return clean_text(name, stripped)
-    if name in BOOL_COLUMNS:
-        return clean_bool(name, stripped)
-    if name in DECIMAL_COLUMNS:
-        return clean_decimal(name, *DECIMAL_COLUMNS[name], stripped=stripped)
-    if name == LIST_COLUMN:
-        return parse_list(name)
-    if name == MAP_COLUMN:
-        return parse_map(name)
-    raise KeyError(name)
-
-
 def with_missing_columns(src: DataFrame) -> DataFrame:
     """Columns are matched by name; a source column that is absent is NULL."""
     have = set(src.columns)

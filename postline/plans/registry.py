@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datetime import datetime
-
 from postline import oracle
-from postline.functions.columns import map_text, sorted_text
-from postline.operators import bridge, dedup, dimensions, nested
+from postline.functions.columns import map_text
+from postline.operators import bridge, dedup, nested
 from postline.operators import quality
 from postline.operators.normalise import normalise_postings
 from postline.plans import ingest, doc_ledger, models, star
@@ -422,4 +422,4 @@ def remote_vs_onsite_q(spark, sf_dir):
     return star.remote_vs_onsite(_shared(spark, sf_dir)["job_posting"])
 
 
-__all__ = ["REGISTRY", "register", "sorted_text"]
+__all__ = ["REGISTRY", "register"]

@@ -69,10 +69,10 @@ def run_map(spark, cells):
 
 
 def test_fixture_cases_lists(spark):
-    cells = ["['python', 'sql', 'airflow']", "not-a-list", "[]", "['a', None, 'null', '  ', 'NaN']",
+    cells = ["['scala', 'sql', 'spark']", "not-a-list", "[]", "['a', None, 'null', '  ', 'NaN']",
              "['N/A', ' x ']", '["it\'s", \'b\']', "['a',]", "['a', 1, 2.5]", None, "  ", "('a', 'b')"]
     assert run_list(spark, cells) == [expect_list(c) for c in cells]
-    assert run_list(spark, cells)[:4] == [["python", "sql", "airflow"], None, None, ["a"]]
+    assert run_list(spark, cells)[:4] == [["scala", "sql", "spark"], None, None, ["a"]]
 
 
 def test_fixture_cases_dicts(spark):

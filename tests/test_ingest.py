@@ -41,7 +41,7 @@ def test_ingest_then_skip(spark):
     store = Paths(landing=f"{root}/landing", ledger=f"{root}/ledger")
     t0 = datetime(2024, 5, 1, 12, 0, 0)
     stats = ingest_files(spark, paths, store, source_name="test", now=t0).collect()
-    assert len(stats) == 2
+    assert len(stats) == 2 and not any(s.skipped for s in stats)
     landed = committed_landing(spark, store)
     n = landed.count()
     assert n == sum(s.total_rows for s in stats) > 0
@@ -60,8 +60,8 @@ def test_ingest_then_skip(spark):
 
     # second run: everything is completed, nothing is read or written
     before = sorted(tuple(r) for r in read_ledger(spark, store).collect())
-    again = ingest_files(spark, paths, store, source_name="test", now=datetime(2024, 6, 1))
-    assert again.count() == 0
+    again = ingest_files(spark, paths, store, source_name="test", now=datetime(2024, 6, 1)).collect()
+    assert len(again) == 2 and all(r.skipped and r.total_rows == 0 and r.inserted_rows == 0 for r in again)
     assert sorted(tuple(r) for r in read_ledger(spark, store).collect()) == before
     assert committed_landing(spark, store).count() == n
 
@@ -70,6 +70,7 @@ def test_row_cap_and_reload(spark):
     root, paths = _write_csv_files(spark, 1)
     store = Paths(landing=f"{root}/landing", ledger=f"{root}/ledger")
     capped = ingest_files(spark, paths, store, row_cap=10, now=datetime(2024, 5, 1)).collect()
+    assert not capped[0].skipped
     assert capped[0].total_rows == 10
     # a full load after a capped one is not skipped, and overwrites the file's partition
     full = ingest_files(spark, paths, store, now=datetime(2024, 5, 2)).collect()

@@ -1,15 +1,20 @@
 """File-level sources: CSV scan by column name and content fingerprints.
 
 A posting file is read with every column as text (no inference) and columns
-are matched by *name*: a missing column becomes NULL, extra ones are ignored.
+are matched by *name* (each file's own header): a missing column becomes
+NULL, extra named columns are ignored, and a row with more fields than the
+header is flagged (``_extra``).
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postline.operators.normalise import with_missing_columns
 from postline.schemas import SOURCE_COLUMNS
@@ -27,19 +32,57 @@ def fingerprint_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
                     F.col("length").alias("size")))
 
 
+# Read empty cells as '' (the cleaning treats '' as no value); a value no file holds stands for NULL.
+_NO_NULL_TOKEN = "\u0001postline-no-null\u0001"
+
+
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Header line of each file (one line read per file through the Hadoop file system)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    out: dict[str, list[str]] = {}
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        stream = path.getFileSystem(conf).open(path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            line = reader.readLine() or ""
+        finally:
+            reader.close()
+        out[p] = next(csv.reader([line.lstrip("\ufeff")]), [])
+    return out
+
+
 def read_postings_csv(spark: SparkSession, paths: str | Sequence[str], multiline: bool = True) -> DataFrame:
     """Header CSV, quoted fields with doubled quotes, newlines inside quotes.
 
-    Adds ``_file`` (the file path) and ``_mono`` (increasing in file order
-    within each read partition).
+    Columns are matched by each file's own header: files are grouped by
+    header and each group is read with a positional schema named after it,
+    plus one trailing ``_extra`` column that catches fields beyond the header
+    (a malformed row).  Adds ``_file`` (path) and ``_mono`` (increasing in
+    file order within each read partition).  ``multiline=False`` makes large
+    files splittable when no field holds a newline.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = (spark.read.option("header", "true").option("multiLine", str(multiline).lower())
-          .option("escape", '"').option("quote", '"').option("inferSchema", "false")
-          .option("mode", "PERMISSIVE").csv(paths))
-    df = with_missing_columns(df)
-    return df.select(*SOURCE_COLUMNS, F.col("_metadata.file_path").alias("_file"),
-                     F.monotonically_increasing_id().alias("_mono"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p, header in file_headers(spark, paths).items():
+        groups.setdefault(tuple(header), []).append(p)
+    frames = []
+    for header, group in groups.items():
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))]
+                              + [T.StructField("_extra", T.StringType())])
+        df = (spark.read.schema(schema).option("header", "true").option("multiLine", str(multiline).lower())
+              .option("escape", '"').option("quote", '"').option("nullValue", _NO_NULL_TOKEN)
+              .option("mode", "PERMISSIVE").csv(group))
+        named, seen = [], set()
+        for i, name in enumerate(header):
+            if name not in seen:           # a repeated header name keeps its first column
+                seen.add(name)
+                named.append(F.col(f"_c{i}").alias(name))
+        df = with_missing_columns(df.select(*named, "_extra"))
+        frames.append(df.select(*SOURCE_COLUMNS, "_extra", F.col("_metadata.file_path").alias("_file"),
+                                F.monotonically_increasing_id().alias("_mono")))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def with_file_positions(df: DataFrame) -> DataFrame:

@@ -143,3 +143,23 @@ def test_file_positions_across_split_partitions(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     got = sorted((r._pos, r.job_title) for r in rows)
     assert got == [(i, f"title {i:06d}") for i in range(n)]
+
+
+def test_file_with_extra_fields_fails_alone(spark):
+    root = tempfile.mkdtemp(prefix="postline-test-bad-")
+    good, bad = os.path.join(root, "good.csv"), os.path.join(root, "bad.csv")
+    with open(good, "w") as fh:
+        fh.write('job_title,company_name\n"Analyst","Acme"\n"Engineer",""\n')
+    with open(bad, "w") as fh:
+        fh.write('company_name,job_title\n"Beta","Dev"\n"Gamma","Ops","surplus"\n')
+    store = Paths(landing=f"{root}/landing", ledger=f"{root}/ledger")
+    stats = {r.file_path.rsplit("/", 1)[-1]: r for r in ingest_files(spark, [good, bad], store).collect()}
+    assert stats["good.csv"].status == "completed" and stats["good.csv"].inserted_rows == 2
+    assert stats["bad.csv"].status == "failed" and stats["bad.csv"].inserted_rows == 0
+    landed = committed_landing(spark, store).select("id", "company_name", "job_title").orderBy("id").collect()
+    assert [(r.id, r.company_name, r.job_title) for r in landed] == [(1, "Acme", "Analyst"), (2, None, "Engineer")]  # cells are cleaned
+    statuses = {r.file_path.rsplit("/", 1)[-1]: r.status for r in read_ledger(spark, store).collect()}
+    assert statuses == {"good.csv": "completed", "bad.csv": "failed"}
+    # a failed file is pending again on the next run
+    again = {r.file_path.rsplit("/", 1)[-1]: r.status for r in ingest_files(spark, [good, bad], store).collect()}
+    assert again == {"good.csv": "skipped", "bad.csv": "failed"}

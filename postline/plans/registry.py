@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from postline import oracle
 from postline.functions.columns import map_text
-from postline.operators import bridge, dedup, nested
+from postline.operators import bridge, dedup, dimensions, nested
 from postline.operators import quality
 from postline.operators.normalise import normalise_postings
 from postline.plans import ingest, doc_ledger, models, star
@@ -172,6 +172,12 @@ for _name in ["company", "country", "platform", "schedule_type", "salary_rate_ty
     register(f"dim_{_name}", oracle.q(f"SELECT * FROM {_name}"))(_dim_query(_name))
 
 
+@register("dim_skill_sorted", oracle.q("SELECT * FROM skill ORDER BY skill_name"))
+def dim_skill_sorted_q(spark, sf_dir):
+    """O1: the skill dimension in name order (range-partitioned sort)."""
+    return dimensions.sorted_by(_models(spark, sf_dir)["skill"], "skill_name")
+
+
 @register("job_posting", oracle.q("SELECT * FROM job_posting"))
 def job_posting_q(spark, sf_dir):
     return _models(spark, sf_dir)["job_posting"]

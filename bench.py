@@ -67,7 +67,7 @@ def main() -> None:
         def write(name):
             built[name].write.mode("overwrite").parquet(f"{out_root}/models/{name}")
             return name
-        with ThreadPoolExecutor(max_workers=4) as pool:
+        with ThreadPoolExecutor(max_workers=int(os.environ.get("BENCH_MODEL_THREADS", "4"))) as pool:
             names = list(pool.map(write, models.MODEL_NAMES[1:]))
         return {"stg_raw_jobs": stg, **{n: spark.read.parquet(f"{out_root}/models/{n}") for n in names}}
 

@@ -134,25 +134,31 @@ def dedup_merge(raw: DataFrame, run_ts: datetime) -> DataFrame:
     """A5/M1: one row per business key — earliest record + union of all skills.
 
     ``raw`` is the landing table (``id``, posting columns, nested columns,
-    ``ingested_at``).  One shuffle on ``business_key``.
+    ``ingested_at``).  One shuffle on ``business_key``.  The wide primary
+    record rides only on the first element of each row's expansion, so the
+    explode does not copy it onto every skill row.
     """
     keyed = with_business_key(raw)
     primary = F.struct("raw_job_id", *POSTING_COLUMNS, "job_type_skills", "ingested_at")
-    item = "struct<kind:int,skill:string,category:string>"
+    p_type = keyed.select(primary.alias("p")).schema["p"].dataType.simpleString()
+    o_type = keyed.select(_first_order().alias("o")).schema["o"].dataType.simpleString()
+    item = f"struct<kind:int,skill:string,category:string,p:{p_type},o:{o_type}>"
+    none_p, none_o = F.lit(None).cast(p_type), F.lit(None).cast(o_type)
     items = F.concat(
         F.array(F.struct(F.lit(0).alias("kind"), F.lit(None).cast("string").alias("skill"),
-                         F.lit(None).cast("string").alias("category"))),
+                         F.lit(None).cast("string").alias("category"), primary.alias("p"),
+                         _first_order().alias("o"))).cast(f"array<{item}>"),
         F.transform(F.coalesce(trimmed_skills(F.col("job_skills")), _empty_skills()),
-                    lambda s: F.struct(F.lit(1), s, F.lit(None).cast("string"))).cast(f"array<{item}>"),
+                    lambda s: F.struct(F.lit(1), s, F.lit(None).cast("string"), none_p, none_o))
+        .cast(f"array<{item}>"),
         F.transform(F.coalesce(trimmed_type_pairs(F.col("job_type_skills")),
                                F.array().cast("array<struct<category:string,skill:string>>")),
-                    lambda p: F.struct(F.lit(2), p["skill"], p["category"])).cast(f"array<{item}>"),
+                    lambda p: F.struct(F.lit(2), p["skill"], p["category"], none_p, none_o))
+        .cast(f"array<{item}>"),
     )
-    expanded = keyed.select("business_key", primary.alias("p"), _first_order().alias("o"),
-                            F.explode(items).alias("i"))
-    is_primary = F.col("i.kind") == 0
+    expanded = keyed.select("business_key", F.explode(items).alias("i"))
     merged = expanded.groupBy("business_key").agg(
-        F.min_by(F.when(is_primary, F.col("p")), F.when(is_primary, F.col("o"))).alias("primary"),
+        F.min_by(F.col("i.p"), F.col("i.o")).alias("primary"),
         F.collect_set(F.when(F.col("i.kind") == 1, F.col("i.skill"))).alias("skills"),
         F.collect_set(F.when(F.col("i.kind") == 2, F.struct(F.col("i.category").alias("category"),
                                                              F.col("i.skill").alias("skill")))).alias("pairs"),

@@ -163,3 +163,14 @@ def test_file_with_extra_fields_fails_alone(spark):
     # a failed file is pending again on the next run
     again = {r.file_path.rsplit("/", 1)[-1]: r.status for r in ingest_files(spark, [good, bad], store).collect()}
     assert again == {"good.csv": "skipped", "bad.csv": "failed"}
+
+
+def test_run_build_chains_the_three_steps(spark):
+    from postline.plans.build import run_build
+    root, paths = _write_csv_files(spark, 2)
+    store = Paths(landing=f"{root}/landing", ledger=f"{root}/ledger")
+    stats, tables, results = run_build(spark, paths, store, f"{root}/warehouse", fail_fast=False)
+    assert len(stats) == 2 and tables["job_posting"].count() > 0
+    assert len(results) == 59
+    failing = {name for name, n in results if n}
+    assert failing <= {"unique(stg_job_skills_exploded.skill_assignment_id)"}

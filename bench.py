@@ -80,7 +80,7 @@ def main() -> None:
     timed("star_avg_salary", lambda: noop(star.avg_salary_country_platform(t["job_posting"], t["country"],
                                                                            t["platform"])))
     timed("star_jobs_per_month", lambda: noop(star.jobs_per_month(t["job_posting"], t["company"])))
-    timed("star_skill_weight", lambda: noop(star.bridge_skill_weight(t["job_skill"])))
+    timed("star_skill_weight", lambda: noop(star.weights_from_staging(t["stg_raw_jobs"])))
     timed("ledger", lambda: noop(doc_ledger.upserted(spark, sf_dir)))
     timed("e2e_flagship", lambda: registry.REGISTRY["avg_salary_country_platform"][0](spark, sf_dir).collect())
 

@@ -365,7 +365,7 @@ def skill_measures_q(spark, sf_dir):
 SELECT job_id, skill_id, 1.0 / count(*) OVER (PARTITION BY job_id) AS weight
 FROM (SELECT DISTINCT job_id, skill_id FROM job_skill)"""))
 def bridge_skill_weight_q(spark, sf_dir):
-    return star.bridge_skill_weight(_shared(spark, sf_dir)["job_skill"])
+    return star.weights_from_staging(models.staging(_raw(spark, sf_dir)))
 
 
 @register("jobs_per_month", oracle.q("""

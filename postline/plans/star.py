@@ -114,6 +114,19 @@ def bridge_skill_weight(bridge: DataFrame) -> DataFrame:
     return pairs.select("job_id", "skill_id", (F.lit(1.0) / n).alias("weight"))
 
 
+def weights_from_staging(stg: DataFrame) -> DataFrame:
+    """R7 inside each staged row: the job's distinct skills, each weighted 1/n (no shuffle).
+
+    Equals ``bridge_skill_weight(job_skill)``: all bridge rows of a job come
+    from its staged row.
+    """
+    from postline.operators.bridge import job_links
+    skills = F.array_distinct(F.transform(job_links(), lambda l: l["skill_id"]))
+    valid = stg.where(F.nullif(F.trim("company_name"), F.lit("")).isNotNull())
+    return (valid.select(F.md5("business_key").alias("job_id"), skills.alias("_s"))
+            .select("job_id", F.explode("_s").alias("skill_id"), (F.lit(1.0) / F.size("_s")).alias("weight")))
+
+
 def _money_avg(col: str, alias: str) -> list[Column]:
     """Average of a 2-decimal amount, rounded half-up to cents in integer arithmetic
     (exact and engine-independent), then given in currency units."""

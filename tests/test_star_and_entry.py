@@ -89,3 +89,12 @@ def test_row_local_fact_equals_joined_fact(small_models):
     assert sorted(b.columns) == cols
     assert sorted(map(tuple, a.select(cols).collect()), key=key) == sorted(map(tuple, b.select(cols).collect()), key=key)
     assert "Exchange" not in a._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_local_weights_equal_bridge_weights(small_models):
+    m = small_models
+    a = star.weights_from_staging(m["stg_raw_jobs"])
+    b = star.bridge_skill_weight(m["job_skill"])
+    rows = lambda df: sorted((r.job_id, r.skill_id, round(r.weight, 12)) for r in df.collect())
+    assert rows(a) == rows(b)
+    assert "Exchange" not in a._jdf.queryExecution().executedPlan().toString()

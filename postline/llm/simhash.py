@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postline.llm.common import cut, read_table
@@ -179,3 +179,26 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_components(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
+                        max_bits: int = 3) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id.
+
+    Of rows that repeat an id, the one with the smallest text hash stays.  Rows
+    with a null id have no identity to decide on and stay.
+    """
+    found = simhash_components(docs, id_col, text_col, size, max_bits).where("doc_id is not null")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    columns = [F.col(c) for c in docs.columns]
+    key = F.col(id_col).cast("long")
+    kept = (docs.withColumn("_simhash_id", key)
+            .join(gone.withColumnRenamed("doc_id", "_simhash_id"), "_simhash_id", "left_anti"))
+    twice = cut(found.groupBy("doc_id").count().where("count > 1").select(
+        F.col("doc_id").alias("_simhash_id")), "simhash-twice")
+    if twice.isEmpty():
+        return kept.select(*columns)
+    order = Window.partitionBy("_simhash_id").orderBy(F.xxhash64(text_col), *[F.col(c) for c in docs.columns])
+    first = kept.where("_simhash_id is not null").withColumn("_simhash_n", F.row_number().over(order)).where(
+        "_simhash_n = 1")
+    return first.select(*columns).unionByName(kept.where("_simhash_id is null").select(*columns))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from postline.llm import pii, simhash, url_filter
+from postline.llm import pii, sentence_pieces, simhash, token_codes, url_filter
 
 REGISTRY = {
     "op2_pii_spans": (pii.op2_pii_spans, None),
+    "op3_token_codes": (token_codes.op3_token_codes, None),
     "op5_simhash": (simhash.op5_simhash, None),
     "op8_url_filter": (url_filter.op8_url_filter, url_filter.ORACLE),
+    "op10_sentencepiece": (sentence_pieces.op10_sentencepiece, None),
 }

@@ -198,7 +198,7 @@ def keep_first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("doc_id").alias("_simhash_id")), "simhash-twice")
     if twice.isEmpty():
         return kept.select(*columns)
-    order = Window.partitionBy("_simhash_id").orderBy(F.xxhash64(text_col), *[F.col(c) for c in docs.columns])
+    order = Window.partitionBy("_simhash_id").orderBy(F.xxhash64(text_col), F.to_json(F.struct(*columns)))
     first = kept.where("_simhash_id is not null").withColumn("_simhash_n", F.row_number().over(order)).where(
         "_simhash_n = 1")
     return first.select(*columns).unionByName(kept.where("_simhash_id is null").select(*columns))

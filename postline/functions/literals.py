@@ -27,11 +27,12 @@ MAP_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
 
 # Guard: quoted items without backslashes/control characters, spaces only
 # between tokens, whole cell.  On such text from_json(allowSingleQuotes)
-# reads exactly what the Python literal reader reads.
-_TOK = r"""(?:'[^'"\\\x00-\x1f]*'|"[^"\\\x00-\x1f]*")"""
-_ITEMS = rf"\[ *(?:{_TOK} *(?:, *{_TOK} *)*)?\]"
-LIST_GUARD = rf"\A *{_ITEMS} *\z"
-DICT_GUARD = rf"\A *\{{ *(?:{_TOK} *: *{_ITEMS} *(?:, *{_TOK} *: *{_ITEMS} *)*)?\}} *\z"
+# reads exactly what the Python literal reader reads.  All repeats are
+# possessive: nothing is given back, so the matcher needs no stack per item.
+_TOK = r"""(?:'[^'"\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+")"""
+_ITEMS = rf"\[ *+(?:{_TOK} *+(?:, *+{_TOK} *+)*+)?+\]"
+LIST_GUARD = rf"\A *+{_ITEMS} *+\z"
+DICT_GUARD = rf"\A *+\{{ *+(?:{_TOK} *+: *+{_ITEMS} *+(?:, *+{_TOK} *+: *+{_ITEMS} *+)*+)?+\}} *+\z"
 
 _JSON_OPTS = {"allowSingleQuotes": "true"}
 

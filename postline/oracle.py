@@ -364,7 +364,7 @@ prior_rows AS (
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id
 ),
 prior AS (
-  SELECT file_md5, file_path, source_name, status, CAST(NULL AS BIGINT) AS row_cap,
+  SELECT file_md5, file_path, source_name, status,
     lines AS total_rows, CAST(CASE WHEN status = 'completed' THEN lines ELSE 0 END AS BIGINT) AS inserted_rows,
     CAST(0 AS BIGINT) AS parse_warnings, CAST(0 AS BIGINT) AS job_skills_missing,
     CAST(0 AS BIGINT) AS job_skills_invalid, CAST(0 AS BIGINT) AS job_type_skills_missing,
@@ -380,11 +380,10 @@ one_per_hash AS (
 ),
 pending AS (
   SELECT * FROM one_per_hash o
-  WHERE NOT EXISTS (SELECT 1 FROM prior p WHERE p.file_md5 = o.file_md5 AND p.status = 'completed'
-                    AND p.row_cap IS NULL)
+  WHERE NOT EXISTS (SELECT 1 FROM prior p WHERE p.file_md5 = o.file_md5 AND p.status = 'completed')
 ),
 entries AS (
-  SELECT file_md5, file_path, source_name, 'completed' AS status, CAST(NULL AS BIGINT) AS row_cap,
+  SELECT file_md5, file_path, source_name, 'completed' AS status,
     total_rows, total_rows AS inserted_rows, CAST(0 AS BIGINT) AS parse_warnings,
     CAST(0 AS BIGINT) AS job_skills_missing, CAST(0 AS BIGINT) AS job_skills_invalid,
     CAST(0 AS BIGINT) AS job_type_skills_missing, CAST(0 AS BIGINT) AS job_type_skills_invalid,
@@ -396,7 +395,6 @@ upserted AS (
     coalesce(o.file_path, n.file_path) AS file_path,
     coalesce(o.source_name, n.source_name) AS source_name,
     CASE WHEN n.file_md5 IS NOT NULL THEN n.status ELSE o.status END AS status,
-    CASE WHEN n.file_md5 IS NOT NULL THEN n.row_cap ELSE o.row_cap END AS row_cap,
     CASE WHEN n.file_md5 IS NOT NULL THEN n.total_rows ELSE o.total_rows END AS total_rows,
     CASE WHEN n.file_md5 IS NOT NULL THEN n.inserted_rows ELSE o.inserted_rows END AS inserted_rows,
     CASE WHEN n.file_md5 IS NOT NULL THEN n.parse_warnings ELSE o.parse_warnings END AS parse_warnings,

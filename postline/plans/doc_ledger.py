@@ -49,7 +49,7 @@ def prior_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = F.col("status") == "completed"
     started = F.to_timestamp(F.lit(PRIOR_START)) + F.make_dt_interval(mins=F.col("doc_id"))
     return one.select(
-        "file_md5", "file_path", "source_name", "status", F.lit(None).cast("long").alias("row_cap"),
+        "file_md5", "file_path", "source_name", "status",
         F.col("lines").alias("total_rows"),
         F.when(done, F.col("lines")).otherwise(F.lit(0)).cast("long").alias("inserted_rows"),
         *[F.lit(0).cast("long").alias(c) for c in ledger.COUNTERS[2:]],

@@ -60,7 +60,6 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType(), False),
     T.StructField("source_name", T.StringType(), False),
     T.StructField("status", T.StringType(), False),
-    T.StructField("row_cap", T.LongType()),
     T.StructField("total_rows", T.LongType(), False),
     T.StructField("inserted_rows", T.LongType(), False),
     T.StructField("parse_warnings", T.LongType(), False),
@@ -71,3 +70,17 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("started_at", T.TimestampType(), False),
     T.StructField("finished_at", T.TimestampType()),
 ])
+
+# Entries as written: the ledger's columns, the run that wrote them and the id before the file's first row.
+ENTRY_SCHEMA = T.StructType(LEDGER_SCHEMA.fields + [
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("id_before", T.LongType(), False),
+])
+# Where each read partition of a landed file begins: row number of its first row, and the id before that row.
+SEGMENT_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("file_md5", T.StringType(), False),
+    T.StructField("read_part", T.LongType(), False),
+    T.StructField("first_row", T.LongType(), False),
+    T.StructField("id_before", T.LongType(), False),
+])

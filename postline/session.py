@@ -9,7 +9,9 @@ are only given defaults for local runs and tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +23,8 @@ SEMANTIC_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
-# Confs that only change the physical plan. AQE re-plans joins from runtime
-# sizes (broadcast only when a side is measured below the threshold), splits
+# Confs that only change the physical plan, for local runs and tests; a cluster's
+# own settings are never touched. AQE re-plans joins from runtime sizes, splits
 # skewed partitions and coalesces small ones.
 PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -35,7 +37,8 @@ PLAN_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for key, value in {**SEMANTIC_CONF, **PLAN_CONF}.items():
+    """Set the confs that change results; sizes and thresholds stay as the deployment has them."""
+    for key, value in SEMANTIC_CONF.items():
         spark.conf.set(key, value)
     return spark
 
@@ -52,7 +55,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("POSTLINE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in SEMANTIC_CONF.items():
+    for key, value in {**SEMANTIC_CONF, **PLAN_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -65,8 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (tests, local runs) a fresh scratch folder is
-    made for this process.
+    as is.  Only when it is unset and the master is local (tests, local runs) a
+    fresh scratch folder is made for this process; anywhere else executors could
+    not share it, so that is an error.
     """
     sc = spark.sparkContext
     active = sc.getCheckpointDir()
@@ -76,17 +80,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return sc.getCheckpointDir() or named
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="postline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Written copies of relations that several jobs read, deleted at the end.
+
+    A copy in the shared folder survives the loss of executors (unlike a local
+    checkpoint).  Frames read from it must not be used after the ``with`` block.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_exc) -> None:
+        delete_path(self.spark, self.root)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+    """Reliable checkpoint into the shared checkpoint folder, for a frame that is returned.
 
-    Survives executor loss (unlike a local checkpoint); used before a relation
-    fans out to many consumers.
+    Survives executor loss (unlike a local checkpoint); the files go with the
+    frame where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

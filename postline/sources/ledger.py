@@ -26,20 +26,16 @@ def completed(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("status") == "completed")
 
 
-def pending_files(files: DataFrame, ledger: DataFrame, row_cap: int | None = None) -> DataFrame:
-    """Files with no completed load that covers this request.
+def pending_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Files with no completed load.
 
-    A completed full load (no cap) covers every request; a capped one covers
-    only a request with the same cap.  Files are first reduced to one path
-    per fingerprint (the smallest path), so equal copies load once.
+    Files are first reduced to one path per fingerprint (the smallest path), so
+    equal copies load once.
     """
     one_per_hash = files.groupBy("file_md5").agg(
         F.min_by(F.struct(*[c for c in files.columns if c != "file_md5"]), F.col("file_path")).alias("_f")
     ).select("file_md5", "_f.*")
-    done = completed(ledger)
-    covers = done.where(F.col("row_cap").isNull() if row_cap is None
-                        else F.col("row_cap").isNull() | (F.col("row_cap") == F.lit(row_cap)))
-    return one_per_hash.join(covers.select("file_md5"), "file_md5", "left_anti")
+    return one_per_hash.join(completed(ledger).select("file_md5"), "file_md5", "left_anti")
 
 
 def already_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -48,19 +44,18 @@ def already_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def run_entries(stats: DataFrame, run_started: datetime, run_finished: datetime,
-                status: str = "completed", row_cap: int | None = None) -> DataFrame:
+                status: str = "completed") -> DataFrame:
     """Ledger rows of one run from per-file stats (file_md5, file_path, source_name, counters)."""
     return stats.select(
         "file_md5", "file_path", "source_name", F.lit(status).alias("status"),
-        F.lit(row_cap).cast("long").alias("row_cap"),
         *[F.col(c).cast("long").alias(c) for c in COUNTERS],
         F.lit(run_started).alias("started_at"), F.lit(run_finished).alias("finished_at"),
     )
 
 
 def upsert_ledger(ledger: DataFrame, entries: DataFrame) -> DataFrame:
-    """Insert new fingerprints; on a known one update status, cap, counters
-    and finish time, and keep the stored path, source and start time."""
+    """Insert new fingerprints; on a known one update status, counters and
+    finish time, and keep the stored path, source and start time."""
     old = ledger.alias("o")
     new = entries.alias("n")
     joined = old.join(new, F.col("o.file_md5") == F.col("n.file_md5"), "full_outer")
@@ -74,11 +69,29 @@ def upsert_ledger(ledger: DataFrame, entries: DataFrame) -> DataFrame:
 
     return joined.select(
         F.coalesce(F.col("o.file_md5"), F.col("n.file_md5")).alias("file_md5"),
-        kept("file_path"), kept("source_name"), newer("status"), newer("row_cap"),
+        kept("file_path"), kept("source_name"), newer("status"),
         *[newer(c) for c in COUNTERS], kept("started_at"), newer("finished_at"),
     )
 
 
+def fold_entries(entries: DataFrame) -> DataFrame:
+    """The ledger (a row per fingerprint) from the entries of all runs.
+
+    The first completed load of a fingerprint stands, else its last attempt; path,
+    source and start time are those of the first entry.  Skips of a known
+    fingerprint change nothing.
+    """
+    at = F.struct(F.col("finished_at"), F.col("run_id"), F.col("file_path"))
+    done, tried = F.col("status") == "completed", F.col("status") != "skipped"
+    row = F.struct(*entries.columns)
+    one = entries.groupBy("file_md5").agg(
+        F.min_by(row, F.when(done, at)).alias("done"), F.max_by(row, F.when(tried, at)).alias("last"),
+        F.min_by(row, F.when(tried, at)).alias("first")).where("last is not null")
+    kept = F.coalesce("done", "last")
+    origin = {"file_path", "source_name", "started_at"}
+    return one.select(*[(F.col("first") if c in origin else kept)[c].alias(c) for c in entries.columns])
+
+
 def invalid_status(ledger: DataFrame) -> DataFrame:
     """Rows whose status is outside the allowed domain."""
     return ledger.where(~F.col("status").isin(LEDGER_STATUSES) | F.col("status").isNull())

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import glob
+import gzip
 import hashlib
 import os
 import tempfile
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from postline.plans.ingest import Paths, committed_landing, ingest_files, read_ledger
+from postline.plans import ingest
+from postline.plans.ingest import Paths, committed_landing, ingest_files, read_entries, read_ledger
 from postline.schemas import SOURCE_COLUMNS
 from postline.sources import files, ledger
 from postline.sources.driver_tables import postings_source
@@ -59,25 +62,110 @@ def test_ingest_then_skip(spark):
     assert ledger.invalid_status(read_ledger(spark, store)).count() == 0
 
     # second run: everything is completed, nothing is read or written
-    before = sorted(tuple(r) for r in read_ledger(spark, store).collect())
+    before = sorted(tuple(r) for r in read_ledger(spark, store).collect())    # skips change no ledger row
     again = ingest_files(spark, paths, store, source_name="test", now=datetime(2024, 6, 1)).collect()
     assert len(again) == 2 and all(r.skipped and r.total_rows == 0 and r.inserted_rows == 0 for r in again)
     assert sorted(tuple(r) for r in read_ledger(spark, store).collect()) == before
     assert committed_landing(spark, store).count() == n
 
 
-def test_row_cap_and_reload(spark):
-    root, paths = _write_csv_files(spark, 1)
+def _run(spark, paths, store, **options):
+    """Entries by file name; asserts one for each."""
+    rows = ingest_files(spark, paths, store, **options).collect()
+    by_name = {r.file_path.rsplit("/", 1)[-1]: r for r in rows}
+    assert len(by_name) == len(rows)
+    return by_name
+
+
+def _csv(path, rows, header="job_title,company_name"):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    data = "\n".join([header, *rows]) + "\n"
+    with (gzip.open(path, "wt") if path.endswith(".gz") else open(path, "w")) as fh:
+        fh.write(data)
+    return path
+
+
+def test_no_file_and_no_row_is_lost(spark):
+    """Odd paths, packed files, equal copies, files without rows: one entry each, all rows landed."""
+    root = tempfile.mkdtemp(prefix="postline-test-odd-")
+    paths = [
+        _csv(f"{root}/in dir/my file.csv", ["a,A", "b,B"]),
+        _csv(f"{root}/100%/x%20y+z.csv", ["c,C"]),
+        _csv(f"{root}/zip/packed.csv.gz", ["d,D", "e,E", '"f\ng",F']),
+        _csv(f"{root}/copy one.csv", ["h,H"]),
+        _csv(f"{root}/copy two.csv", ["h,H"]),
+        _csv(f"{root}/empty.csv", []),
+        _csv(f"{root}/other.csv", ["1,2"], header="x,y"),
+        _csv(f"{root}/ümläut.csv", ["i,I"]),
+    ]
+    open(f"{root}/zero.csv", "w").close()
+    paths.append(f"{root}/zero.csv")
+    with open(f"{root}/broken.csv.gz", "wb") as fh:
+        fh.write(b"\x1f\x8bnot gzip at all")
+    paths.append(f"{root}/broken.csv.gz")
     store = Paths(landing=f"{root}/landing", ledger=f"{root}/ledger")
-    capped = ingest_files(spark, paths, store, row_cap=10, now=datetime(2024, 5, 1)).collect()
-    assert not capped[0].skipped
-    assert capped[0].total_rows == 10
-    # a full load after a capped one is not skipped, and overwrites the file's partition
-    full = ingest_files(spark, paths, store, now=datetime(2024, 5, 2)).collect()
-    assert full[0].total_rows > 10
-    assert committed_landing(spark, store).count() == full[0].total_rows
-    row = read_ledger(spark, store).collect()[0]
-    assert row.row_cap is None and row.started_at == datetime(2024, 5, 1)   # start time kept
+    got = _run(spark, paths, store)
+    assert set(got) == {p.rsplit("/", 1)[-1] for p in paths}
+    assert {n: (r.status, r.inserted_rows) for n, r in got.items()} == {
+        "my file.csv": ("completed", 2), "x%20y+z.csv": ("completed", 1), "packed.csv.gz": ("completed", 3),
+        "copy one.csv": ("completed", 1), "copy two.csv": ("skipped", 0), "empty.csv": ("completed", 0),
+        "other.csv": ("failed", 0), "ümläut.csv": ("completed", 1), "zero.csv": ("failed", 0),
+        "broken.csv.gz": ("failed", 0)}
+    assert read_entries(spark, store).count() == len(paths)
+    landed = committed_landing(spark, store).select("id", "job_title", "company_name").collect()
+    assert sorted(r.company_name for r in landed) == list("ABCDEFHI")
+    assert sorted(r.id for r in landed) == list(range(1, 9))
+    assert next(r.job_title for r in landed if r.company_name == "F") == "f\ng"
+    again = _run(spark, paths, store)
+    assert {r.status for n, r in again.items() if got[n].status != "failed"} == {"skipped"}
+    assert committed_landing(spark, store).count() == 8
+
+
+def test_fingerprint_reads_in_blocks(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="postline-test-blocks-")
+    path = _csv(f"{root}/f.csv", [f'"t{i} ""q""",c{i}' for i in range(500)])
+    with open(path, "rb") as fh:
+        data = fh.read()
+    for size in (7, 64, 1 << 20):
+        monkeypatch.setattr(files, "BLOCK_BYTES", size)
+        assert files.scan_file(path) == (hashlib.md5(data).hexdigest(), len(data), ["job_title", "company_name"], False, None)
+    quoted = _csv(f"{root}/q.csv", ["a,b", '"x\ny",z'], header='"job_title","company\nname"')
+    monkeypatch.setattr(files, "BLOCK_BYTES", 5)
+    assert files.scan_file(quoted)[2:] == (["job_title", "company\nname"], True, None)
+
+
+def test_a_run_that_ends_before_its_commit_leaves_nothing(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="postline-test-crash-")
+    path = _csv(f"{root}/f.csv", ["a,A", "b,B"])
+    store = Paths(landing=f"{root}/landing", ledger=f"{root}/ledger")
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest_files(spark, path, store)
+    assert committed_landing(spark, store).count() == 0 and read_ledger(spark, store).count() == 0
+    assert _run(spark, path, store)["f.csv"].status == "completed"
+    assert sorted(r.id for r in committed_landing(spark, store).collect()) == [1, 2]
+
+
+def test_interleaved_runs_have_unique_ids(spark, monkeypatch):
+    """A second run lands and commits between the landing and the commit of the first."""
+    root = tempfile.mkdtemp(prefix="postline-test-two-")
+    one, two = _csv(f"{root}/one.csv", ["a,A", "b,B"]), _csv(f"{root}/two.csv", ["c,C", "d,D", "e,E"])
+    store = Paths(landing=f"{root}/landing", ledger=f"{root}/ledger")
+    commit, ran = ingest._commit, []
+
+    def late(*args):
+        if not ran:
+            ran.append(1)
+            ingest_files(spark, [two, one], store)
+        commit(*args)
+
+    monkeypatch.setattr(ingest, "_commit", late)
+    ingest_files(spark, one, store)
+    landed = committed_landing(spark, store).select("id", "company_name").collect()
+    assert sorted(r.company_name for r in landed) == list("ABCDE")        # the file both loaded counts once
+    assert len({r.id for r in landed}) == 5
+    assert read_ledger(spark, store).count() == 2 and read_entries(spark, store).count() == 3
 
 
 def test_columns_matched_by_name(spark):
@@ -136,7 +224,7 @@ def test_file_positions_across_split_partitions(spark):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        df = files.read_postings_csv(spark, [path], multiline=False)
+        df = files.read_postings_csv(spark, [path])
         assert df.rdd.getNumPartitions() > 3
         rows = files.with_file_positions(df).select("_pos", "job_title").collect()
     finally:

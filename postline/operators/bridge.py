@@ -57,20 +57,20 @@ def job_posting(stg: DataFrame, run_ts: datetime | None) -> DataFrame:
     )
 
 
-LINK = "struct<skill_id:string,skill_cat_id:string>"
-
-
 def job_links():
-    """The distinct (skill_id, skill_cat_id) links of a staged row (M13 inside one row)."""
-    link = LINK
+    """The distinct (skill_id, skill_cat_id) links of a staged row (M13 inside one row).
+
+    A link is one string while duplicates are dropped: sets of strings hash, sets
+    of structs are compared pair by pair.
+    """
     flat = F.transform(flat_skill_names(F.coalesce(F.col("job_skills_array"), F.array().cast("array<string>"))),
-                       lambda s: F.struct(F.md5(s).alias("skill_id"),
-                                          F.lit(None).cast("string").alias("skill_cat_id")))
+                       lambda s: F.md5(s))
     typed = F.transform(
         F.coalesce(typed_skill_pairs(F.col("job_type_skills")),
                    F.array().cast("array<struct<skill_category:string,skill_name:string>>")),
-        lambda p: F.struct(F.md5(p["skill_name"]).alias("skill_id"), F.md5(p["skill_category"]).alias("skill_cat_id")))
-    return F.array_distinct(F.concat(flat.cast(f"array<{link}>"), typed.cast(f"array<{link}>")))
+        lambda p: F.concat(F.md5(p["skill_name"]), F.md5(p["skill_category"])))
+    return F.transform(F.array_distinct(F.concat(flat, typed)), lambda x: F.struct(
+        F.substring(x, 1, 32).alias("skill_id"), F.nullif(F.substring(x, 33, 32), F.lit("")).alias("skill_cat_id")))
 
 
 def job_skill(stg: DataFrame, run_ts: datetime) -> DataFrame:

@@ -107,15 +107,26 @@ def fold_categories(sets: DataFrame, key: str = "business_key") -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "skills")))).alias("type_skills"))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once (a lambda would evaluate a captured one per element)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fold_pairs(pairs: Column) -> Column:
-    """A3+A4 inside one row: set of (category, skill) → map category → sorted skills."""
-    cats = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["category"])))
-    return F.map_from_entries(F.transform(
-        cats,
-        lambda c: F.struct(c.alias("key"),
-                           F.array_sort(F.transform(F.filter(pairs, lambda p: p["category"] == c),
-                                                    lambda p: p["skill"])).alias("value")),
-    ))
+    """A3+A4 inside one row: set of (category, skill) → map category → sorted skills.
+
+    In sorted pairs a category is one run: its first places bound the slices, so
+    each pair is looked at a fixed number of times.
+    """
+    def runs(ordered: Column) -> Column:
+        n = F.size(ordered)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (
+            F.get(ordered, F.greatest(i - 1, F.lit(0)))["category"] != F.get(ordered, i)["category"]))
+        return _bound(starts, lambda s: F.transform(s, lambda i, k: F.struct(
+            F.get(ordered, i)["category"].alias("key"),
+            F.transform(F.slice(ordered, i + 1, F.coalesce(F.get(s, k + 1), n) - i), lambda p: p["skill"]).alias("value"))))
+
+    return F.map_from_entries(_bound(F.array_sort(pairs), runs))
 
 
 def _staging_columns(primary: str, skills: Column, type_skills: Column, run_ts: datetime) -> list[Column]:
@@ -130,6 +141,16 @@ def _staging_columns(primary: str, skills: Column, type_skills: Column, run_ts:
     ]
 
 
+def posting_core(raw: DataFrame, run_ts: datetime) -> DataFrame:
+    """The staged rows without their skills: the earliest record per business key.
+
+    Nothing here reads the nested columns, so a plan over it neither parses the
+    literals nor expands a row; one shuffle, with a partial per key.
+    """
+    first = keep_first(with_business_key(raw), cols=["raw_job_id", *POSTING_COLUMNS, "ingested_at"])
+    return first.withColumn("processed_at", F.lit(run_ts))
+
+
 def dedup_merge(raw: DataFrame, run_ts: datetime) -> DataFrame:
     """A5/M1: one row per business key — earliest record + union of all skills.
 

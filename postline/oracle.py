@@ -1,9 +1,9 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
 The base CTEs rebuild, independently of the Spark code, the postings source
-derived from the driver tables, the typed landing rows, and every model in
-the plain relational shape (window keep-first, set aggregations, left joins
-to dimensions, semi join to postings, DISTINCT).  Nested values are carried
+derived from the driver tables, the typed landing rows, and every model from one
+grouping of the landing rows by business key (earliest row, sorted sets of
+skills and of category and skill pairs).  Nested values are carried
 as lists; outputs flatten them to text (``|`` between list items, ``k:a,b;``
 for maps with sorted keys).
 """
@@ -51,6 +51,52 @@ POSTING_COLS = ("job_title_short, job_title, job_location, job_via, job_schedule
                 "search_location, job_posted_date, job_no_degree_mention, job_health_insurance, job_country, "
                 "salary_rate, salary_year_avg, salary_hour_avg, company_name")
 
+def _sorted_set(items: str) -> str:
+    return f"list_sort(list_distinct({items}))"
+
+
+# Over the rows of a group: the trimmed skills, and the trimmed (category, skill) pairs, without blank ones.
+_SKILLS = ("list_filter(list_transform(flatten(list(coalesce(skills_list, []))), lambda s: trim(s)), "
+           "lambda s: s <> '')")
+_PAIRS = ("list_filter(flatten(list(flatten(list_transform(coalesce(type_entries, []), lambda e: "
+          "list_transform(e.value, lambda s: {'category': trim(e.key), 'skill': trim(s)}))))), "
+          "lambda p: p.category <> '' AND p.skill <> '')")
+
+# dimension -> (source: a relation and its column, id, name)
+_DIMENSIONS = {
+    "company": ("merged", "f.company_name", "company_id", "company_name"),
+    "country": ("merged", "f.job_country", "country_id", "country_name"),
+    "platform": ("merged", "f.job_via", "platform_id", "platform_name"),
+    "schedule_type": ("merged", "f.job_schedule_type", "schedule_type_id", "schedule_name"),
+    "salary_rate_type": ("merged", "f.salary_rate", "rate_type_id", "rate_name"),
+    "job_title_category": ("merged", "f.job_title_short", "title_cat_id", "job_title_short"),
+    "skill": ("(SELECT skill_name FROM flat UNION ALL SELECT skill_name FROM grouped)", "skill_name", "skill_id",
+              "skill_name"),
+    "skill_category": ("grouped", "skill_category", "skill_cat_id", "category_name"),
+}
+_POSTING_FIELDS = ("job_title_short, job_title AS job_title_full, job_location, search_location, "
+                   "job_posted_date AS posted_date, job_work_from_home AS work_from_home, "
+                   "job_no_degree_mention AS no_degree_mention, job_health_insurance AS health_insurance, "
+                   "salary_year_avg, salary_hour_avg")
+
+
+def _fields(columns: str) -> str:
+    """Fields of the first row ``f``, renamed as said."""
+    named = [c.strip().split(" AS ") for c in columns.split(",")]
+    return ", ".join(f"f.{c[0]} AS {c[-1]}" for c in named)
+
+
+def _dimensions() -> str:
+    return ",\n".join(
+        f"{name} AS (SELECT DISTINCT md5({_canon(col)}) AS {key}, {_canon(col)} AS {label}, {RUN_TS_SQL} AS created_at "
+        f"FROM {rel} WHERE {_canon(col)} IS NOT NULL)"
+        for name, (rel, col, key, label) in _DIMENSIONS.items())
+
+
+def _keys() -> str:
+    return ", ".join(f"md5({_canon(col)}) AS {key}" for rel, col, key, _ in _DIMENSIONS.values() if rel == "merged")
+
+
 BASE = f"""
 WITH lines AS (
   SELECT l.l_orderkey AS k, l.l_linenumber AS ln, l.l_partkey AS pk, p.p_name, p.p_type, p.p_brand
@@ -121,7 +167,7 @@ cells AS (
     CASE WHEN k % 3 = 0 THEN (CASE WHEN copy = 1 THEN 'YEAR ' ELSE 'year' END)
          WHEN k % 3 = 1 THEN (CASE WHEN copy = 1 THEN 'Hour' ELSE 'hour' END)
          ELSE '' END AS salary_rate,
-    CASE WHEN k % 3 <> 0 THEN '' WHEN k % 19 = 0 THEN 'bad-value'
+    CASE WHEN k % 3 <> 0 THEN '' WHEN k % 19 = 0 THEN '12,5 k'
          WHEN copy = 1 THEN ' ' || CAST(CAST(price AS DECIMAL(12,2)) AS VARCHAR) || '0'
          ELSE CAST(CAST(price AS DECIMAL(12,2)) AS VARCHAR) END AS salary_year_avg,
     CASE WHEN k % 3 = 1 THEN CAST(k % 90 + 10 AS VARCHAR) || '.' || lpad(CAST(k % 100 AS VARCHAR), 2, '0')
@@ -130,14 +176,14 @@ cells AS (
     CASE WHEN k % 97 = 0 THEN '' WHEN copy = 1 THEN '  ' || upper(cname) ELSE cname END AS company_name,
     CASE WHEN names_list IS NULL THEN NULL
          WHEN copy = 1 THEN '[ ' || brands_lit || (CASE WHEN k % 10 = 0 THEN ' ,''' || upper(first_name) || '''' ELSE '' END) || ' ]'
-         WHEN k % 13 = 0 THEN 'not-a-list'
+         WHEN k % 13 = 0 THEN '[broken, list'
          WHEN k % 29 = 0 THEN '[]'
          WHEN k % 31 = 0 THEN '[' || names_lit || ', ''  '', None, ''null'']'
          WHEN k % 37 = 0 THEN '["' || first_name || '''s", ' || names_lit || ']'
          ELSE '[' || names_lit || ']' END AS job_skills,
     CASE WHEN names_list IS NULL THEN NULL
          WHEN copy = 1 THEN '{{' || d1 || '}}'
-         WHEN k % 13 = 0 THEN 'definitely-not-a-dict'
+         WHEN k % 13 = 0 THEN '{{no dict'
          WHEN k % 29 = 0 THEN '{{}}'
          WHEN k % 31 = 0 THEN '{{' || d0 || ', '' '': [''x''], ''EMPTY'': []}}'
          WHEN k % 41 = 0 THEN '{{' || scalar0 || '}}'
@@ -179,129 +225,59 @@ landing AS (
     (NOT {_null_like('job_skills')}) AND skills_list IS NULL AS job_skills_invalid,
     {_null_like('job_type_skills')} AS job_type_skills_missing,
     (NOT {_null_like('job_type_skills')}) AND type_entries IS NULL AS job_type_skills_invalid,
-    TIMESTAMP '2024-01-01 00:00:00' + to_hours(batch * 6) AS ingested_at, batch
+    TIMESTAMP '2024-01-01 00:00:00' + to_hours(batch * 18) AS ingested_at, batch
   FROM cells
 ),
 keyed AS (
   SELECT *, id AS raw_job_id, {_BK} AS business_key FROM landing
 ),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY business_key ORDER BY ingested_at ASC NULLS LAST, raw_job_id ASC) AS rn
-  FROM keyed
-),
-prim AS (SELECT * FROM ranked WHERE rn = 1),
-skill_tokens AS (
-  SELECT business_key, trim(s) AS skill
-  FROM (SELECT business_key, unnest(skills_list) AS s FROM keyed)
-  WHERE trim(s) <> ''
-),
-skill_sets AS (
-  SELECT business_key, list(DISTINCT skill ORDER BY skill) AS skills FROM skill_tokens GROUP BY business_key
-),
-type_entries_rows AS (
-  SELECT business_key, unnest(type_entries) AS e FROM keyed
-),
-type_pairs AS (
-  SELECT business_key, trim(e.key) AS category, trim(s) AS skill
-  FROM (SELECT business_key, e, unnest(e.value) AS s FROM type_entries_rows)
-  WHERE trim(e.key) <> '' AND trim(s) <> ''
+-- all rows of a key at once: its earliest row, and what the literals of all its rows hold
+merged AS (
+  SELECT business_key, first(r ORDER BY ingested_at ASC NULLS LAST, raw_job_id ASC) AS f,
+    {_sorted_set(_SKILLS)} AS skills,
+    {_sorted_set(_PAIRS)} AS pairs
+  FROM keyed AS r GROUP BY business_key
 ),
+prim AS (SELECT business_key, f.raw_job_id AS raw_job_id, f.ingested_at AS ingested_at FROM merged),
+skill_sets AS (SELECT business_key, skills FROM merged WHERE len(skills) > 0),
 type_sets AS (
-  SELECT business_key, category, list(DISTINCT skill ORDER BY skill) AS skills
-  FROM type_pairs GROUP BY business_key, category
-),
-type_maps AS (
-  SELECT business_key,
-    string_agg(category || ':' || array_to_string(skills, ','), ';' ORDER BY category) AS type_text
-  FROM type_sets GROUP BY business_key
+  SELECT business_key, p.category AS category, list(p.skill ORDER BY p.skill) AS skills
+  FROM (SELECT business_key, unnest(pairs) AS p FROM merged) GROUP BY ALL
 ),
 stg AS (
-  SELECT p.raw_job_id, p.business_key, {', '.join('p.' + c.strip() for c in POSTING_COLS.split(','))},
-    coalesce(ss.skills, []) AS skills_arr,
-    coalesce(tm.type_text, '') AS type_text,
-    p.ingested_at, {RUN_TS_SQL} AS processed_at
-  FROM prim p
-  LEFT JOIN skill_sets ss ON ss.business_key = p.business_key
-  LEFT JOIN type_maps tm ON tm.business_key = p.business_key
+  SELECT f.raw_job_id AS raw_job_id, business_key, {_fields(POSTING_COLS)}, skills AS skills_arr,
+    array_to_string(list_transform(list_sort(list_distinct(list_transform(pairs, lambda p: p.category))), lambda c:
+      c || ':' || array_to_string(list_transform(list_filter(pairs, lambda p: p.category = c), lambda p: p.skill), ',')),
+      ';') AS type_text,
+    f.ingested_at AS ingested_at, {RUN_TS_SQL} AS processed_at
+  FROM merged
 ),
 flat AS (
-  SELECT md5(CAST(raw_job_id AS VARCHAR) || '||' || skill_name) AS skill_assignment_id,
-    raw_job_id, business_key, skill_name, ingested_at
-  FROM (
-    SELECT raw_job_id, business_key, lower(trim(s)) AS skill_name, ingested_at
-    FROM (SELECT raw_job_id, business_key, ingested_at, unnest(skills_arr) AS s FROM stg WHERE len(skills_arr) > 0)
-  ) WHERE skill_name IS NOT NULL AND skill_name <> ''
+  SELECT md5(f.raw_job_id::VARCHAR || '||' || name) AS skill_assignment_id, f.raw_job_id AS raw_job_id, business_key,
+    name AS skill_name, f.ingested_at AS ingested_at
+  FROM (SELECT business_key, f, lower(trim(unnest(skills))) AS name FROM merged) WHERE name <> ''
 ),
 grouped AS (
-  SELECT md5(CAST(raw_job_id AS VARCHAR) || '||' || skill_category || '||' || skill_name) AS grouped_skill_assignment_id,
-    raw_job_id, business_key, skill_name, skill_category, ingested_at
-  FROM (
-    SELECT p.raw_job_id, p.business_key, lower(trim(ts.category)) AS skill_category,
-      lower(trim(s)) AS skill_name, p.ingested_at
-    FROM (SELECT business_key, category, unnest(skills) AS s FROM type_sets) ts
-    JOIN prim p ON p.business_key = ts.business_key
-    WHERE trim(ts.category) <> '' AND trim(s) <> ''
-  ) WHERE skill_name IS NOT NULL AND skill_name <> ''
-),
-company AS (
-  SELECT md5(n) AS company_id, n AS company_name, {RUN_TS_SQL} AS created_at
-  FROM (SELECT {_canon('company_name')} AS n FROM stg) WHERE n IS NOT NULL GROUP BY n
-),
-country AS (
-  SELECT md5(n) AS country_id, n AS country_name, {RUN_TS_SQL} AS created_at
-  FROM (SELECT {_canon('job_country')} AS n FROM stg) WHERE n IS NOT NULL GROUP BY n
-),
-platform AS (
-  SELECT md5(n) AS platform_id, n AS platform_name, {RUN_TS_SQL} AS created_at
-  FROM (SELECT {_canon('job_via')} AS n FROM stg) WHERE n IS NOT NULL GROUP BY n
-),
-schedule_type AS (
-  SELECT md5(n) AS schedule_type_id, n AS schedule_name, {RUN_TS_SQL} AS created_at
-  FROM (SELECT {_canon('job_schedule_type')} AS n FROM stg) WHERE n IS NOT NULL GROUP BY n
-),
-salary_rate_type AS (
-  SELECT md5(n) AS rate_type_id, n AS rate_name, {RUN_TS_SQL} AS created_at
-  FROM (SELECT {_canon('salary_rate')} AS n FROM stg) WHERE n IS NOT NULL GROUP BY n
-),
-job_title_category AS (
-  SELECT md5(n) AS title_cat_id, n AS job_title_short, {RUN_TS_SQL} AS created_at
-  FROM (SELECT {_canon('job_title_short')} AS n FROM stg) WHERE n IS NOT NULL GROUP BY n
-),
-skill AS (
-  SELECT md5(n) AS skill_id, n AS skill_name, {RUN_TS_SQL} AS created_at
-  FROM (SELECT {_canon('skill_name')} AS n FROM (SELECT skill_name FROM flat UNION SELECT skill_name FROM grouped))
-  WHERE n IS NOT NULL AND n <> ''
-),
-skill_category AS (
-  SELECT md5(n) AS skill_cat_id, n AS category_name, {RUN_TS_SQL} AS created_at
-  FROM (SELECT {_canon('skill_category')} AS n FROM grouped) WHERE n IS NOT NULL GROUP BY n
+  SELECT md5(f.raw_job_id::VARCHAR || '||' || cat || '||' || name) AS grouped_skill_assignment_id,
+    f.raw_job_id AS raw_job_id, business_key, name AS skill_name, cat AS skill_category, f.ingested_at AS ingested_at
+  FROM (SELECT business_key, f, lower(trim(p.category)) AS cat, lower(trim(p.skill)) AS name
+        FROM (SELECT business_key, f, unnest(pairs) AS p FROM merged))
+  WHERE cat <> '' AND name <> ''
 ),
+{_dimensions()},
 job_posting AS (
-  SELECT md5(business_key) AS job_id, business_key, raw_job_id, job_title_short,
-    job_title AS job_title_full, job_location, search_location, job_posted_date AS posted_date,
-    job_work_from_home AS work_from_home, job_no_degree_mention AS no_degree_mention,
-    job_health_insurance AS health_insurance, salary_year_avg, salary_hour_avg,
-    md5({_canon('company_name')}) AS company_id,
-    md5({_canon('job_title_short')}) AS title_cat_id,
-    md5({_canon('job_schedule_type')}) AS schedule_type_id,
-    md5({_canon('job_via')}) AS platform_id,
-    md5({_canon('job_country')}) AS country_id,
-    md5({_canon('salary_rate')}) AS rate_type_id,
-    ingested_at, {RUN_TS_SQL} AS created_at
-  FROM stg WHERE nullif(trim(company_name), '') IS NOT NULL
+  SELECT md5(business_key) AS job_id, business_key, f.raw_job_id AS raw_job_id, {_fields(_POSTING_FIELDS)},
+    {_keys()}, f.ingested_at AS ingested_at, {RUN_TS_SQL} AS created_at
+  FROM merged WHERE trim(coalesce(f.company_name, '')) <> ''
 ),
 job_skill AS (
-  SELECT DISTINCT u.job_id, u.skill_id, u.skill_cat_id, u.ingested_at, u.created_at
+  SELECT md5(business_key) AS job_id, link.skill AS skill_id, link.cat AS skill_cat_id, f.ingested_at AS ingested_at,
+    {RUN_TS_SQL} AS created_at
   FROM (
-    SELECT md5(f.business_key) AS job_id, md5(sk.skill_name) AS skill_id, CAST(NULL AS VARCHAR) AS skill_cat_id,
-      f.ingested_at, {RUN_TS_SQL} AS created_at
-    FROM flat f LEFT JOIN skill sk ON f.skill_name = sk.skill_name
-    UNION ALL
-    SELECT md5(g.business_key), md5(sk.skill_name), md5(sc.category_name), g.ingested_at, {RUN_TS_SQL}
-    FROM grouped g LEFT JOIN skill sk ON g.skill_name = sk.skill_name
-    LEFT JOIN skill_category sc ON g.skill_category = sc.category_name
-  ) u JOIN (SELECT job_id FROM job_posting) v ON u.job_id = v.job_id
-  WHERE u.job_id IS NOT NULL AND u.skill_id IS NOT NULL
+    SELECT business_key, f, unnest(list_distinct(list_concat(
+      list_transform(skills, lambda s: {{'skill': md5(lower(trim(s))), 'cat': NULL::VARCHAR}}),
+      list_transform(pairs, lambda p: {{'skill': md5(lower(trim(p.skill))), 'cat': md5(lower(trim(p.category)))}})))) AS link
+    FROM merged WHERE trim(coalesce(f.company_name, '')) <> '')
 )
 """
 
@@ -337,8 +313,8 @@ def _check_sql(ch) -> str:
         return head + (f"count(*) AS failures FROM (SELECT count(*) FROM {rel} WHERE {c} IS NOT NULL "
                        f"AND {c} > CAST(current_timestamp AS TIMESTAMP) HAVING count(*) > 0)")
     if ch.name == "job_posting_matches_staging":
-        return head + ("count(*) AS failures FROM stg s WHERE nullif(trim(s.company_name), '') IS NOT NULL "
-                       "AND NOT EXISTS (SELECT 1 FROM job_posting p WHERE p.business_key = s.business_key)")
+        return head + ("count(*) AS failures FROM stg WHERE trim(coalesce(company_name, '')) <> '' "
+                       "AND business_key NOT IN (SELECT business_key FROM job_posting)")
     if ch.name == "job_skill_unique_combination":
         return head + ("count(*) AS failures FROM (SELECT job_id, skill_id, skill_cat_id FROM job_skill "
                        "GROUP BY job_id, skill_id, skill_cat_id HAVING count(*) > 1)")
@@ -424,6 +400,20 @@ FROM job_posting p LEFT JOIN (
   SELECT job_id, count(*) AS skill_count, count(DISTINCT skill_id) AS distinct_skill_count
   FROM job_skill GROUP BY job_id) m ON m.job_id = p.job_id"""
 
+STAR_FACT_DAILY = f"""
+SELECT md5(business_key) AS job_id,
+  CAST(year(day) * 10000 + month(day) * 100 + day(day) AS INTEGER) AS ingestion_date_key, day AS ingestion_date,
+  {_keys()},
+  CAST(year(posted) * 10000 + month(posted) * 100 + day(posted) AS INTEGER) AS date_key, {_FLAG_KEY} AS job_flags_key,
+  f.salary_year_avg AS salary_year_avg, f.salary_hour_avg AS salary_hour_avg, records_seen
+FROM (
+  SELECT *, f.job_work_from_home AS work_from_home, f.job_no_degree_mention AS no_degree_mention,
+    f.job_health_insurance AS health_insurance, try_strptime(f.job_posted_date, '%Y-%m-%d %H:%M:%S') AS posted
+  FROM (
+    SELECT business_key, CAST(ingested_at AS DATE) AS day, count(*) AS records_seen,
+      first(r ORDER BY ingested_at, raw_job_id) AS f
+    FROM keyed AS r WHERE trim(coalesce(company_name, '')) <> '' GROUP BY ALL))"""
+
 STAR_DIM_DATE = f"""
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS date,
   CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,

@@ -14,11 +14,11 @@ from pyspark.sql import SparkSession
 
 from postline.operators.quality import QualitySuite
 from postline.plans.ingest import Paths, committed_landing, ingest_files
-from postline.plans.models import RUN_TS, materialise_models
+from postline.plans.models import materialise_models
 
 
 def run_build(spark: SparkSession, sources: str | Sequence[str], store: Paths, warehouse: str,
-              source_name: str = "local_csv", run_ts: datetime = RUN_TS, fail_fast: bool = True):
+              source_name: str = "local_csv", run_ts: datetime | None = None, fail_fast: bool = True):
     """Returns (per-file ingest stats rows, model tables, [(check, failures)])."""
     stats = ingest_files(spark, sources, store, source_name=source_name).collect()
     tables = materialise_models(committed_landing(spark, store), warehouse, run_ts)

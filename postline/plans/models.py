@@ -12,7 +12,7 @@ under one root, the way a scheduled build would.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +21,14 @@ from postline.operators import bridge, dedup, dimensions, nested
 from postline.operators.normalise import normalise_postings
 from postline.sources.driver_tables import batch_ingested_at, postings_source
 
-# Fixed processing time of model builds registered for checking (a parameter
-# of every build; real runs pass their own).
+# Processing time of the registered queries, so that they can be checked; every
+# other build takes the time at which it starts.
 RUN_TS = datetime(2025, 1, 1, 0, 0, 0)
 
+
+def _time(run_ts: datetime | None) -> datetime:
+    return run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
+
 MODEL_NAMES = [
     "stg_raw_jobs", "stg_job_skills_exploded", "stg_job_type_skills_exploded",
     "company", "country", "platform", "schedule_type", "salary_rate_type", "job_title_category",
@@ -46,20 +50,30 @@ def landing_from_tables(spark: SparkSession, sf_dir: str, profile: bool = False)
     )
 
 
-def staging(raw: DataFrame, run_ts: datetime = RUN_TS) -> DataFrame:
-    return dedup.dedup_merge(raw, run_ts)
+def staging(raw: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+    return dedup.dedup_merge(raw, _time(run_ts))
+
+
+def posting_models(core: DataFrame, run_ts: datetime | None = None) -> dict[str, DataFrame]:
+    """The six dimensions of posting columns and the posting entity, from rows without skills.
+
+    ``core`` is ``dedup.posting_core`` (nothing nested is read) or the staged rows.
+    """
+    run_ts = _time(run_ts)
+    out = {name: dimensions.dimension(core, name, run_ts) for name in dimensions.DIMENSIONS}
+    out["job_posting"] = bridge.job_posting(core, run_ts)
+    return out
 
 
-def build_models(raw: DataFrame, run_ts: datetime = RUN_TS, stg: DataFrame | None = None) -> dict[str, DataFrame]:
+def build_models(raw: DataFrame, run_ts: datetime | None = None, stg: DataFrame | None = None) -> dict[str, DataFrame]:
+    run_ts = _time(run_ts)
     stg = stg if stg is not None else staging(raw, run_ts)
     flat = nested.job_skills_exploded(stg)
     grouped = nested.job_type_skills_exploded(stg)
     out = {"stg_raw_jobs": stg, "stg_job_skills_exploded": flat, "stg_job_type_skills_exploded": grouped}
-    for name in dimensions.DIMENSIONS:
-        out[name] = dimensions.dimension(stg, name, run_ts)
+    out |= posting_models(stg, run_ts)
     out["skill"] = dimensions.skill(flat, grouped, run_ts)
     out["skill_category"] = dimensions.skill_category(grouped, run_ts)
-    out["job_posting"] = bridge.job_posting(stg, run_ts)
     out["job_skill"] = bridge.job_skill(stg, run_ts)
     return out
 
@@ -72,7 +86,7 @@ def model_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{LAYER.get(name, 'core')}/{name}"
 
 
-def materialise_models(raw: DataFrame, root: str, run_ts: datetime = RUN_TS,
+def materialise_models(raw: DataFrame, root: str, run_ts: datetime | None = None,
                        parallelism: int = 4) -> dict[str, DataFrame]:
     """Write every model as parquet under ``root`` (overwrite) and read them back.
 
@@ -81,7 +95,7 @@ def materialise_models(raw: DataFrame, root: str, run_ts: datetime = RUN_TS,
     a durable, shared location) and, being independent of each other, are
     submitted as concurrent Spark jobs from ``parallelism`` driver threads.
     """
-    spark = raw.sparkSession
+    spark, run_ts = raw.sparkSession, _time(run_ts)
     staging(raw, run_ts).write.mode("overwrite").parquet(model_path(root, "stg_raw_jobs"))
     stg = spark.read.parquet(model_path(root, "stg_raw_jobs"))
     models = build_models(raw, run_ts, stg=stg)
@@ -95,9 +109,10 @@ def materialise_models(raw: DataFrame, root: str, run_ts: datetime = RUN_TS,
     return {"stg_raw_jobs": stg, **{n: spark.read.parquet(model_path(root, n)) for n in done}}
 
 
-def shared_models(raw: DataFrame, run_ts: datetime = RUN_TS) -> dict[str, DataFrame]:
+def shared_models(raw: DataFrame, run_ts: datetime | None = None) -> dict[str, DataFrame]:
     """Models for one query that uses several of them: the staged relation is
     checkpointed once (shared checkpoint folder) instead of being re-derived by
     every consumer."""
     from postline.session import cut_lineage
+    run_ts = _time(run_ts)
     return build_models(raw, run_ts, stg=cut_lineage(staging(raw, run_ts)))

@@ -42,12 +42,21 @@ def _raw(spark, sf_dir, profile=False):
 
 
 def _models(spark, sf_dir):
-    return models.build_models(_raw(spark, sf_dir))
+    return models.build_models(_raw(spark, sf_dir), models.RUN_TS)
+
+
+def _staging(spark, sf_dir):
+    return models.staging(_raw(spark, sf_dir), models.RUN_TS)
+
+
+def _postings(spark, sf_dir):
+    """Dimensions of posting columns and the posting entity; no skill is parsed."""
+    return models.posting_models(dedup.posting_core(_raw(spark, sf_dir), models.RUN_TS), models.RUN_TS)
 
 
 def _shared(spark, sf_dir):
     """Models for queries that combine several of them (staging checkpointed once)."""
-    return models.shared_models(_raw(spark, sf_dir))
+    return models.shared_models(_raw(spark, sf_dir), models.RUN_TS)
 
 
 # --- landing: P1–P6, E1–E3 -------------------------------------------------
@@ -131,7 +140,7 @@ def _stg_out(stg: DataFrame) -> DataFrame:
 
 @register("stg_raw_jobs", oracle.q(f"SELECT {_STG_COLS} FROM stg"))
 def stg_raw_jobs_q(spark, sf_dir):
-    return _stg_out(models.staging(_raw(spark, sf_dir)))
+    return _stg_out(_staging(spark, sf_dir))
 
 
 @register("stg_raw_jobs_joined", oracle.q(f"SELECT {_STG_COLS} FROM stg"))
@@ -162,7 +171,7 @@ def json_props_explode_q(spark, sf_dir):
 
 def _dim_query(name: str) -> Query:
     def run(spark, sf_dir):
-        return _models(spark, sf_dir)[name]
+        return (_models if name.startswith("skill") else _postings)(spark, sf_dir)[name]
     run.__name__ = f"{name}_q"
     return run
 
@@ -180,7 +189,7 @@ def dim_skill_sorted_q(spark, sf_dir):
 
 @register("job_posting", oracle.q("SELECT * FROM job_posting"))
 def job_posting_q(spark, sf_dir):
-    return _models(spark, sf_dir)["job_posting"]
+    return _postings(spark, sf_dir)["job_posting"]
 
 
 @register("job_skill", oracle.q("SELECT * FROM job_skill"))
@@ -233,33 +242,46 @@ def q_unique_offenders(spark, sf_dir):
 @register("q_not_null_offenders", oracle.q(
     "SELECT job_id, title_cat_id, rate_type_id FROM job_posting WHERE rate_type_id IS NULL"))
 def q_not_null_offenders(spark, sf_dir):
-    posting = _tables(spark, sf_dir)["job_posting"]
+    posting = _postings(spark, sf_dir)["job_posting"]
     return quality.not_null(posting, "rate_type_id").select("job_id", "title_cat_id", "rate_type_id")
 
 
 @register("q_orphans", oracle.q("""
-SELECT p.platform_id, count(*) AS n_records FROM job_posting p
-WHERE p.platform_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM platform d WHERE d.platform_id = p.platform_id)
-GROUP BY p.platform_id"""))
+SELECT job_via, count(*) AS n_records FROM landing l
+WHERE job_via IS NOT NULL AND NOT EXISTS (SELECT 1 FROM platform d WHERE d.platform_name = l.job_via)
+GROUP BY job_via"""))
 def q_orphans(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return quality.relationships(t["job_posting"], "platform_id", t["platform"], "platform_id")
+    """Platform names as they were landed against the cleaned names of the dimension."""
+    platform = _postings(spark, sf_dir)["platform"]
+    return quality.relationships(_raw(spark, sf_dir), "job_via", platform, "platform_name")
 
 
-@register("q_orphans_lineitem_part", """
-SELECT l_partkey, count(*) AS n_records FROM lineitem l
-WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)
-GROUP BY l_partkey""")
-def q_orphans_lineitem_part(spark, sf_dir):
-    return quality.relationships(read_table(spark, sf_dir, "lineitem"), "l_partkey",
-                                 read_table(spark, sf_dir, "part"), "p_partkey")
+@register("q_orphans_customers", """
+SELECT c_custkey, count(*) AS n_records FROM customer c
+WHERE c_custkey IS NOT NULL AND NOT EXISTS
+  (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P')
+GROUP BY c_custkey""")
+def q_orphans_customers(spark, sf_dir):
+    """Customers without an order that is in progress."""
+    orders = read_table(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
+    return quality.relationships(read_table(spark, sf_dir, "customer"), "c_custkey", orders, "o_custkey")
 
 
 @register("q_composite_key", oracle.q("""
-SELECT job_id, skill_id, skill_cat_id, count(*) AS duplicate_count FROM job_skill
-GROUP BY job_id, skill_id, skill_cat_id HAVING count(*) > 1"""))
+SELECT job_id, skill_id, count(*) AS duplicate_count FROM job_skill
+GROUP BY job_id, skill_id HAVING count(*) > 1"""))
 def q_composite_key(spark, sf_dir):
-    return quality.composite_key_unique(_tables(spark, sf_dir)["job_skill"], ["job_id", "skill_id", "skill_cat_id"])
+    """Skills that a posting links more than once, whatever the category."""
+    return quality.composite_key_unique(_models(spark, sf_dir)["job_skill"], ["job_id", "skill_id"])
+
+
+@register("q_bridge_triples", oracle.q("""
+SELECT job_id, skill_id, NULL::VARCHAR AS skill_cat_id, count(*) AS duplicate_count FROM job_skill
+GROUP BY job_id, skill_id HAVING count(*) > 1"""))
+def q_bridge_triples(spark, sf_dir):
+    """Q7 on a bridge that has lost its categories."""
+    dirty = _models(spark, sf_dir)["job_skill"].withColumn("skill_cat_id", F.lit(None).cast("string"))
+    return quality.bridge_unique_triples(dirty)
 
 
 @register("q_composite_key_raw", """
@@ -271,9 +293,10 @@ def q_composite_key_raw(spark, sf_dir):
 
 @register("q_dates_not_future", oracle.q(
     "SELECT count(*) AS future_dates FROM stg WHERE ingested_at IS NOT NULL AND ingested_at > "
-    + oracle.RUN_TS_SQL + " HAVING count(*) > 0"))
+    "TIMESTAMP '2024-01-02 00:00:00' HAVING count(*) > 0"))
 def q_dates_not_future(spark, sf_dir):
-    return quality.dates_not_future(_tables(spark, sf_dir)["stg_raw_jobs"], "ingested_at", models.RUN_TS)
+    core = dedup.posting_core(_raw(spark, sf_dir), models.RUN_TS)
+    return quality.dates_not_future(core, "ingested_at", datetime(2024, 1, 2))
 
 
 @register("q_dates_not_future_orders", """
@@ -284,11 +307,14 @@ def q_dates_not_future_orders(spark, sf_dir):
 
 
 @register("q_posting_matches_staging", oracle.q("""
-SELECT s.business_key FROM stg s WHERE nullif(trim(s.company_name), '') IS NOT NULL
-AND NOT EXISTS (SELECT 1 FROM job_posting p WHERE p.business_key = s.business_key)"""))
+SELECT business_key FROM merged WHERE trim(coalesce(f.company_name, '')) <> '' AND business_key NOT IN (
+  SELECT business_key FROM keyed WHERE ingested_at < TIMESTAMP '2024-01-02 00:00:00')"""))
 def q_posting_matches_staging(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return quality.posting_matches_staging(t["stg_raw_jobs"], t["job_posting"])
+    """Q6 with postings built from the loads of the first day alone."""
+    raw = _raw(spark, sf_dir)
+    early = dedup.posting_core(raw.where(F.col("ingested_at") < F.lit(datetime(2024, 1, 2))), models.RUN_TS)
+    posting = models.posting_models(early, models.RUN_TS)["job_posting"]
+    return quality.posting_matches_staging(dedup.posting_core(raw, models.RUN_TS), posting)
 
 
 # --- ledger over document "files": S3, S4, S7, S8, O2, J10 ------------------
@@ -324,48 +350,57 @@ def ledger_latest_q(spark, sf_dir):
     return ledger.latest_runs(doc_ledger.upserted(spark, sf_dir), 5)
 
 
-@register("ledger_invalid_status", oracle.LEDGER_CTES
-          + "SELECT * FROM upserted WHERE status IS NULL OR status NOT IN ('completed', 'skipped', 'failed')")
+@register("ledger_invalid_status", oracle.LEDGER_CTES + """
+SELECT * REPLACE (CASE WHEN total_rows % 7 = 0 THEN 'lost' ELSE status END AS status) FROM upserted
+WHERE total_rows % 7 = 0 OR status NOT IN ('completed', 'skipped', 'failed')""")
 def ledger_invalid_status_q(spark, sf_dir):
-    return ledger.invalid_status(doc_ledger.upserted(spark, sf_dir))
+    """S8 on a ledger in which some rows have a status outside the domain."""
+    dirty = doc_ledger.upserted(spark, sf_dir).withColumn(
+        "status", F.when(F.col("total_rows") % 7 == 0, "lost").otherwise(F.col("status")))
+    return ledger.invalid_status(dirty)
 
 
 # --- star: R1–R11 ------------------------------------------------------------
 
 @register("fact_job_posting", oracle.q(oracle.STAR_FACT))
 def fact_job_posting_q(spark, sf_dir):
-    return star.fact_from_staging(models.staging(_raw(spark, sf_dir)))
+    return star.fact_from_staging(_staging(spark, sf_dir))
 
 
-@register("fact_job_posting_daily", oracle.q("""
-SELECT md5(business_key) AS job_id, CAST(ingested_at AS DATE) AS ingestion_date, count(*) AS records_seen
-FROM keyed GROUP BY 1, 2"""))
+@register("fact_job_posting_daily", oracle.q(oracle.STAR_FACT_DAILY))
 def fact_job_posting_daily_q(spark, sf_dir):
     return star.fact_job_posting_daily(dedup.with_business_key(_raw(spark, sf_dir)))
 
 
+@register("nested_as_json", oracle.q("""
+SELECT raw_job_id, to_json(skills_arr)::VARCHAR AS skills_json FROM stg"""))
+def nested_as_json_q(spark, sf_dir):
+    """The staged skills as JSON text."""
+    return nested.nested_as_json(_staging(spark, sf_dir)).select("raw_job_id", F.col("job_skills_array").alias("skills_json"))
+
+
 @register("dim_date", oracle.q(oracle.STAR_DIM_DATE))
 def dim_date_q(spark, sf_dir):
-    return star.dim_date(_shared(spark, sf_dir)["job_posting"])
+    return star.dim_date(_postings(spark, sf_dir)["job_posting"])
 
 
 @register("dim_job_flags", oracle.q(oracle.STAR_DIM_FLAGS))
 def dim_job_flags_q(spark, sf_dir):
-    return star.dim_job_flags(_shared(spark, sf_dir)["job_posting"])
+    return star.dim_job_flags(_postings(spark, sf_dir)["job_posting"])
 
 
 @register("skill_measures", oracle.q("""
 SELECT job_id, count(*) AS skill_count, count(DISTINCT skill_id) AS distinct_skill_count
 FROM job_skill GROUP BY job_id"""))
 def skill_measures_q(spark, sf_dir):
-    return star.skill_measures(_shared(spark, sf_dir)["job_skill"])
+    return star.skill_measures(_models(spark, sf_dir)["job_skill"])
 
 
 @register("bridge_skill_weight", oracle.q("""
 SELECT job_id, skill_id, 1.0 / count(*) OVER (PARTITION BY job_id) AS weight
 FROM (SELECT DISTINCT job_id, skill_id FROM job_skill)"""))
 def bridge_skill_weight_q(spark, sf_dir):
-    return star.weights_from_staging(models.staging(_raw(spark, sf_dir)))
+    return star.weights_from_staging(_staging(spark, sf_dir))
 
 
 @register("jobs_per_month", oracle.q("""
@@ -374,7 +409,7 @@ SELECT c.company_name, k.month, k.job_count FROM (
     count(*) AS job_count
   FROM job_posting GROUP BY 1, 2) k LEFT JOIN company c ON c.company_id = k.company_id"""))
 def jobs_per_month_q(spark, sf_dir):
-    m = _shared(spark, sf_dir)
+    m = _postings(spark, sf_dir)
     return star.jobs_per_month(m["job_posting"], m["company"])
 
 
@@ -392,8 +427,7 @@ SELECT t.job_title_short, r.skill_rank, r.skill_name, r.job_count FROM (
 ) r LEFT JOIN job_title_category t ON t.title_cat_id = r.title_cat_id
 WHERE r.skill_rank <= 5"""))
 def top_skills_by_title_q(spark, sf_dir):
-    m = _shared(spark, sf_dir)
-    return star.top_skills_by_title(m["job_posting"], m["job_skill"], m["skill"], m["job_title_category"], 5)
+    return star.top_skills_from_staging(_staging(spark, sf_dir), 5)
 
 
 @register("avg_salary_country_platform", oracle.q("""
@@ -407,7 +441,7 @@ FROM (
 ) k LEFT JOIN country c ON c.country_id = k.country_id
 LEFT JOIN platform pl ON pl.platform_id = k.platform_id"""))
 def avg_salary_country_platform_q(spark, sf_dir):
-    m = _shared(spark, sf_dir)
+    m = _postings(spark, sf_dir)
     return star.avg_salary_country_platform(m["job_posting"], m["country"], m["platform"])
 
 
@@ -425,7 +459,7 @@ SELECT CASE WHEN work_from_home IS NULL THEN 'unknown' WHEN work_from_home THEN
   END AS avg_salary_hour
 FROM job_posting GROUP BY 1"""))
 def remote_vs_onsite_q(spark, sf_dir):
-    return star.remote_vs_onsite(_shared(spark, sf_dir)["job_posting"])
+    return star.remote_vs_onsite(_postings(spark, sf_dir)["job_posting"])
 
 
 __all__ = ["REGISTRY", "register"]

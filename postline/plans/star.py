@@ -101,10 +101,22 @@ def fact_from_staging(stg: DataFrame) -> DataFrame:
 
 
 def fact_job_posting_daily(keyed_landing: DataFrame) -> DataFrame:
-    """R2: snapshot grain — one row per posting per ingestion date, with copies seen."""
-    return (keyed_landing.select(F.md5("business_key").alias("job_id"),
-                                 F.to_date("ingested_at").alias("ingestion_date"))
-            .groupBy("job_id", "ingestion_date").agg(F.count(F.lit(1)).alias("records_seen")))
+    """R2: snapshot grain — one row per posting per ingestion date.
+
+    Keys and measures are those of the day's earliest record; postings without a
+    company have no row, as in R1.
+    """
+    from postline.operators.bridge import job_posting
+    rows = job_posting(keyed_landing.withColumn("processed_at", F.lit(None).cast("timestamp")), run_ts=None)
+    day = F.to_date("ingested_at")
+    keys = ["company_id", "country_id", "platform_id", "schedule_type_id", "rate_type_id", "title_cat_id"]
+    record = F.struct(*keys, date_key(posted_ts()).alias("date_key"), job_flags_key().alias("job_flags_key"),
+                      "salary_year_avg", "salary_hour_avg")
+    first = F.min_by(record, F.struct("ingested_at", "raw_job_id"))
+    return (rows.groupBy("job_id", day.alias("ingestion_date"))
+            .agg(first.alias("r"), F.count(F.lit(1)).alias("records_seen"))
+            .select("job_id", date_key(F.col("ingestion_date")).alias("ingestion_date_key"), "ingestion_date", "r.*",
+                    "records_seen"))
 
 
 def bridge_skill_weight(bridge: DataFrame) -> DataFrame:
@@ -155,6 +167,26 @@ def top_skills_by_title(posting: DataFrame, bridge: DataFrame, skill: DataFrame,
         "job_title_short", "skill_rank", "skill_name", "job_count")
 
 
+def top_skills_from_staging(stg: DataFrame, k: int = 5) -> DataFrame:
+    """R9 from the staged rows: title and distinct skills sit in the same row.
+
+    One count per (title, skill) with a map-side partial, then the ranks; no join,
+    equal to ``top_skills_by_title``.
+    """
+    from postline.functions.columns import canon
+    from postline.operators.nested import flat_skill_names, typed_skill_pairs
+    none = F.array().cast("array<string>")
+    names = F.array_distinct(F.concat(
+        F.coalesce(flat_skill_names(F.col("job_skills_array")), none),
+        F.coalesce(F.transform(typed_skill_pairs(F.col("job_type_skills")), lambda p: p["skill_name"]), none)))
+    valid = stg.where(F.nullif(F.trim("company_name"), F.lit("")).isNotNull())
+    counts = (valid.select(canon("job_title_short").alias("job_title_short"), F.explode(names).alias("skill_name"))
+              .groupBy("job_title_short", "skill_name").agg(F.count(F.lit(1)).alias("job_count")))
+    w = Window.partitionBy("job_title_short").orderBy(F.col("job_count").desc(), F.col("skill_name").asc())
+    return counts.withColumn("skill_rank", F.row_number().over(w)).where(F.col("skill_rank") <= k).select(
+        "job_title_short", "skill_rank", "skill_name", "job_count")
+
+
 def avg_salary_country_platform(posting: DataFrame, country: DataFrame, platform: DataFrame) -> DataFrame:
     """Average yearly pay by country and platform, with range and counts."""
     per_key = (posting.where(F.col("salary_year_avg").isNotNull())

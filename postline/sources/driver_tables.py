@@ -27,7 +27,7 @@ from postline.schemas import SOURCE_COLUMNS
 
 # Fixed values of the derivation (the SQL twin in postline/oracle.py uses the same).
 BASE_INGEST = "2024-01-01 00:00:00"   # load time of batch 0
-BATCH_HOURS = 6                       # batches are 6 hours apart
+BATCH_HOURS = 18                      # batches are 18 hours apart: four span three days
 N_BATCHES = 4
 
 
@@ -82,7 +82,7 @@ NAMES = items("p_name", ", ")
 FIRST_NAME = "element_at(lines, 1).p_name"
 
 SKILLS0 = (
-    f"CASE WHEN {K} % 13 = 0 THEN 'not-a-list' "
+    f"CASE WHEN {K} % 13 = 0 THEN '[broken, list' "
     f"WHEN {K} % 29 = 0 THEN '[]' "
     f"WHEN {K} % 31 = 0 THEN concat('[', {NAMES}, {lit(", '  ', None, 'null']")}) "
     f"WHEN {K} % 37 = 0 THEN concat('[\"', {FIRST_NAME}, {lit("'s" + '", ')}, {NAMES}, ']') "
@@ -97,7 +97,7 @@ DICT0_BODY = dict_body("p_name", "t", ", ", ": [")
 SCALAR0 = (f"concat('{{', {quoted('element_at(types, 1)')}, ': ', "
            f"{quoted('filter(lines, x -> x.p_type = element_at(types, 1))[0].p_name')}, '}}')")
 DICT0 = (
-    f"CASE WHEN {K} % 13 = 0 THEN 'definitely-not-a-dict' "
+    f"CASE WHEN {K} % 13 = 0 THEN '{{no dict' "
     f"WHEN {K} % 29 = 0 THEN '{{}}' "
     f"WHEN {K} % 31 = 0 THEN concat('{{', {DICT0_BODY}, {lit(", ' ': ['x'], 'EMPTY': []}")}) "
     f"WHEN {K} % 41 = 0 THEN {SCALAR0} "
@@ -125,7 +125,7 @@ CELLS_SQL = {
     "job_country": pick("n_name", "concat('  ', n_name)"),
     "salary_rate": (f"CASE WHEN {K} % 3 = 0 THEN {pick(lit('year'), lit('YEAR '))} "
                     f"WHEN {K} % 3 = 1 THEN {pick(lit('hour'), lit('Hour'))} ELSE '' END"),
-    "salary_year_avg": (f"CASE WHEN {K} % 3 <> 0 THEN '' WHEN {K} % 19 = 0 THEN 'bad-value' "
+    "salary_year_avg": (f"CASE WHEN {K} % 3 <> 0 THEN '' WHEN {K} % 19 = 0 THEN '12,5 k' "
                         f"ELSE {pick(YEAR, f'concat(' + lit(' ') + f', {YEAR}, ' + lit('0') + ')')} END"),
     "salary_hour_avg": f"CASE WHEN {K} % 3 = 1 THEN {pick(HOUR, f'concat({HOUR}, ' + lit('0') + ')')} ELSE '' END",
     "company_name": f"CASE WHEN {K} % 97 = 0 THEN '' ELSE {pick('c_name', 'concat(' + lit('  ') + ', upper(c_name))')} END",

@@ -75,8 +75,7 @@ def main() -> None:
     timed("quality", lambda: quality.QualitySuite().report(tables).collect())
     t = tables
     timed("star_fact", lambda: noop(star.fact_from_staging(t["stg_raw_jobs"])))
-    timed("star_top_skills", lambda: noop(star.top_skills_by_title(t["job_posting"], t["job_skill"], t["skill"],
-                                                                   t["job_title_category"])))
+    timed("star_top_skills", lambda: noop(star.top_skills_from_staging(t["stg_raw_jobs"])))
     timed("star_avg_salary", lambda: noop(star.avg_salary_country_platform(t["job_posting"], t["country"],
                                                                            t["platform"])))
     timed("star_jobs_per_month", lambda: noop(star.jobs_per_month(t["job_posting"], t["company"])))

@@ -111,3 +111,46 @@ def test_nested_as_json_and_exists(small_models):
     out = nested_as_json(stg.select("business_key", "job_skills_array", "job_type_skills")).first()
     assert out.job_skills_array.startswith("[") and out.job_type_skills.startswith("{")
     assert exists(stg) and not exists(stg.where("1 = 0"))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_posting_models_parse_no_skill(spark):
+    from conftest import SF_SMALL
+    core = dedup.posting_core(models.landing_from_tables(spark, SF_SMALL), models.RUN_TS)
+    for name, df in models.posting_models(core, models.RUN_TS).items():
+        plan = _plan(df)
+        assert "ArrowEvalPython" not in plan and "Generate explode(skill" not in plan and "from_json" not in plan, name
+
+
+def test_posting_core_equals_staging(small_landing):
+    core = dedup.posting_core(small_landing, models.RUN_TS)
+    stg = dedup.dedup_merge(small_landing, models.RUN_TS).select(*core.columns)
+    assert sorted(map(repr, core.collect())) == sorted(map(repr, stg.collect()))
+
+
+def test_top_skills_from_staging_equals_the_joined_form(small_models):
+    from postline.plans import star
+    m = small_models
+    joined = star.top_skills_by_title(m["job_posting"], m["job_skill"], m["skill"], m["job_title_category"])
+    local = star.top_skills_from_staging(m["stg_raw_jobs"])
+    assert sorted(map(repr, map(tuple, local.collect()))) == sorted(map(repr, map(tuple, joined.select(*local.columns).collect())))
+    assert "Join" not in _plan(local)
+
+
+def test_links_and_folds_of_one_large_posting(spark):
+    """20,000 skills in one row: sets hash, categories are slices of sorted pairs."""
+    import time
+    n = 20_000
+    big = spark.range(1).selectExpr(
+        f"transform(sequence(1, {n}), i -> concat('s', i)) AS job_skills_array",
+        f"map_from_entries(transform(sequence(0, 99), c -> struct(concat('c', c), "
+        f"transform(sequence(1, {n // 100}), i -> concat('s', c * {n // 100} + i))))) AS job_type_skills")
+    started = time.monotonic()
+    assert big.select(F.size(bridge.job_links()).alias("n")).first()["n"] == 2 * n
+    pairs = big.select(dedup.trimmed_type_pairs(F.col("job_type_skills")).alias("p"))
+    folded = pairs.select(dedup.fold_pairs(F.col("p")).alias("m")).selectExpr("size(m) AS n", "size(m['c7']) AS k").first()
+    assert (folded["n"], folded["k"]) == (100, n // 100)
+    assert time.monotonic() - started < 60

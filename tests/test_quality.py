@@ -42,3 +42,14 @@ def test_suite_run_fail_fast_stops(small_models):
     assert results[-1][1] > 0
     assert all(n == 0 for _, n in results[:-1])
     assert len(results) < len(suite.checks)
+
+
+def test_a_singular_check_of_the_users_own_counts(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "n int, fk string")
+    own = Q.Singular("small_numbers", "rows", lambda t: t["rows"].where("n < 2"))
+    suite = Q.QualitySuite([Q.Check("not_null", "rows", ("n",)), own, Q.Check("not_null", "rows", ("fk",))])
+    assert {r.check_name: r.failures for r in suite.report({"rows": rows}).collect()} == {
+        "not_null(rows.n)": 0, "small_numbers": 1, "not_null(rows.fk)": 1}
+    assert suite.run({"rows": rows}) == [("not_null(rows.n)", 0), ("small_numbers", 1)]
+    assert len(suite.run({"rows": rows}, fail_fast=False)) == 3
+    assert Q.QualitySuite([own]).report({"rows": rows}).count() == 1

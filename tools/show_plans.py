@@ -43,8 +43,7 @@ def main() -> None:
         "dimension company": models.build_models(raw, stg=t["stg_raw_jobs"])["company"],
         "average pay by country and platform": star.avg_salary_country_platform(
             t["job_posting"], t["country"], t["platform"]),
-        "top skills per title": star.top_skills_by_title(t["job_posting"], t["job_skill"], t["skill"],
-                                                         t["job_title_category"]),
+        "top skills per title": star.top_skills_from_staging(t["stg_raw_jobs"]),
         "quality report (59 checks)": quality.QualitySuite().report(t),
     }
     out = ["# Physical plans (AQE final) of the headline jobs", "",

@@ -12,6 +12,30 @@ from postline.session import ensure_checkpoint_dir
 _WRITTEN: list[str] = []
 
 
+class Recent(dict):
+    """A bounded cache for a task: ``cache[key]`` is ``make(key)``.
+
+    When it is full its entries become the old generation; one that is asked for
+    again comes back, the rest go with the next change.  Long texts are not kept.
+    """
+
+    def __init__(self, make, most: int, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+            if isinstance(key, str) and len(key) > self.longest:
+                return value
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,6 +68,11 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def named(column: str) -> Column:
+    """A top-level column by its name, whatever signs it holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def text_of(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postline.llm.common import cut, read_table
+from postline.llm.common import cut, named, read_table
 from postline.llm.components import components
 
 SEED = 42
@@ -190,7 +190,7 @@ def keep_first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     found = simhash_components(docs, id_col, text_col, size, max_bits).where("doc_id is not null")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    columns = [F.col(c) for c in docs.columns]
+    columns = [named(c) for c in docs.columns]
     key = F.col(id_col).cast("long")
     kept = (docs.withColumn("_simhash_id", key)
             .join(gone.withColumnRenamed("doc_id", "_simhash_id"), "_simhash_id", "left_anti"))

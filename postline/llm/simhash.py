@@ -87,24 +87,19 @@ def _forest(fps: np.ndarray, left: np.ndarray, max_bits: int) -> list[tuple[int,
     across them are looked at, as pairs within a part have a group of their own.
     """
     n = len(fps)
-    root = np.arange(n)
+    group = np.arange(n)
     across = left.any() and not left.all()
+    right = np.flatnonzero(~left) if across else None
     edges = []
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
     for i in np.flatnonzero(left) if across else range(n):
-        others = np.flatnonzero(~left) if across else np.arange(i + 1, n)
+        others = right if across else np.arange(i + 1, n)
         close = others[np.bitwise_count(fps[others] ^ fps[i]) <= max_bits]
-        for j in close:
-            a, b = top(i), top(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                edges.append((i, j))
+        # one link to each group that isn't joined yet: n - 1 at most in all
+        joined, at = np.unique(group[close], return_index=True)
+        new = joined != group[i]
+        if new.any():
+            edges += [(i, j) for j in close[at[new]].tolist()]
+            group[np.isin(group, joined[new])] = group[i]
     return edges
 
 

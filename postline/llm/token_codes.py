@@ -21,7 +21,7 @@ read, so a lost executor or a repeated task leaves no trace in the result.
 
 Words are encoded by the library once per worker while they stay in a bounded
 cache: the tokenizer's own split never joins a text across the borders used here
-(before a single space or around other white space).
+(before a single space, around other white space, between a letter and a sign).
 
 Defined results: a null text counts as empty (the end id alone); a null doc_id
 stays null and comes first; repeated rows are each written; an empty table makes
@@ -33,6 +33,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,18 +43,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postline.llm.common import cut, read_table, scratch_path
+from postline.llm.common import Recent, cut, read_table, scratch_path
 
 MAGIC = b"TOKCODE1"
 RANK_BITS = 512
-SEGMENT_TOKENS = 1 << 23
-CACHE_WORDS = 600_000
-LONGEST_KEY = 64
+SEGMENT_TOKENS = 1 << 21
+CACHE_WORDS = 200_000
 END_ID = 0
 
 # The white space of the tokenizer's split pattern.
 WHITE = "\t-\r \x85\xa0  -     　"
-_CHUNKS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
+# Letters of ASCII and Latin-1, and signs that the split never joins to a letter before them.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+SIGNS = '.,;:!?|*#$%&()"'
+_CHUNKS = re.compile(f" ?[{LETTERS}]+(?=[{SIGNS}])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
+_WORD = re.compile(f" ?[{LETTERS}]+")
 
 
 # --- encoding -----------------------------------------------------------------
@@ -66,27 +70,36 @@ class TextCoder:
 
         self.tokenizer = Tokenizer.from_str(model)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.merges = self.tokenizer.model
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that the alphabet shows as themselves
+        self.alphabet = {b: chr(b) for b in plain} | {
+            b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
+        self.words = Recent(self._encode_chunk, CACHE_WORDS)
 
-    def _pack(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode_chunk(self, chunk: str) -> bytes:
+        if _WORD.fullmatch(chunk):  # one word of the split: straight to the library's merges
+            shown = chunk.encode().decode("latin-1").translate(self.alphabet)
+            return array("I", [t.id for t in self.merges.tokenize(shown)]).tobytes()
+        return self._encode_text(chunk)
+
+    def _encode_text(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return self._pack([text])[0]
-        chunks = _CHUNKS.findall(text)
-        cache = self.cache
-        new = [c for c in set(chunks) if c not in cache]
-        if new:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = list(set(chunks))
-            packed = dict(zip(new, self._pack(new)))
-            cache.update((c, b) for c, b in packed.items() if len(c) <= LONGEST_KEY)
-            if any(len(c) > LONGEST_KEY for c in new):
-                return b"".join([packed[c] if c in packed else cache[c] for c in chunks])
-        return b"".join(map(cache.__getitem__, chunks))
+            return self._encode_text(text)
+        return b"".join(map(self.words.__getitem__, _CHUNKS.findall(text)))
+
+
+_CODERS: dict[int, TextCoder] = {}
+
+
+def _coder(model: str, key: int) -> TextCoder:
+    """One coder for each worker and model, kept between tasks."""
+    if key not in _CODERS:
+        _CODERS.clear()
+        _CODERS[key] = TextCoder(model)
+    return _CODERS[key]
 
 
 # --- the file -----------------------------------------------------------------
@@ -199,9 +212,6 @@ def open_store(path: str) -> tuple[fs.FileSystem, str]:
 
 # --- Spark --------------------------------------------------------------------
 
-_CODERS: dict[int, TextCoder] = {}
-
-
 def write_codes(docs: DataFrame, model_path: str, folder: str, id_col: str = "doc_id", text_col: str = "text",
                 end_id: int = END_ID, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """Encode and write all texts under ``folder``; the manifest (part, seq, path, docs, tokens).
@@ -216,10 +226,7 @@ def write_codes(docs: DataFrame, model_path: str, folder: str, id_col: str = "do
     target.create_dir(base, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _CODERS:
-            _CODERS.clear()
-            _CODERS[key] = TextCoder(shared.value)
-        coder, part = _CODERS[key], TaskContext.get().partitionId()
+        coder, part = _coder(shared.value, key), TaskContext.get().partitionId()
         store, root = open_store(folder)
         end = np.array([end_id], dtype="<u4").tobytes()
         doc_ids: list[int | None] = []

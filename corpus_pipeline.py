@@ -25,10 +25,10 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def dedup_document_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, ``n_chars`` follows; a document that loses all its text goes."""
-    lean = dedup_lines(docs, stats=True)
-    emptied = (F.col("lines_gone") > 0) & (F.trim(F.translate("text", "\n\t\r", "   ")) == "")
-    changed = F.when(F.col("lines_gone") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return lean.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", changed).drop("lines_gone")
+    lean = dedup_lines(docs, count_col="_lines_gone")
+    emptied = (F.col("_lines_gone") > 0) & (F.trim(F.translate("text", "\n\t\r", "   ")) == "")
+    changed = F.when(F.col("_lines_gone") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return lean.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", changed).drop("_lines_gone")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,37 +39,49 @@ MIN_WORDS = 8
 KEY_MASK = (1 << 40) - 1  # sums of such hashes stay in 63 bits up to 8 million words
 
 
+BLANKS = "\t\r\x0b\x0c\xa0"
+
+
 def canonical(line: Column) -> Column:
-    """The words of a line with single spaces between them."""
-    plain = F.trim(F.translate(line, "\t\r\x0b\x0c\xa0", "     "))
-    return F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " {2,}", " ")).otherwise(plain)
+    """The words of a line with single spaces between them.
+
+    The rewriting functions are slow, so each runs only on a line that needs it.
+    """
+    odd = F.contains(line, F.lit(BLANKS[0]))
+    for c in BLANKS[1:]:
+        odd = odd | F.contains(line, F.lit(c))
+    plain = let(F.when(odd, F.translate(line, BLANKS, " " * len(BLANKS))).otherwise(line), F.trim)
+    return let(plain, lambda x: F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " {2,}", " ")).otherwise(x))
 
 
 def _n_words(line: Column) -> Column:
-    return F.when(line == "", 0).otherwise(F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
+    return F.when(line == "", 0).otherwise(
+        F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
-                       F.split(F.col(text_col), "\n", -1).alias("lines")).where("doc_id is not null and lines is not null")
+                       F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
 
 
 def _half_keys(line: Column, n: Column) -> Column:
-    """Hashes of the first and of the last s // 2 words, for s = n and s = n - 1."""
-    def key(side: int, less: int) -> Column:
-        s = n - less
-        half = F.call_function("substring_index", line, F.lit(" "), (F.floor(s / 2) * (1 if side == 0 else -1)).cast("int"))
-        return F.xxhash64(F.lit(side), s, half)
-    return F.array(key(0, 0), key(0, 1), key(1, 0), key(1, 1))
+    """Hashes of the first and of the last s // 2 words, for s = n and s = n - 1 (the same for odd n)."""
+    def keys(less: int) -> list[Column]:
+        words = F.floor((n - less) / 2).cast("int")
+        half = lambda side: F.xxhash64(words * side, F.call_function("substring_index", line, F.lit(" "), words * side))
+        return [half(1), half(-1)]
+    return F.when(n % 2 == 1, F.array(*keys(0))).otherwise(F.array(*keys(0), *keys(1)))
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """(doc_id, text_hash, line_no, h1, h2, halves): every line that is judged."""
-    lines = _texts(docs, id_col, text_col).select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
-    lines = lines.withColumn("line", canonical(F.col("line"))).withColumn("n", _n_words(F.col("line")))
-    return lines.where(F.col("n") >= min_words).select(
-        "doc_id", "text_hash", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"),
-        _half_keys(F.col("line"), F.col("n")).alias("halves"))
+    counted = lambda line: let(canonical(line), lambda x: F.struct(x.alias("line"), _n_words(x).alias("n")))
+    lines = _texts(docs, id_col, text_col).select(
+        "doc_id", "text_hash", F.posexplode(F.transform(F.split("text", "\n", -1), counted)).alias("line_no", "x"))
+    line = F.col("x.line")
+    return lines.where(F.col("x.n") >= min_words).select(
+        "doc_id", "text_hash", "line_no", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(7), line).alias("h2"),
+        _half_keys(line, F.col("x.n")).alias("halves"))
 
 
 def _variants(words: Column) -> tuple[Column, Column]:
@@ -105,37 +117,35 @@ def _close(a: Column, b: Column) -> Column:
 
 def near_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h1, h2) of the classes that have an earlier class within one edit."""
-    halves = classes.select("h1", "h2", F.explode(F.array_distinct("halves")).alias("half"))
+    halves = classes.select("h1", F.explode(F.array_distinct("halves")).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    wanted = halves.join(shared, "half", "left_semi").select("h1", "h2").distinct()
-    places = (classes.join(wanted, ["h1", "h2"], "left_semi")
+    # by h1 alone: a class more than needed does no harm here
+    wanted = halves.join(shared, "half", "left_semi").select("h1").distinct()
+    places = (classes.join(wanted, "h1", "left_semi")
               .groupBy("first.doc_id", "first.text_hash")
               .agg(F.collect_list(F.struct("first.line_no", "h1", "h2")).alias("wanted")))
-    # the words of a class come from its earliest place
-    lines = (_texts(docs, id_col, text_col).dropDuplicates(["doc_id", "text_hash"])
-             .join(places, ["doc_id", "text_hash"])
-             .select("doc_id", "text_hash", "lines", F.explode("wanted").alias("w"))
+    # the words of a class come from its earliest place; a repeated row gives them twice
+    lines = (_texts(docs, id_col, text_col).join(places, ["doc_id", "text_hash"])
+             .select("doc_id", "text_hash", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
              .select(F.struct("doc_id", F.col("w.line_no").alias("line_no"), "text_hash").alias("first"), "w.h1", "w.h2",
-                     F.split(canonical(F.get("lines", F.col("w.line_no"))), " ").alias("words")))
+                     F.split(canonical(F.get("lines", F.col("w.line_no"))), " ").alias("words"))
+             .dropDuplicates(["h1", "h2"]))
     own, gaps = _variants(F.col("words"))
     lines = cut(lines.withColumns({"own": own, "gaps": gaps}), "lines")
-    who = F.struct("first", "h1", "h2").alias("who")
-    n = F.size("words")
-    whole = lines.select(F.col("own").alias("key"), n.alias("n"), who)
-    parts = lines.select(F.posexplode("gaps").alias("place", "key"), (n - 1).alias("n"), who)
-    meeting = parts.groupBy("key", "n", "place").agg(F.min("who").alias("early"), F.count("*").alias("met")).where("met > 1")
-    replaced = (parts.join(meeting, ["key", "n", "place"]).where("early.first < who.first")
-                .select(F.col("who").alias("late"), "early"))
-    inserted = whole.withColumnRenamed("who", "other").join(parts, ["key", "n"]).select(
+    # the earliest place names a class, and orders it
+    n, who = F.size("words"), F.col("first").alias("who")
+    whole = lines.select(F.xxhash64("own", n).alias("key"), who)
+    parts = lines.select(F.posexplode("gaps").alias("place", "gap"), (n - 1).alias("n"), who).select(
+        F.xxhash64("gap", "n").alias("key"), "place", "who")
+    meeting = parts.groupBy("key", "place").agg(F.min("who").alias("early"), F.count("*").alias("met")).where("met > 1")
+    replaced = parts.join(meeting, ["key", "place"]).where("early < who").select(F.col("who").alias("late"), "early")
+    inserted = whole.withColumnRenamed("who", "other").join(parts, "key").select(
         F.greatest("who", "other").alias("late"), F.least("who", "other").alias("early"))
     pairs = replaced.union(inserted).distinct()
-    words = lines.select("h1", "h2", "words")
-    side = lambda name: words.select(*[F.col(c).alias(f"{name}_{c}") for c in words.columns])
-    met = (pairs.select(F.col("late.h1").alias("late_h1"), F.col("late.h2").alias("late_h2"),
-                        F.col("early.h1").alias("early_h1"), F.col("early.h2").alias("early_h2"))
-           .join(side("late"), ["late_h1", "late_h2"]).join(side("early"), ["early_h1", "early_h2"]))
-    return (met.where(_close(F.col("late_words"), F.col("early_words")))
-            .select(F.col("late_h1").alias("h1"), F.col("late_h2").alias("h2")).distinct())
+    late = lines.select(F.col("first").alias("late"), "h1", "h2", F.col("words").alias("late_words"))
+    early = lines.select(F.col("first").alias("early"), F.col("words").alias("early_words"))
+    return (pairs.join(late, "late").join(early, "early")
+            .where(_close(F.col("late_words"), F.col("early_words"))).select("h1", "h2").distinct())
 
 
 def lines_to_remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -159,8 +169,8 @@ def _mask(gone: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                stats: bool = False) -> DataFrame:
-    """``docs`` with the text less its repeated lines; with ``stats`` also ``lines_before`` and ``lines_gone``."""
+                count_col: str | None = None) -> DataFrame:
+    """``docs`` with the text less its repeated lines; ``count_col`` names a column for how many went."""
     gone = lines_to_remove(docs, id_col, text_col, min_words).select(
         F.col("doc_id").alias("_dedup_id"), F.col("text_hash").alias("_dedup_hash"), _mask(F.col("gone")).alias("_dedup_mask"),
         F.size("gone").alias("_dedup_gone"))
@@ -169,13 +179,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     goes = lambda i: F.coalesce(F.substring(F.col("_dedup_mask"), i + 1, 1) == F.lit(b"1"), F.lit(False))
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda _line, i: ~goes(i)), "\n")
     out = joined.withColumn(text_col, F.when(F.col("_dedup_mask").isNull(), F.col(text_col)).otherwise(kept))
-    if stats:
-        out = out.withColumns({"lines_gone": F.coalesce("_dedup_gone", F.lit(0))})
+    if count_col:
+        out = out.withColumn(count_col, F.coalesce("_dedup_gone", F.lit(0)))
     return out.drop("_dedup_id", "_dedup_hash", "_dedup_mask", "_dedup_gone")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of ``documents`` after line dedup, its text as a digest."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs, stats=True).select(
+    return dedup_lines(docs, count_col="lines_gone").select(
         "doc_id", "lines_gone", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))

@@ -66,7 +66,7 @@ def test_equals_brute_force(spark, tmp_path):
 def test_repeated_rows_and_hot_lines(spark):
     line, family = "one two three four five six seven eight", [f"a b c d e f g h n{k} i" for k in range(300)]
     rows = [(k, line) for k in range(200)] + [(5, line)] + [(1000 + k, x) for k, x in enumerate(family)]
-    out = dedup_lines(docs(spark, rows), stats=True).collect()
+    out = dedup_lines(docs(spark, rows), count_col="lines_gone").collect()
     assert sorted(r.doc_id for r in out if r.text) == [0, 1000]
     assert sum(r.lines_gone for r in out) == 200 + 299
 

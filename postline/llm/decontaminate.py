@@ -42,7 +42,7 @@ MASKS = ("111011011011", "110110110111", "101110110111")
 MIN_WORDS = 12
 MIN_RATIO = 0.8
 BLOCK_WORDS = 1_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 SIEVE_BITS = 22
 _WORDS = re.compile(r"[^\W_]+")
 

@@ -31,13 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postline.llm.common import read_table
+from postline.llm.common import Recent, read_table
 
 SPACE = "▁"
 NEVER = 1 << 60
-CACHE_WORDS = 600_000
-CACHE_PAIRS = 1_000_000
-LONGEST_KEY = 64
+CACHE_WORDS = 150_000
+CACHE_PAIRS = 200_000
 
 
 def read_model(path: str) -> dict:
@@ -62,22 +61,6 @@ def read_model(path: str) -> dict:
             "silent": silent, "unknown": unknown}
 
 
-class Bounded(dict):
-    """A cache that forgets everything when it is full."""
-
-    def __init__(self, make, most: int):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if not isinstance(key, str) or len(key) <= LONGEST_KEY:
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = value
-        return value
-
-
 class PieceCoder:
     """Encoder and decoder of one model."""
 
@@ -89,8 +72,8 @@ class PieceCoder:
         self.byte_ids = [byte_id[b] for b in range(256)]
         self.known = {c for p in self.rank for c in p}
         self._trees()
-        self.compatible = Bounded(self._compatible, CACHE_PAIRS)
-        self.words = Bounded(self._segment, CACHE_WORDS)
+        self.compatible = Recent(self._compatible, CACHE_PAIRS)
+        self.words = Recent(self._segment, CACHE_WORDS)
         self.split = re.compile(self._borders()).findall
         self.raw = [b""] * len(self.pieces)
         for p, i in self.id_of.items():

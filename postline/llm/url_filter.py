@@ -28,6 +28,7 @@ from postline.llm.common import cut, read_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEFAULT_VERDICT = "allow"
+BROADCAST_RULES = 20_000  # an index of at most so many rules is broadcast, a larger one is joined by shuffle
 
 
 class Rule(NamedTuple):
@@ -102,19 +103,23 @@ def _rule_value(name, verdict, tier) -> Column:
     return F.struct((-tier).alias("tier"), F.length(name).alias("length"), name.alias("name"), verdict.alias("verdict"))
 
 
+def _small(side: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The side made from the rules, broadcast while their number allows it."""
+    return F.broadcast(side) if len(rules) <= BROADCAST_RULES else side
+
+
 def rule_index(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     """Rows (token, name, pattern, verdict, tier): each rule under its rarest token.
 
     ``urls`` has the array ``tokens``.  A token counts the URLs that hold it,
     over all of them; of equally rare tokens the smaller one is taken.
     """
-    spark = urls.sparkSession
-    listed = spark.createDataFrame(
+    listed = urls.sparkSession.createDataFrame(
         [(r.name, r.pattern, r.verdict, r.tier, list(r.tokens)) for r in rules if r.tokens],
         "name string, pattern string, verdict string, tier int, tokens array<string>")
     by_token = listed.withColumn("token", F.explode("tokens")).drop("tokens")
     counts = (urls.select(F.explode("tokens").alias("token"))
-              .join(by_token.select("token").distinct(), "token", "left_semi")
+              .join(_small(by_token.select("token").distinct(), rules), "token", "left_semi")
               .groupBy("token").agg(F.count("*").alias("n")))
     rarest = (by_token.join(counts, "token", "left")
               .groupBy("name", "pattern", "verdict", "tier")
@@ -130,7 +135,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule] = RULES, url_col: str = "url"
                .withColumn("tokens", _tokens(F.col("canon"))), "urls")
     index = rule_index(urls, rules)
     hits = (urls.select("url", "canon", F.explode("tokens").alias("token"))
-            .join(index, "token")
+            .join(_small(index, rules), "token")
             .where(F.rlike("canon", F.col("pattern")))
             .groupBy("url").agg(F.max(_rule_value(F.col("name"), F.col("verdict"), F.col("tier"))).alias("best")))
     bare = [r for r in rules if not r.tokens]

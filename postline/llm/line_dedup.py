@@ -150,7 +150,8 @@ def near_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str)
 
 def lines_to_remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, gone): the numbers of the lines that go, in order, per document text."""
-    seen = cut(_occurrences(docs, id_col, text_col, min_words), "line-hashes")
+    # read twice rather than written: hashes do not compress, and the second pass needs no half keys
+    seen = _occurrences(docs, id_col, text_col, min_words)
     place = F.struct("doc_id", "line_no", "text_hash")
     classes = cut(seen.groupBy("h1", "h2").agg(
         F.min(place).alias("first"), F.count("*").alias("copies"), F.first("halves").alias("halves")), "line-classes")

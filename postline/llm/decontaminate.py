@@ -7,8 +7,10 @@ of a document is hashed under each mask; equal hashes are hits, and each hit is
 verified on its diagonal: the words of the item against the words of the document
 at that offset.  The best stretch with at least ``min_ratio`` equal words counts,
 and a document is contaminated where it reaches ``min_words`` words, or a whole
-item that is shorter.  Items with fewer words than a mask spans are looked up by
-masks of their own length with all positions, that is exactly.
+item that is shorter.  At the fixed threshold no overlap is without a hit: the masks
+meet every window of 12 to 23 words with a fifth of them replaced, wherever they are,
+and of a longer stretch one half has the share again, down to such a window.  An item
+of fewer words gets masks of its own length for the replacements that they miss.
 
 The benchmark is the query set: it is dealt into blocks of at most
 ``block_words`` words (one longer item is a block of its own), each block is
@@ -27,7 +29,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +41,13 @@ from pyspark.sql import functions as F
 from postline.llm.common import cut, read_table
 
 # Ones are the positions a mask looks at.
-MASKS = ("111011011011", "110110110111", "101110110111")
+MASKS = ("1111011", "110010111", "11000100111")
 MIN_WORDS = 12
 MIN_RATIO = 0.8
 BLOCK_WORDS = 1_000_000
 CACHE_WORDS = 250_000
 SIEVE_BITS = 22
+HITS_AT_ONCE = 100_000
 _WORDS = re.compile(r"[^\W_]+")
 
 
@@ -76,6 +80,20 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return total
 
 
+@lru_cache(maxsize=None)
+def item_masks(n: int, min_ratio: float, masks: tuple[str, ...]) -> tuple[str, ...]:
+    """The masks for an item of n words: a short one has a hit whichever words of it may be replaced."""
+    fit = [m for m in masks if len(m) <= n]
+    if n >= MIN_WORDS:
+        return tuple(fit)
+    for gone in combinations(range(n), int((1 - min_ratio) * n + 1e-9)):
+        whole = "".join("0" if i in gone else "1" for i in range(n))
+        if "1" in whole and not any(
+                all(whole[k + i] == "1" for i, on in enumerate(m) if on == "1") for m in fit for k in range(n - len(m) + 1)):
+            fit.append(whole)
+    return tuple(fit)
+
+
 def best_stretch(equal: np.ndarray, min_ratio: float) -> tuple[int, int]:
     """Start and length of the longest stretch that begins and ends equal with that share of equal words."""
     # walk of +(1 - r) and -r: a stretch has the share where the walk does not fall over it
@@ -97,20 +115,29 @@ def best_stretch(equal: np.ndarray, min_ratio: float) -> tuple[int, int]:
 class Block:
     """The seeds of some items: what each hash stands for, and a sieve before the lookup."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], masks: tuple[str, ...]):
+    def __init__(self, items: list[tuple[int, list[str]]], masks: tuple[str, ...], min_words: int, min_ratio: float):
         hashes = Words()
+        self.min_words, self.min_ratio = min_words, min_ratio
         self.item_ids = [i for i, _ in items]
         self.words = [np.fromiter((hashes[w] for w in ws), np.uint64, len(ws)) for _, ws in items]
-        shortest = min(map(len, masks))
-        self.masks = list(masks) + sorted({"1" * len(w) for w in self.words if 0 < len(w) < shortest})
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        self.text = np.concatenate([np.zeros(0, np.uint64), *self.words])
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        # what lies around a hit tells only where every overlap is sure to have a hit inside
+        self.sure = tuple(masks) == MASKS and min_words >= MIN_WORDS and min_ratio >= MIN_RATIO
+        self.least = np.ceil(min_ratio * np.minimum(min_words, sizes) - 1e-9)
+        used: set[str] = set()
         keys, owners, places = [], [], []
         for k, words in enumerate(self.words):
-            own = masks if len(words) >= shortest else ["1" * len(words)] * (len(words) > 0)
+            own = item_masks(len(words), min_ratio, tuple(masks)) if len(words) else ()
+            used.update(own)
             for mask in own:
                 s = seeds(words, mask)
                 keys.append(s)
                 owners.append(np.full(len(s), k))
                 places.append(np.arange(len(s)))
+        self.masks = sorted(used)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         keys = join(keys, np.uint64)
         order = np.argsort(keys, kind="stable")
@@ -120,29 +147,47 @@ class Block:
         self.sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)
         self.sieve[(self.keys >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)] = True
 
-    def hits(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, offset of the item's first word in the text) of all seed hits."""
-        found: set[tuple[int, int]] = set()
+    def hits(self, words: np.ndarray) -> list[tuple[int, int]]:
+        """(item, offset of the item's first word in the text) of the seed hits, in order."""
+        found = []
         for mask in self.masks:
             s = seeds(words, mask)
             at = np.flatnonzero(self.sieve[(s >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)])
             if not len(at):
                 continue
             first = np.searchsorted(self.keys, s[at], "left")
-            last = np.searchsorted(self.keys, s[at], "right")
-            for p, a, b in zip(at[last > first].tolist(), first[last > first].tolist(), last[last > first].tolist()):
-                found.update(zip(self.owners[a:b].tolist(), (p - self.places[a:b]).tolist()))
-        return found
-
-    def overlaps(self, words: np.ndarray, min_words: int, min_ratio: float) -> dict[int, tuple[int, int, int, int]]:
+            count = np.searchsorted(self.keys, s[at], "right") - first
+            upto = np.cumsum(count)
+            for low in range(0, int(upto[-1]), HITS_AT_ONCE):
+                n = np.arange(low, min(low + HITS_AT_ONCE, int(upto[-1])))
+                window = np.searchsorted(upto, n, "right")
+                key = first[window] + n - (upto[window] - count[window])
+                owner, place, here = self.owners[key], self.places[key], at[window]
+                if self.sure:
+                    likely = self._around(words, owner, place, here) >= self.least[owner]
+                    owner, place, here = owner[likely], place[likely], here[likely]
+                found.append(np.unique(np.stack([owner, here - place], axis=1), axis=0))
+        return sorted({(k, offset) for part in found for k, offset in part.tolist()})
+
+    def _around(self, words: np.ndarray, owner: np.ndarray, place: np.ndarray, here: np.ndarray) -> np.ndarray:
+        """How many words agree near a hit, as far as a window that holds it may reach."""
+        at, low, high = self.starts[owner] + place, self.starts[owner], self.ends[owner]
+        equal = np.zeros(len(owner), np.int64)
+        for step in range(-2 * self.min_words, 2 * self.min_words + 1):
+            i, j = at + step, here + step
+            inside = (i >= low) & (i < high) & (j >= 0) & (j < len(words))
+            equal += inside & (self.text[np.where(inside, i, 0)] == words[np.where(inside, j, 0)])
+        return equal
+
+    def overlaps(self, words: np.ndarray) -> dict[int, tuple[int, int, int, int]]:
         """Item number -> (words of the overlap, equal words, its start in the text, its start in the item)."""
         best: dict[int, tuple[int, int, int, int]] = {}
-        for k, offset in sorted(self.hits(words)):
+        for k, offset in self.hits(words):
             item = self.words[k]
             a, b = max(0, -offset), min(len(item), len(words) - offset)
             equal = item[a:b] == words[offset + a:offset + b]
-            start, length = best_stretch(equal, min_ratio)
-            if length >= min(min_words, len(item)) and (k not in best or length > best[k][0]):
+            start, length = best_stretch(equal, self.min_ratio)
+            if length >= min(self.min_words, len(item)) and (k not in best or length > best[k][0]):
                 best[k] = (length, int(equal[start:start + length].sum()), offset + a + start, a + start)
         return best
 
@@ -185,11 +230,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
     def search(shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block, hashes = Block(shared.value, masks), Words()
+            block, hashes = Block(shared.value, masks, min_words, min_ratio), Words()
             for batch in batches:
                 out = []
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    for k, row in block.overlaps(hashes.of(text.as_py()), min_words, min_ratio).items():
+                    for k, row in block.overlaps(hashes.of(text.as_py())).items():
                         out.append((doc_id, block.item_ids[k], *row))
                 columns = list(zip(*out)) or [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
@@ -214,9 +259,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """``docs`` without the rows whose text holds an overlap: a filter inside each task, no shuffle."""
     def sieve(rows: DataFrame, shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block, hashes = Block(shared.value, masks), Words()
+            block, hashes = Block(shared.value, masks, min_words, min_ratio), Words()
             for batch in batches:
-                clean = [not block.overlaps(hashes.of(t.as_py() or ""), min_words, min_ratio)
+                clean = [not block.overlaps(hashes.of(t.as_py() or ""))
                          for t in batch.column(batch.schema.get_field_index(text_col))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -2,8 +2,11 @@
 
 Lines are compared by their words (split at white space).  A line of at least
 ``min_words`` words goes if an earlier one lies within one word edit of it (a word
-replaced, inserted or deleted, or none); shorter lines are left alone.  Earlier
-means the smaller (doc_id, line number).
+replaced, inserted or deleted, or none); shorter lines are left alone, or from
+``exact_words`` words on go where an earlier one is equal.  A line of fewer words
+that holds a sign of a script without spaces between words (Chinese, Japanese, Thai
+and others) is compared by its characters, each counted as a word.  Earlier means
+the smaller (doc_id, line number).
 
 1. Every line gets a 128-bit hash; equal lines are one class with its earliest
    place, a map-side aggregate, so a line that a third of all documents hold is one
@@ -40,6 +43,9 @@ KEY_MASK = (1 << 40) - 1  # sums of such hashes stay in 63 bits up to 8 million
 
 
 BLANKS = "\t\r\x0b\x0c\xa0"
+# Fixed value: signs of scripts that put no spaces between words.
+UNSPACED = (r"[\x{0E00}-\x{0EFF}\x{0F00}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}"
+            r"\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]")
 
 
 def canonical(line: Column) -> Column:
@@ -59,6 +65,14 @@ def _n_words(line: Column) -> Column:
         F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
 
 
+def _units(line: Column, min_words: int) -> Column:
+    """(line, n): the words or characters that a line is compared by, joined with single spaces, and their number."""
+    pair = lambda x, n: F.struct(x.alias("line"), n.alias("n"))
+    apart = lambda x: let(F.array_join(F.split(F.replace(x, F.lit(" "), F.lit("")), ""), " "), lambda y: pair(y, _n_words(y)))
+    return let(canonical(line), lambda x: let(_n_words(x), lambda n: F.when(
+        (n < min_words) & x.rlike(UNSPACED), apart(x)).otherwise(pair(x, n))))
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                        F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
@@ -73,15 +87,15 @@ def _half_keys(line: Column, n: Column) -> Column:
     return F.when(n % 2 == 1, F.array(*keys(0))).otherwise(F.array(*keys(0), *keys(1)))
 
 
-def _occurrences(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(doc_id, text_hash, line_no, h1, h2, halves): every line that is judged."""
-    counted = lambda line: let(canonical(line), lambda x: F.struct(x.alias("line"), _n_words(x).alias("n")))
+def _occurrences(docs: DataFrame, id_col: str, text_col: str, min_words: int, exact_words: int) -> DataFrame:
+    """(doc_id, text_hash, line_no, h1, h2, halves): every line that is judged; no halves where only equal lines count."""
+    counted = lambda line: _units(line, min_words)
     lines = _texts(docs, id_col, text_col).select(
         "doc_id", "text_hash", F.posexplode(F.transform(F.split("text", "\n", -1), counted)).alias("line_no", "x"))
     line = F.col("x.line")
-    return lines.where(F.col("x.n") >= min_words).select(
+    return lines.where(F.col("x.n") >= max(1, min(min_words, exact_words))).select(
         "doc_id", "text_hash", "line_no", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(7), line).alias("h2"),
-        _half_keys(line, F.col("x.n")).alias("halves"))
+        F.when(F.col("x.n") >= min_words, _half_keys(line, F.col("x.n"))).alias("halves"))
 
 
 def _variants(words: Column) -> tuple[Column, Column]:
@@ -115,7 +129,7 @@ def _close(a: Column, b: Column) -> Column:
             .when(F.size(b) == F.size(a) + 1, without_one(b, a)).otherwise(False))
 
 
-def near_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def near_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """(h1, h2) of the classes that have an earlier class within one edit."""
     halves = classes.select("h1", F.explode(F.array_distinct("halves")).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
@@ -128,7 +142,7 @@ def near_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str)
     lines = (_texts(docs, id_col, text_col).join(places, ["doc_id", "text_hash"])
              .select("doc_id", "text_hash", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
              .select(F.struct("doc_id", F.col("w.line_no").alias("line_no"), "text_hash").alias("first"), "w.h1", "w.h2",
-                     F.split(canonical(F.get("lines", F.col("w.line_no"))), " ").alias("words"))
+                     F.split(_units(F.get("lines", F.col("w.line_no")), min_words)["line"], " ").alias("words"))
              .dropDuplicates(["h1", "h2"]))
     own, gaps = _variants(F.col("words"))
     lines = cut(lines.withColumns({"own": own, "gaps": gaps}), "lines")
@@ -148,14 +162,15 @@ def near_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str)
             .where(_close(F.col("late_words"), F.col("early_words"))).select("h1", "h2").distinct())
 
 
-def lines_to_remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def lines_to_remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                    exact_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, gone): the numbers of the lines that go, in order, per document text."""
     # read twice rather than written: hashes do not compress, and the second pass needs no half keys
-    seen = _occurrences(docs, id_col, text_col, min_words)
+    seen = _occurrences(docs, id_col, text_col, min_words, exact_words)
     place = F.struct("doc_id", "line_no", "text_hash")
     classes = cut(seen.groupBy("h1", "h2").agg(
         F.min(place).alias("first"), F.count("*").alias("copies"), F.first("halves").alias("halves")), "line-classes")
-    near = near_lines(docs, classes, id_col, text_col).withColumn("near", F.lit(True))
+    near = near_lines(docs, classes, id_col, text_col, min_words).withColumn("near", F.lit(True))
     judged = (classes.select("h1", "h2", "first", "copies").join(near, ["h1", "h2"], "left")
               .where("near or copies > 1").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")))
     gone = seen.drop("halves").join(judged, ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
@@ -170,9 +185,9 @@ def _mask(gone: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                count_col: str | None = None) -> DataFrame:
+                count_col: str | None = None, exact_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the text less its repeated lines; ``count_col`` names a column for how many went."""
-    gone = lines_to_remove(docs, id_col, text_col, min_words).select(
+    gone = lines_to_remove(docs, id_col, text_col, min_words, exact_words).select(
         F.col("doc_id").alias("_dedup_id"), F.col("text_hash").alias("_dedup_hash"), _mask(F.col("gone")).alias("_dedup_mask"),
         F.size("gone").alias("_dedup_gone"))
     joined = docs.join(gone, (F.col(id_col).cast("long") == F.col("_dedup_id"))

@@ -1,8 +1,8 @@
 """License scan by canonical digests.
 
 A text is brought to a canonical form, line by line: ASCII letters to lower case,
-every run of other ASCII characters but digits to one space, equivalent spellings
-to one of them; empty lines and copyright lines are left out and the rest is
+every run of other ASCII characters but digits and of Unicode punctuation to one
+space, equivalent spellings to one of them; empty lines and copyright lines are left out and the rest is
 joined with single spaces.  The digest of the whole canonical text is looked up
 among the digests of known licence texts, and so is the digest of each canonical
 line, for notices that stand on a line of their own.  A known text has to be the
@@ -19,13 +19,16 @@ empty result; columns other than the two named are not read.
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postline.llm.common import cut, read_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-OTHER = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
+OTHER = (r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{ab}\x{ad}\x{b7}\x{bb}\x{2000}-\x{206f}\x{2212}\x{3000}-\x{3003}"
+         r"\x{300a}-\x{300f}\x{feff}]+")
 
 # Spellings on the left count as those on the right.
 SPELLINGS = [
@@ -37,10 +40,23 @@ SPELLINGS = [
     ("non commercial", "noncommercial"), ("organisation", "organization"), ("per cent", "percent"),
     ("recognise", "recognize"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
     ("https", "http"), ("merchantibility", "merchantability"), ("copyright owner", "copyright holder"),
+    ("\u00a9", "copyright"),
 ]
 
+BSD_START = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+"""
+BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+"""
+BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
 # Known notices and licence texts.
-KNOWN = [
+_LISTED = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
@@ -70,6 +86,37 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 ]
 
 
+# Usual titles; the first is none.
+TITLES = {
+    "0BSD": ("", "BSD Zero Clause License", "Zero-Clause BSD", "Zero Clause BSD License"),
+    "BSD-2-Clause": ("", "BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "BSD-3-Clause": ("", "BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+                     "Modified BSD License"),
+    "ISC": ("", "ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("", "MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+}
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def _known() -> list[tuple[str, str]]:
+    """Notices, short licences under each title, and the full texts of the files with and without what follows their terms."""
+    mit = _LISTED[-1][1]
+    bodies = [(name, text) for name, text in _LISTED[:-1] if name in ("0BSD", "ISC") and "\n" in text]
+    bodies += [("BSD-2-Clause", BSD_START + BSD_END), ("BSD-3-Clause", BSD_START + BSD_NAMES + BSD_END), ("MIT", mit.split("\n", 1)[1])]
+    out = _LISTED[:-1] + [(name, f"{title}\n\n{text}") for name, text in bodies for title in TITLES[name]]
+    for file in sorted(files("postline.llm").joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        if file.name.endswith(".txt"):
+            name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+            out.append((name, text))
+            if TERMS_END in text:
+                out.append((name, text[:text.index(TERMS_END)]))
+                out.append((name, text[:text.index(TERMS_END) + len(TERMS_END)]))
+    return [*out, _LISTED[-1]]
+
+
+KNOWN = _known()
+
+
 def canonical_line(line: Column) -> Column:
     plain = F.trim(F.regexp_replace(F.translate(line, UPPER, LOWER), OTHER, " "))
     padded = F.concat(F.lit(" "), plain, F.lit(" "))

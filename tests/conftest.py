@@ -5,10 +5,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.dirname(HERE)]
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
+from shared import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -36,8 +36,3 @@ def small_models(spark, small_landing):
     from postline.plans.models import materialise_models
     root = tempfile.mkdtemp(prefix="postline-test-models-")
     return materialise_models(small_landing, root)
-
-
-def one_col(spark, values, name="v"):
-    """A one-column text frame (for value-level cases)."""
-    return spark.createDataFrame([(v,) for v in values], f"{name} string")

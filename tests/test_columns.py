@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import one_col
+from shared import one_col
 from postline.functions import columns as C
 
 

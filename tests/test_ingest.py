@@ -12,7 +12,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from shared import SF_SMALL
 from postline.plans import ingest
 from postline.plans.ingest import Paths, committed_landing, ingest_files, read_entries, read_ledger
 from postline.schemas import SOURCE_COLUMNS

@@ -5,7 +5,7 @@ from __future__ import annotations
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import one_col
+from shared import one_col
 from postline.functions.literals import invalid_flag, missing_flag, parse_list, parse_map
 
 LISTS = {

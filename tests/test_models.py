@@ -118,7 +118,7 @@ def _plan(df):
 
 
 def test_posting_models_parse_no_skill(spark):
-    from conftest import SF_SMALL
+    from shared import SF_SMALL
     core = dedup.posting_core(models.landing_from_tables(spark, SF_SMALL), models.RUN_TS)
     for name, df in models.posting_models(core, models.RUN_TS).items():
         plan = _plan(df)

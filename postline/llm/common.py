@@ -24,7 +24,7 @@ class Recent(dict):
         self.make, self.most, self.longest, self.old = make, most, longest, {}
 
     def __missing__(self, key):
-        value = self.old.pop(key, None)
+        value = self.old.get(key)
         if value is None:
             value = self.make(key)
             if isinstance(key, str) and len(key) > self.longest:

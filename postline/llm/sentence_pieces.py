@@ -9,7 +9,8 @@ their border would come before the merges that build them.
 Runs of the space mark merge last and among themselves, so they are encoded on
 their own; characters that no piece holds become byte tokens.  Both end a word,
 and words are encoded independently of each other, once per worker while they
-stay in a bounded cache.
+stay in a bounded cache.  The digests join what the cache keeps for each part
+between spaces: the decimal names of its ids and the bytes they decode to.
 
 The model file is read on the driver by its path; its pieces are broadcast (the
 vocabulary's size, whatever the data).  Row-local, no shuffle.  A null text
@@ -35,8 +36,10 @@ from postline.llm.common import Recent, read_table
 
 SPACE = "▁"
 NEVER = 1 << 60
-CACHE_WORDS = 150_000
-CACHE_PAIRS = 200_000
+CACHE_PARTS = 500_000
+CACHE_WORDS = 50_000
+CACHE_PAIRS = 600_000
+BREAK = "\0"  # stands for a line break at the start of a part
 
 
 def read_model(path: str) -> dict:
@@ -61,10 +64,14 @@ def read_model(path: str) -> dict:
             "silent": silent, "unknown": unknown}
 
 
+class SpaceRun(Exception):
+    """Two spaces, or a space at an end of a line or text, which a run of space marks encodes."""
+
+
 class PieceCoder:
     """Encoder and decoder of one model."""
 
-    def __init__(self, model: dict):
+    def __init__(self, model: dict, cache_parts: int = CACHE_PARTS):
         self.pieces = model["pieces"]
         self.rank = {self.pieces[i]: r for i, r in model["rank"].items()}
         self.id_of = {self.pieces[i]: i for i in model["rank"]}
@@ -72,9 +79,12 @@ class PieceCoder:
         self.byte_ids = [byte_id[b] for b in range(256)]
         self.known = {c for p in self.rank for c in p}
         self._trees()
-        self.compatible = Recent(self._compatible, CACHE_PAIRS)
+        self.compatible = Recent(self._compatible, max(CACHE_PAIRS * cache_parts // CACHE_PARTS, 1))
         self.words = Recent(self._segment, CACHE_WORDS)
+        self.parts = Recent(self._part, cache_parts)
+        self.breaks_end_words = "\n" not in self.known
         self.split = re.compile(self._borders()).findall
+        self.lengths = [len(p) for p in self.pieces]
         self.raw = [b""] * len(self.pieces)
         for p, i in self.id_of.items():
             self.raw[i] = p.replace(SPACE, " ").encode()
@@ -185,19 +195,18 @@ class PieceCoder:
 
     def _word(self, word: str) -> list[int]:
         """Ids of a word of known characters with a space mark at its start at most."""
-        n, size, compatible = len(word), len(self.pieces), self.compatible
-        last, starts = [-1] * (n + 1), [0] * (n + 1)
+        size, compatible = len(self.pieces), self.compatible
+        last: list[int | None] = [None] * len(word)  # the last token of the prefix that ends here
         for end, (token, length) in self.automaton.iter(word):
-            end += 1
-            if last[end] < 0:
-                start = end - length
-                if not start or compatible[last[start] * size + token]:
-                    last[end], starts[end] = token, start
-        ids, at = [], n
-        while at:
-            ids.append(last[at])
-            at = starts[at]
-        return ids[::-1]
+            if last[end] is None and (end < length or compatible[last[end - length] * size + token]):
+                last[end] = token
+        ids, at, lengths = [], len(word) - 1, self.lengths
+        while at >= 0:
+            token = last[at]
+            ids.append(token)
+            at -= lengths[token]
+        ids.reverse()
+        return ids
 
     def _plain(self, text: str) -> list[int]:
         if self.known.issuperset(text):
@@ -226,6 +235,26 @@ class PieceCoder:
             return []
         return list(chain.from_iterable(map(self.words.__getitem__, self.split(SPACE + text.replace(" ", SPACE)))))
 
+    def _part(self, part: str) -> tuple[str, bytes]:
+        """(the names of the ids, the bytes they decode to) of what follows a space, or a line break in its place."""
+        if not part:
+            raise SpaceRun
+        marked = "\n" + part[1:] if part[0] == BREAK else SPACE + part
+        ids = list(chain.from_iterable(map(self.words.__getitem__, self.split(marked))))
+        return ",".join(map(self.names.__getitem__, ids)), b"".join(map(self.raw.__getitem__, ids))
+
+    def round_trip(self, text: str) -> tuple[int, str, str]:
+        """(number of ids, their decimal names joined by commas, the text that they decode to)."""
+        if text and BREAK not in text and SPACE not in text and self.breaks_end_words:
+            try:  # parts between single spaces are words or several
+                names, raw = zip(*map(self.parts.__getitem__, text.replace("\n", " " + BREAK).split(" ")))
+                ids, whole = ",".join(names), b"".join(raw)
+                return ids.count(",") + 1, ids, (whole[1:] if whole[:1] == b" " else whole).decode("utf-8")
+            except (SpaceRun, UnicodeDecodeError):
+                pass
+        ids = self.encode(text)
+        return len(ids), ",".join(map(self.names.__getitem__, ids)), self.decode(ids)
+
     def decode(self, ids: list[int]) -> str:
         """The text of any ids: bytes in a row are read as UTF-8, each broken one becomes U+FFFD."""
         if not self.silent.isdisjoint(ids):
@@ -275,12 +304,13 @@ def _coder(shared) -> PieceCoder:
     key = shared.value["key"]
     if key not in _CODERS:
         _CODERS.clear()
-        _CODERS[key] = PieceCoder(shared.value)
+        _CODERS[key] = PieceCoder(shared.value, shared.value["cache"])
     return _CODERS[key]
 
 
-def _share(spark: SparkSession, model_path: str):
+def _share(spark: SparkSession, model_path: str, cache_parts: int = CACHE_PARTS):
     model = read_model(model_path)
+    model["cache"] = cache_parts
     model["key"] = hashlib.sha256(repr(sorted(model["rank"].items())).encode() + repr(model["pieces"]).encode()).hexdigest()
     return spark.sparkContext.broadcast(model)
 
@@ -313,9 +343,13 @@ def decode_docs(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids
         run, "doc_id long, text string")
 
 
-def round_trip_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode and decode in one pass over the rows."""
-    shared = _share(docs.sparkSession, model_path)
+def round_trip_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
+                       cache_parts: int = CACHE_PARTS) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode and decode in one pass over the rows.
+
+    ``cache_parts`` bounds a worker's cache: about 450 bytes each, time against memory.
+    """
+    shared = _share(docs.sparkSession, model_path, cache_parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
@@ -323,10 +357,10 @@ def round_trip_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id",
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
             for text in batch.column(1):
-                ids = coder.encode(text.as_py() or "")
-                counts.append(len(ids))
-                ids_sha.append(sha(",".join(map(coder.names.__getitem__, ids)).encode()))
-                text_sha.append(sha(coder.decode(ids).encode()))
+                count, names, decoded = coder.round_trip(text.as_py() or "")
+                counts.append(count)
+                ids_sha.append(sha(names.encode()))
+                text_sha.append(sha(decoded.encode()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -22,6 +22,8 @@ read, so a lost executor or a repeated task leaves no trace in the result.
 Words are encoded by the library once per worker while they stay in a bounded
 cache: the tokenizer's own split never joins a text across the borders used here
 (before a single space, around other white space, between a letter and a sign).
+Texts whose only white space is single spaces and line breaks are cut at those,
+others by the pattern of the borders.
 
 Defined results: a null text counts as empty (the end id alone); a null doc_id
 stays null and comes first; repeated rows are each written; an empty table makes
@@ -48,6 +50,7 @@ from postline.llm.common import Recent, cut, read_table, scratch_path
 MAGIC = b"TOKCODE1"
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 21
+CACHE_PARTS = 300_000
 CACHE_WORDS = 200_000
 END_ID = 0
 
@@ -58,10 +61,16 @@ LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 SIGNS = '.,;:!?|*#$%&()"'
 _CHUNKS = re.compile(f" ?[{LETTERS}]+(?=[{SIGNS}])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
 _WORD = re.compile(f" ?[{LETTERS}]+")
+_ODD_WHITE = re.compile(f"[{WHITE}]")
+BREAK = "\0"  # stands for a line break at the start of a part
 
 
 # --- encoding -----------------------------------------------------------------
 
+class OddWhite(Exception):
+    """A part holds white space other than single spaces and line breaks."""
+
+
 class TextCoder:
     """A tokenizer with a bounded cache of words; ids come as little-endian u32 bytes."""
 
@@ -75,8 +84,11 @@ class TextCoder:
         self.alphabet = {b: chr(b) for b in plain} | {
             b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
         self.words = Recent(self._encode_chunk, CACHE_WORDS)
+        self.parts = Recent(self._encode_part, CACHE_PARTS)
 
     def _encode_chunk(self, chunk: str) -> bytes:
+        if chunk[0] == " " and chunk[1:].isalpha() and chunk.isascii():
+            return array("I", [t.id for t in self.merges.tokenize("\u0120" + chunk[1:])]).tobytes()
         if _WORD.fullmatch(chunk):  # one word of the split: straight to the library's merges
             shown = chunk.encode().decode("latin-1").translate(self.alphabet)
             return array("I", [t.id for t in self.merges.tokenize(shown)]).tobytes()
@@ -85,9 +97,29 @@ class TextCoder:
     def _encode_text(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _encode_part(self, part: str) -> bytes:
+        """A part after the first of its text: with the space before it, or the line break that it stands after."""
+        if part.isalpha() and part.isascii():
+            return self.words[" " + part]
+        if part[:-1].isalpha() and part.isascii() and part[-1] in SIGNS:
+            return self.words[" " + part[:-1]] + self.words[part[-1]]
+        if not part or _ODD_WHITE.search(part):
+            raise OddWhite
+        chunks = ["\n", *_CHUNKS.findall(part[1:])] if part[0] == BREAK else _CHUNKS.findall(" " + part)
+        return b"".join(map(self.words.__getitem__, chunks))
+
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self._encode_text(text)
+        # longer runs of line breaks, and two before a space or at the end, are one word
+        if BREAK not in text and "\n\n\n" not in text and "\n\n " not in text and not text.endswith("\n"):
+            first, *parts = text.replace("\n", " " + BREAK).split(" ")
+            try:
+                rest = b"".join(map(self.parts.__getitem__, parts))
+                if first and not _ODD_WHITE.search(first):
+                    return b"".join(map(self.words.__getitem__, _CHUNKS.findall(first))) + rest
+            except OddWhite:
+                pass
         return b"".join(map(self.words.__getitem__, _CHUNKS.findall(text)))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from postline.llm import decontaminate, graph_search, licenses, line_dedup, pii, sentence_pieces, simhash, token_codes, toxicity, url_filter
+from postline.llm import (
+    decontaminate, graph_search, licenses, line_dedup, merkle, pii, sentence_pieces, simhash, token_codes, toxicity, url_filter,
+)
 
 REGISTRY = {
     "op1_toxicity": (toxicity.op1_toxicity, None),
@@ -15,4 +17,5 @@ REGISTRY = {
     "op8_url_filter": (url_filter.op8_url_filter, url_filter.ORACLE),
     "op9_line_dedup": (line_dedup.op9_line_dedup, None),
     "op10_sentencepiece": (sentence_pieces.op10_sentencepiece, None),
+    "op11_merkle_manifest": (merkle.op11_merkle_manifest, merkle.ORACLE),
 }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from postline.llm import (
-    decontaminate, graph_search, licenses, line_dedup, merkle, pii, sentence_pieces, simhash, token_codes, toxicity, url_filter,
+    collocations, decontaminate, graph_search, licenses, line_dedup, merkle, pii, sentence_pieces, simhash, token_codes, toxicity,
+    url_filter,
 )
 
 REGISTRY = {
@@ -18,4 +19,5 @@ REGISTRY = {
     "op9_line_dedup": (line_dedup.op9_line_dedup, None),
     "op10_sentencepiece": (sentence_pieces.op10_sentencepiece, None),
     "op11_merkle_manifest": (merkle.op11_merkle_manifest, merkle.ORACLE),
+    "op13_collocations": (collocations.op13_collocations, collocations.ORACLE),
 }

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from postline.llm import (
-    collocations, decontaminate, graph_search, licenses, line_dedup, merkle, pii, sentence_pieces, simhash, token_codes, toxicity,
-    url_filter,
+    collocations, decontaminate, graph_search, html_extract, licenses, line_dedup, merkle, pii, sentence_pieces, simhash,
+    token_codes, toxicity, url_filter,
 )
 
 REGISTRY = {
@@ -19,5 +19,6 @@ REGISTRY = {
     "op9_line_dedup": (line_dedup.op9_line_dedup, None),
     "op10_sentencepiece": (sentence_pieces.op10_sentencepiece, None),
     "op11_merkle_manifest": (merkle.op11_merkle_manifest, merkle.ORACLE),
+    "op12_html_extract": (html_extract.op12_html_extract, None),
     "op13_collocations": (collocations.op13_collocations, collocations.ORACLE),
 }

@@ -104,13 +104,13 @@ class Dag:
         if start is None:
             roots = self.roots.withColumn("above", nothing)
         else:
-            roots = self.roots.join(start.select("tree", "above"), "tree")
+            roots = cut(self.roots.join(start.select("tree", "above"), "tree"), "merkle-starts")
         # from the root down, so the segments above come first, reversed
         roots = roots.select("tree", F.lit(0).cast("long").alias("rank"), "digest", F.col("digest").alias("subroot"),
                              F.reverse("above").alias("down"), "height")
         asked = [requests]
         for _ in range(1, len(self.records)):
-            asked.append(asked[-1].select("tree", F.floor(F.col("rank") / self.fan).alias("rank")).distinct())
+            asked.append(cut(asked[-1].select("tree", F.floor(F.col("rank") / self.fan).alias("rank")).distinct(), "merkle-asked"))
         at = lambda height: roots.where(F.col("height") == height).drop("height")
         reached = None
         for height in range(len(self.records) - 1, 0, -1):

@@ -13,10 +13,13 @@ and of a longer stretch one half has the share again, down to such a window.  An
 of fewer words gets masks of its own length for the replacements that they miss.
 
 The benchmark is the query set: it is dealt into blocks of at most
-``block_words`` words (one longer item is a block of its own), each block is
-broadcast and the documents are read once per block.  One row per document and
-item leaves a task, so neither a common word nor a common passage multiplies
-rows, and there is no shuffle of texts.  Equal items are searched as one.
+``block_words`` words (one longer item is a block of its own) and the documents are
+read once per block.  One block at a time is broadcast: where there are several,
+what a block finds, or leaves, is written before the next one comes.  One row per
+document and item leaves a task, so neither a common word nor a common passage
+multiplies rows, and there is no shuffle of texts.  Equal items are searched as one.
+An item of fewer than ``WHOLE_WORDS`` words is no passage: only a text that is that
+item and nothing else counts.
 
 Defined results: a null or empty text has no hits, nor has an empty item; a null
 doc_id is reported as null; rows that repeat an id are one document in the
@@ -37,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 from postline.llm.common import cut, read_table
 
@@ -44,6 +48,7 @@ from postline.llm.common import cut, read_table
 MASKS = ("1111011", "110010111", "11000100111")
 MIN_WORDS = 12
 MIN_RATIO = 0.8
+WHOLE_WORDS = 3
 BLOCK_WORDS = 1_000_000
 CACHE_WORDS = 250_000
 SIEVE_BITS = 22
@@ -184,6 +189,8 @@ class Block:
         best: dict[int, tuple[int, int, int, int]] = {}
         for k, offset in self.hits(words):
             item = self.words[k]
+            if len(item) < WHOLE_WORDS and len(item) != len(words):
+                continue
             a, b = max(0, -offset), min(len(item), len(words) - offset)
             equal = item[a:b] == words[offset + a:offset + b]
             start, length = best_stretch(equal, self.min_ratio)
@@ -202,16 +209,15 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
     return cut(items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int")), "benchmark")
 
 
-def _broadcast_blocks(benchmark: DataFrame, item_col: str, block_words: int) -> list:
-    """The broadcast items of each block, one bounded block through the driver at a time."""
+def _broadcast_blocks(benchmark: DataFrame, item_col: str, block_words: int) -> Iterator[tuple]:
+    """(the broadcast items, whether there are more) of each block, one bounded block through the driver at a time."""
     dealt = _blocks(benchmark, item_col, "text", block_words)
-    shared = []
-    for number in sorted(r.block for r in dealt.select("block").distinct().collect()):
+    numbers = sorted(r.block for r in dealt.select("block").distinct().collect())
+    for number in numbers:
         rows = dealt.where(F.col("block") == number).select("item_id", "text").collect()
         rows.sort(key=lambda r: (r.item_id is None, r.item_id or 0))
         items = [(r.item_id, _WORDS.findall(r.text.lower())) for r in rows]
-        shared.append(benchmark.sparkSession.sparkContext.broadcast(items))
-    return shared
+        yield benchmark.sparkSession.sparkContext.broadcast(items), len(numbers) > 1
 
 
 def _text(text_col: str) -> Column:
@@ -241,7 +247,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
         return source.mapInArrow(run, schema)
 
-    found = [search(shared) for shared in _broadcast_blocks(benchmark, item_col, block_words)]
+    found = []
+    for shared, several in _broadcast_blocks(benchmark, item_col, block_words):
+        rows = search(shared)
+        if several:
+            rows = cut(rows, "overlaps")
+            shared.unpersist()
+        found.append(rows)
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
@@ -256,18 +268,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       min_words: int = MIN_WORDS, min_ratio: float = MIN_RATIO, masks: tuple[str, ...] = MASKS,
                       block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` without the rows whose text holds an overlap: a filter inside each task, no shuffle."""
-    def sieve(rows: DataFrame, shared) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``docs`` without the rows whose text holds an overlap: a filter inside each task, no shuffle.
+
+    Only the text goes to Python, a flag comes back.
+    """
+    def free_of(shared) -> Column:
+        def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
             block, hashes = Block(shared.value, masks, min_words, min_ratio), Words()
-            for batch in batches:
-                clean = [not block.overlaps(hashes.of(t.as_py() or ""))
-                         for t in batch.column(batch.schema.get_field_index(text_col))]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+            for texts in columns:
+                yield pa.array([not block.overlaps(hashes.of(t.as_py())) for t in texts], pa.bool_())
 
-        return rows.mapInArrow(run, docs.schema)
+        return F.arrow_udf(clean, "boolean", ArrowUDFType.SCALAR_ITER)(_text(text_col))
 
-    return reduce(sieve, _broadcast_blocks(benchmark, item_col, block_words), docs)
+    for shared, several in _broadcast_blocks(benchmark, item_col, block_words):
+        docs = docs.where(free_of(shared))
+        if several:
+            docs = cut(docs, "free-of-block")
+            shared.unpersist()
+    return docs
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

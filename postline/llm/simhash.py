@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postline.llm.common import cut, named, read_table
+from postline.llm.common import cut, free_name, named, read_table
 from postline.llm.components import components
 
 SEED = 42
@@ -58,15 +58,15 @@ def fingerprint(text: bytes, size: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's bits as a signed bigint."""
+    """(doc_id, text_hash, fp): fp is the fingerprint's bits as a signed bigint."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = np.array([fingerprint(t.as_py(), size) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], names=["doc_id", "fp"])
+            marks = np.array([fingerprint(t.as_py(), size) for t in batch.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(marks.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary"))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), text.alias("text")).mapInArrow(
+        run, "doc_id long, text_hash long, fp long")
 
 
 def block_keys(fp: Column, max_bits: int = 3, agree: int = 3) -> Column:
@@ -156,14 +156,19 @@ def links(classes: DataFrame, max_bits: int = 3, block_rows: int = BLOCK_ROWS) -
     return sorted_met.mapInPandas(run, "a long, b long")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
-                       max_bits: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id), a row for each row of ``docs``."""
-    marks = cut(fingerprints(docs, id_col, text_col, size), "simhash")
+def _classes(marks: DataFrame, max_bits: int, block_rows: int) -> DataFrame:
+    """(fp, first, root): every fingerprint of ``marks``, its smallest doc_id and the name of its component."""
     classes = cut(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
     roots = components(links(classes.select("fp"), max_bits, block_rows))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
+                       max_bits: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(doc_id, fp, component_id), a row for each row of ``docs``."""
+    marks = cut(fingerprints(docs, id_col, text_col, size).drop("text_hash"), "simhash")
+    rooted = _classes(marks, max_bits, block_rows)
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = rooted.join(ids, "root").select("fp", "component_id")
     return marks.join(by_fp, "fp").select("doc_id", "fp", "component_id")
@@ -177,23 +182,30 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
-                        max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
+                        max_bits: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id, of those the smallest text hash.
 
-    Of rows that repeat an id, the one with the smallest text hash stays.  Rows
-    with a null id have no identity to decide on and stay.
+    Decided by row, not by id: where unlike texts share an id, every component still
+    keeps one.  Of rows equal in id and text one stays.  Rows with a null id have no
+    identity to decide on and stay.
     """
-    found = simhash_components(docs, id_col, text_col, size, max_bits).where("doc_id is not null")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     columns = [named(c) for c in docs.columns]
-    key = F.col(id_col).cast("long")
-    kept = (docs.withColumn("_simhash_id", key)
-            .join(gone.withColumnRenamed("doc_id", "_simhash_id"), "_simhash_id", "left_anti"))
-    twice = cut(found.groupBy("doc_id").count().where("count > 1").select(
-        F.col("doc_id").alias("_simhash_id")), "simhash-twice")
-    if twice.isEmpty():
+    mine = [free_name(docs, "_simhash_id"), free_name(docs, "_simhash_text")]
+    place = free_name(docs, "_simhash_n")
+    marks = cut(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, size), "simhash")
+    rooted = _classes(marks, max_bits, block_rows).select("fp", "root")
+    row = F.struct("doc_id", "text_hash")
+    found = marks.groupBy("fp", "doc_id", "text_hash").agg(F.count("*").alias("rows")).join(rooted, "fp")
+    found = cut(found.select("root", "doc_id", "text_hash", "rows"), "simhash-rows")
+    best = found.groupBy("root").agg(F.min(row).alias("best"), F.count("*").alias("n")).where("n > 1")
+    gone = found.join(best, "root").where(row != F.col("best"))
+    renamed = lambda rows: rows.select(F.col("doc_id").alias(mine[0]), F.col("text_hash").alias(mine[1]))
+    kept = (docs.withColumn(mine[0], F.col(id_col).cast("long")).withColumn(mine[1], F.xxhash64(text_col))
+            .join(renamed(gone), mine, "left_anti"))
+    equal = found.where("rows > 1")
+    if equal.isEmpty():
         return kept.select(*columns)
-    order = Window.partitionBy("_simhash_id").orderBy(F.xxhash64(text_col), F.to_json(F.struct(*columns)))
-    first = kept.where("_simhash_id is not null").withColumn("_simhash_n", F.row_number().over(order)).where(
-        "_simhash_n = 1")
-    return first.select(*columns).unionByName(kept.where("_simhash_id is null").select(*columns))
+    order = Window.partitionBy(*mine).orderBy(F.to_json(F.struct(*columns)))
+    first = (kept.join(renamed(equal), mine, "left_semi").withColumn(place, F.row_number().over(order))
+             .where(named(place) == 1))
+    return first.select(*columns).unionByName(kept.join(renamed(equal), mine, "left_anti").select(*columns))

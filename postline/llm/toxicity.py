@@ -8,11 +8,14 @@ maxima.  As filters are linear before the maximum, scoring uses a table with eac
 word's share at each filter position.
 
 The model is fitted on a bounded sample of labelled rows (``Fit.per_class`` rows
-of each label by hash order, of texts of at most ``Fit.max_chars`` characters);
-the sample's ids and words are all that reaches the driver.  Three quarters of it
-train, the rest ends the training and calibrates: the score is shifted so that 0.5 separates best over
-all languages, and every language with enough calibration rows gets a threshold
-of its own.  Language, source, id and label are never inputs of a score.
+of each label by hash order, of each at most ``Fit.max_chars`` characters); the
+sample's ids and words are all that reaches the driver.  Three quarters of it train:
+first with the mean of each filter over the text in place of its maximum, so that every
+word's embedding moves, then with the maximum.  The rest ends the training and
+calibrates: the score is shifted so that 0.5 separates best over all languages, and
+every language with calibration rows of both labels gets a threshold of its own, the
+nearer to the common one the fewer they are.  Language, source, id and label are
+never inputs of a score.
 
 Whole texts are scored in blocks of words with an overlap, so memory is bounded
 for a text of any length.  Defined results: a null or empty text scores as a text
@@ -33,11 +36,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from postline.llm.common import named, read_table
 
 HASH_BITS = 24
+WARM_SCALE = 0.3
 BLOCK_WORDS = 1 << 16
 CACHE_WORDS = 250_000
 _WORDS = re.compile(r"[^\W_]+")
@@ -54,14 +59,18 @@ class Fit:
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 6
     size: int = 8
-    steps: int = 400
-    check_steps: int = 20
-    patience: int = 10
-    batch: int = 32
-    rate: float = 0.01
-    dropout: float = 0.3
-    decay: float = 1e-4
-    min_language_rows: int = 20
+    steps: int = 600
+    warm_share: float = 0.3
+    check_steps: int = 25
+    patience: int = 8
+    batch: int = 64
+    rate: float = 0.04
+    dropout: float = 0.0
+    decay: float = 0.0
+    shrink: float = 0.3
+    floor: float = 2e-3
+    false_alarm: float = 3.0
+    language_rows: float = 20.0
     seed: int = 11
 
 
@@ -138,100 +147,118 @@ class Rows(dict):
 
 # --- fitting ------------------------------------------------------------------
 
-def _evidence(docs: list[np.ndarray], labels: np.ndarray, n_words: int) -> np.ndarray:
-    """How far each word's share of toxic documents is from the common share, in fifths of a deviation."""
-    seen = np.zeros(n_words + 1)
-    toxic = np.zeros(n_words + 1)
-    for ids, y in zip(docs, labels):
-        own = np.unique(ids)
-        seen[own] += 1
-        toxic[own] += y
-    share = labels.mean()
-    z = (toxic - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
-    return np.clip(z / 5, -1, 3).astype(np.float32)
+class _Network:
+    """Embeddings, filters and the logistic layer while they are trained."""
+
+    def __init__(self, n_words: int, fit: Fit):
+        rng = np.random.default_rng(fit.seed)
+        self.fit, self.rng = fit, rng
+        self.embed = rng.normal(0, 0.1, (n_words + 1, fit.size)).astype(np.float32)
+        self.embed[0] = 0
+        self.filters = [rng.normal(0, 0.5, (w, fit.size, fit.filters)).astype(np.float32) for w in fit.widths]
+        self.bias = [np.zeros(fit.filters, np.float32) for _ in fit.widths]
+        self.weights = rng.normal(0, 0.3, len(fit.widths) * fit.filters).astype(np.float32)
+        self.offset = np.zeros(1, np.float32)
+        self.params = [self.embed, *self.filters, *self.bias, self.weights, self.offset]
+        self.first = [np.zeros_like(p) for p in self.params]
+        self.second = [np.zeros_like(p) for p in self.params]
+
+    def model(self, words: np.ndarray) -> Model:
+        tables = [np.stack([self.embed @ f[j] for j in range(len(f))], axis=1) for f in self.filters]
+        return Model(words, tables, [b.copy() for b in self.bias], self.weights.copy(), float(self.offset[0]))
+
+    def step(self, docs: list[np.ndarray], labels: np.ndarray, number: int, warm: bool) -> None:
+        """One step of Adam on the mean logistic loss of a batch.
+
+        A word that a maximum chose moves with its filter.  While ``warm``, the mean stands in for the
+        maximum, so that every word of a text moves a little and the maxima have something to choose.
+        """
+        fit = self.fit
+        n_words = np.array([max(len(d), 1) for d in docs])
+        gap = max(fit.widths) - 1  # empty words between texts, so that no filter sees two of them
+        starts = np.concatenate(([0], np.cumsum(n_words + gap)[:-1]))
+        ids = np.zeros(int((n_words + gap).sum()), np.int64)
+        for at, d in zip(starts.tolist(), docs):
+            ids[at:at + len(d)] = np.where(self.rng.random(len(d)) < fit.dropout, 0, d)
+        inside = np.repeat(np.arange(len(docs)), n_words + gap)
+        pooled, chosen = [], []
+        vectors = np.concatenate([self.embed[ids], np.zeros((gap, fit.size), np.float32)])
+        for f, bias in zip(self.filters, self.bias):
+            total = sum(vectors[j:j + len(ids)] @ f[j] for j in range(len(f)))
+            if warm:
+                pooled.append(WARM_SCALE * np.add.reduceat(total, starts, axis=0) / np.sqrt(n_words)[:, None] + bias)
+                continue
+            best = np.maximum.reduceat(total, starts, axis=0)
+            # the first place of each maximum
+            at, column = np.nonzero(total == best[inside])
+            place = np.full(best.shape, -1, np.int64)
+            place[inside[at[::-1]], column[::-1]] = at[::-1]
+            pooled.append(np.maximum(best + bias, 0))
+            chosen.append(place)
+        hidden = np.concatenate(pooled, axis=1)
+        value = hidden @ self.weights + self.offset[0]
+        error = ((1.0 / (1.0 + np.exp(-np.clip(value, -60, 60))) - labels) / len(docs)).astype(np.float32)
+        back = np.where(warm | (hidden > 0), error[:, None] * self.weights, 0).reshape(len(docs), len(self.filters), fit.filters)
+        grads: list[np.ndarray] = [np.zeros(0)]
+        bias_grads, rows, moves = [], [], []
+        padded = np.concatenate([ids, np.zeros(gap, np.int64)])
+        for i, f in enumerate(self.filters):
+            g = back[:, i, :]
+            own = np.zeros_like(f)
+            if warm:
+                share = (WARM_SCALE * g / np.sqrt(n_words)[:, None]).astype(np.float32)
+                spread = share[inside]
+                for j in range(len(f)):
+                    own[j] = vectors[j:j + len(ids)].T @ spread
+                    rows.append(padded[j:j + len(ids)])
+                    moves.append(spread @ f[j].T)
+            else:
+                for j in range(len(f)):
+                    words = padded[chosen[i] + j]                  # documents x filters
+                    own[j] = np.einsum("df,dfs->sf", g, self.embed[words])
+                    rows.append(words.ravel())
+                    moves.append((g[:, :, None] * f[j].T[None]).reshape(-1, fit.size))
+            grads.append(own)
+            bias_grads.append(g.sum(axis=0))
+        grads += [*bias_grads, error @ hidden, np.array([error.sum()], np.float32)]
+        touched, where = np.unique(np.concatenate(rows), return_inverse=True)
+        moves = np.concatenate(moves)
+        moved = np.stack([np.bincount(where, moves[:, c], len(touched)) for c in range(fit.size)], axis=1).astype(np.float32)
+        known = touched > 0  # row 0 stands for all other words and stays zero
+        self._move(0, touched[known], moved[known], number)
+        for k in range(1, len(self.params)):
+            self._move(k, slice(None), grads[k], number)
+
+    def _move(self, k: int, rows, g: np.ndarray, number: int) -> None:
+        p, m, v, fit = self.params[k], self.first[k], self.second[k], self.fit
+        g = g + fit.decay * p[rows]
+        m[rows] = 0.9 * m[rows] + 0.1 * g
+        v[rows] = 0.999 * v[rows] + 0.001 * g * g
+        scale = fit.rate * np.sqrt(1 - 0.999 ** number) / (1 - 0.9 ** number) * min(1.0, 2 - 2 * number / (fit.steps + 1))
+        p[rows] = p[rows] * (1 - scale * fit.shrink) - scale * m[rows] / (np.sqrt(v[rows]) + fit.floor)
 
 
 def _train(docs: list[np.ndarray], labels: np.ndarray, n_words: int, fit: Fit, model: Model,
            check: list[np.ndarray], check_labels: np.ndarray) -> None:
-    """Adam on the logistic loss; each step moves the words and filters that gave the maxima.
-
-    ``model`` gets the parameters with the smallest balanced loss on the check rows.
-    """
-    rng = np.random.default_rng(fit.seed)
-    embed = rng.normal(0, 0.05, (n_words + 1, fit.size)).astype(np.float32)
-    embed[:, 0] = _evidence(docs, labels, n_words)
-    embed[0] = 0
-    filters = [rng.normal(0, 0.3, (w, fit.size, fit.filters)).astype(np.float32) for w in fit.widths]
-    for f in filters:  # the first filter of each width starts as a detector of the strongest word
-        f[:, :, 0] = 0
-        f[0, 0, 0] = 1
-    bias = [np.zeros(fit.filters, np.float32) for _ in fit.widths]
-    weights = rng.normal(0, 0.1, len(fit.widths) * fit.filters).astype(np.float32)
-    weights[::fit.filters] = 1
-    offset = np.full(1, -len(fit.widths), np.float32)
-    params = [embed, *filters, *bias, weights, offset]
-    first = [np.zeros_like(p) for p in params]
-    second = [np.zeros_like(p) for p in params]
+    """Train on batches with as many rows of both labels; ``model`` gets the parameters with the least loss on the check rows."""
+    net = _Network(n_words, fit)
     by_label = [np.flatnonzero(labels == y) for y in (0, 1)]
-    k, lowest, since = len(fit.widths), np.inf, 0
-    for step in range(1, fit.steps + 1):
-        grads = [np.zeros_like(p) if p is not embed else None for p in params]
-        touched: dict[int, np.ndarray] = {}
-        chosen = np.concatenate([rng.choice(rows, fit.batch // 2) for rows in by_label])
-        for d in chosen:
-            ids = np.where(rng.random(len(docs[d])) < fit.dropout, 0, docs[d])
-            parts, where = [], []
-            for w, f, b in zip(fit.widths, filters, bias):
-                padded = np.concatenate((ids, np.zeros(w - 1, ids.dtype))) if len(ids) else np.zeros(w, np.int32)
-                n = len(padded) - w + 1
-                total = sum(embed[padded[j:j + n]] @ f[j] for j in range(w))
-                top = total.argmax(axis=0)
-                parts.append(np.maximum(total[top, np.arange(fit.filters)] + b, 0))
-                where.append((padded, top))
-            pooled = np.concatenate(parts)
-            value = float(pooled @ weights + offset[0])
-            error = (1.0 / (1.0 + np.exp(-np.clip(value, -60, 60))) - labels[d]) / len(chosen)
-            grads[1 + 2 * k] += error * pooled
-            grads[2 + 2 * k] += error
-            back = np.where(pooled > 0, error * weights, 0).reshape(k, fit.filters)
-            for i, (w, (padded, top)) in enumerate(zip(fit.widths, where)):
-                grads[1 + k + i] += back[i]
-                for j in range(w):
-                    rows = padded[top + j]
-                    grads[1 + i][j] += (embed[rows] * back[i][:, None]).T
-                    for row, g in zip(rows.tolist(), filters[i][j].T * back[i][:, None]):
-                        if row:
-                            touched[row] = touched[row] + g if row in touched else g.copy()
-        if step % fit.check_steps == 1:
-            tables = [np.stack([embed @ f[j] for j in range(w)], axis=1) for w, f in zip(fit.widths, filters)]
-            now = Model(model.words, tables, [b.copy() for b in bias], weights.copy(), float(offset[0]))
+    lowest, since = np.inf, 0
+    for number in range(1, fit.steps + 1):
+        rows = np.concatenate([net.rng.choice(own, fit.batch // 2) for own in by_label])
+        net.step([docs[i] for i in rows], labels[rows], number, number <= fit.warm_share * fit.steps)
+        if number > fit.warm_share * fit.steps and (number % fit.check_steps == 0 or number == fit.steps):
+            now = net.model(model.words)
             loss = now.loss(check, check_labels)
             if loss < lowest:
                 lowest, since = loss, 0
                 model.tables, model.bias, model.weights, model.offset = now.tables, now.bias, now.weights, now.offset
             elif (since := since + 1) == fit.patience:
                 return
-        scale = fit.rate * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step) * min(1.0, 2 - 2 * step / (fit.steps + 1))
-        for p, g, m, v in zip(params, grads, first, second):
-            if p is embed:
-                if not touched:
-                    continue
-                rows = np.array(list(touched))
-                g = np.array(list(touched.values())) + fit.decay * p[rows]
-                m[rows] = 0.9 * m[rows] + 0.1 * g
-                v[rows] = 0.999 * v[rows] + 0.001 * g * g
-                p[rows] -= scale * m[rows] / (np.sqrt(v[rows]) + 1e-8)
-            else:
-                g += fit.decay * p
-                m *= 0.9
-                m += 0.1 * g
-                v *= 0.999
-                v += 0.001 * g * g
-                p -= scale * m / (np.sqrt(v) + 1e-8)
 
 
-def _cut_point(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the widest gap among the cuts with the fewest weighted errors."""
+def _cut_point(scores: np.ndarray, labels: np.ndarray, false_alarm: float) -> float:
+    """The middle of the widest gap among the cuts with the least error: the share missed and ``false_alarm`` times the other."""
     order = np.argsort(scores, kind="stable")
     s, y = scores[order], labels[order]
     positive, negative = max(y.sum(), 1), max((1 - y).sum(), 1)
@@ -240,7 +267,7 @@ def _cut_point(scores: np.ndarray, labels: np.ndarray) -> float:
     false = np.concatenate(([(1 - y).sum()], (1 - y).sum() - np.cumsum(1 - y))) / negative
     low = np.concatenate(([s[0] - 1], s))
     high = np.concatenate((s, [s[-1] + 1]))
-    errors = np.where(high > low, missed + false, np.inf)
+    errors = np.where(high > low, missed + false_alarm * false, np.inf)
     best = np.flatnonzero(errors <= errors.min() + 1e-12)
     i = best[np.argmax((high - low)[best])]
     return float((low[i] + high[i]) / 2)
@@ -274,13 +301,14 @@ def fit_model(sample: list[tuple[str | None, int, np.ndarray]], fit: Fit = Fit()
     _train([docs[i] for i in train], labels[train], len(known), fit, model,
            [docs[i] for i in np.flatnonzero(held)], labels[held])
     logit = np.array([float(model.pooled(d) @ model.weights) + model.offset for d in docs])
-    shift = _cut_point(logit[held], labels[held])
+    shift = _cut_point(logit[held], labels[held], fit.false_alarm)
     model.offset -= shift
     languages = [lang for lang, _, _ in sample]
     for lang in sorted({x for x in languages if x is not None}):
         own = held & np.array([x == lang for x in languages])
-        if min((labels[own] == y).sum() for y in (0, 1)) >= fit.min_language_rows:
-            cut = _cut_point(logit[own] - shift, labels[own])
+        rows = min((labels[own] == y).sum() for y in (0, 1))
+        if rows:  # the fewer rows, the nearer to the common threshold
+            cut = _cut_point(logit[own] - shift, labels[own], fit.false_alarm) * rows / (rows + fit.language_rows)
             model.thresholds[lang] = float(1.0 / (1.0 + np.exp(-np.clip(cut, -60, 60))))
     return model
 
@@ -290,18 +318,21 @@ def _held_out(doc_id: Column) -> Column:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> list[tuple[str | None, int, np.ndarray]]:
-    """The fitting sample: at most ``per_class`` rows of each label, none held out."""
+    """The fitting sample: at most ``per_class`` rows of each label, none held out, longer texts only where shorter ones are too few."""
     marked = (labels.where("doc_id is not null and toxic is not null")
               .where(~_held_out(F.col("doc_id")))
               .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label")))
-    texts = docs.select("doc_id", "text", "lang").where(F.length("text") <= fit.max_chars)
+    texts = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null")
+    usable = texts.groupBy("doc_id").agg((F.min(F.length("text")) > fit.max_chars).alias("long"))
+    marked = marked.join(usable, "doc_id")
     wanted = None
     for y in (0, 1):
         # bounded by per_class, so the broadcast of both is too
-        part = marked.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.per_class)
+        part = marked.where(F.col("label") == y).orderBy("long", F.xxhash64("doc_id"), "doc_id").limit(fit.per_class)
         wanted = part if wanted is None else wanted.union(part)
-    rows = (texts.join(F.broadcast(wanted), "doc_id")
-            .groupBy("doc_id", "label").agg(F.min(F.struct("text", "lang")).alias("row"))
+    rows = (texts.join(F.broadcast(wanted.select("doc_id", "label")), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min(F.struct(F.length("text"), F.substring("text", 1, fit.max_chars).alias("text"), "lang"))
+                                            .alias("row"))
             .select("doc_id", "label", "row.text", "row.lang"))
     hashed = [(r.doc_id, r.lang, r.label, word_hashes(r.text)) for r in rows.toLocalIterator()]
     hashed.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()[::-1]), r[0]))
@@ -340,18 +371,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), keep: list[st
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), text_col: str = "text",
                lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows that score at or over their language's threshold: no shuffle."""
+    """``docs`` without the rows that score at or over their language's threshold: no shuffle.
+
+    Only text and language go to Python, a flag comes back.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit_model(sample_of(docs, labels, fit), fit))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def clean(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model, rows = shared.value, Rows(shared.value.words)
-        for batch in batches:
-            texts, langs = (batch.column(batch.schema.get_field_index(c)) for c in (text_col, lang_col))
-            clean = [model.score(rows.of(t.as_py() or "")) < model.thresholds.get(lang, 0.5)
-                     for t, lang in zip(texts, langs.to_pylist())]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        for texts, langs in columns:
+            yield pa.array([model.score(rows.of(t.as_py())) < model.thresholds.get(lang, 0.5)
+                            for t, lang in zip(texts, langs.to_pylist())], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    text = F.coalesce(named(text_col).cast("string"), F.lit(""))
+    return docs.where(F.arrow_udf(clean, "boolean", ArrowUDFType.SCALAR_ITER)(text, named(lang_col).cast("string")))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postline.session import ensure_checkpoint_dir
+from postline.session import delete_path, ensure_checkpoint_dir
 
 _WRITTEN: list[str] = []
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Recent(dict):
@@ -51,21 +52,36 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Ends the lineage there: a lost executor costs a re-read of the table, never
-    a second run of what made it.  The schema is passed on, so an empty table
-    needs no inference.
+    a second run of what made it, so the write's shuffle files go with the write.
+    The schema is passed on, so an empty table needs no inference.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.written_at = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote and nothing will read again."""
+    for table in tables:
+        delete_path(table.sparkSession, table.written_at)
+        _WRITTEN.remove(table.written_at)
 
 
 def release(spark: SparkSession) -> None:
     """Delete the tables that ``cut`` wrote; call it once their readers have ended."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(conf).delete(path, True)
+        delete_path(spark, _WRITTEN.pop())
 
 
 def named(column: str) -> Column:

@@ -1,9 +1,9 @@
 """Line dedup by deletion neighbourhoods (native: DataFrame expressions only).
 
-Lines are compared by their words (split at white space).  A line of at least
-``min_words`` words goes if an earlier one lies within one word edit of it (a word
-replaced, inserted or deleted, or none); shorter lines are left alone, or from
-``exact_words`` words on go where an earlier one is equal.  A line of fewer words
+Lines are compared by their words (split at white space).  A line of any words goes
+if an earlier one has the same words; one of at least ``min_words`` words also goes if
+an earlier one lies within one word edit of it (a word replaced, inserted or deleted).
+``exact_words`` leaves lines of fewer words alone.  A line of fewer words
 that holds a sign of a script without spaces between words (Chinese, Japanese, Thai
 and others) is compared by its characters, each counted as a word.  Earlier means
 the smaller (doc_id, line number).
@@ -21,6 +21,8 @@ the smaller (doc_id, line number).
    rows and never m * m.
 4. Pairs that met are verified on their words, and the later line of each goes with
    all its copies; the earliest stays.
+5. The lines are read again to place what goes, and the texts to cut it out.  Filters of a
+   fixed size keep lines and documents that lose nothing out of both shuffles.
 
 A variant's key is a sum over its words of a hash of (word, place), built from
 running totals, so a line of n words costs about n, not n * n.
@@ -36,9 +38,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postline.llm.common import cut, let, read_table, running_totals
+from postline.llm.common import cut, discard, let, read_table, running_totals
+from postline.operators.bloom import KeyFilter
 
 MIN_WORDS = 8
+EXACT_WORDS = 1
 KEY_MASK = (1 << 40) - 1  # sums of such hashes stay in 63 bits up to 8 million words
 
 
@@ -139,7 +143,9 @@ def near_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
               .groupBy("first.doc_id", "first.text_hash")
               .agg(F.collect_list(F.struct("first.line_no", "h1", "h2")).alias("wanted")))
     # the words of a class come from its earliest place; a repeated row gives them twice
-    lines = (_texts(docs, id_col, text_col).join(places, ["doc_id", "text_hash"])
+    places = cut(places, "line-places")
+    key = [F.col("doc_id"), F.col("text_hash")]
+    lines = (KeyFilter(places, key).may_meet(_texts(docs, id_col, text_col), key).join(places, ["doc_id", "text_hash"])
              .select("doc_id", "text_hash", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
              .select(F.struct("doc_id", F.col("w.line_no").alias("line_no"), "text_hash").alias("first"), "w.h1", "w.h2",
                      F.split(_units(F.get("lines", F.col("w.line_no")), min_words)["line"], " ").alias("words"))
@@ -158,22 +164,26 @@ def near_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     pairs = replaced.union(inserted).distinct()
     late = lines.select(F.col("first").alias("late"), "h1", "h2", F.col("words").alias("late_words"))
     early = lines.select(F.col("first").alias("early"), F.col("words").alias("early_words"))
-    return (pairs.join(late, "late").join(early, "early")
-            .where(_close(F.col("late_words"), F.col("early_words"))).select("h1", "h2").distinct())
+    near = cut(pairs.join(late, "late").join(early, "early")
+               .where(_close(F.col("late_words"), F.col("early_words"))).select("h1", "h2").distinct(), "near-lines")
+    discard(places, lines)
+    return near
 
 
 def lines_to_remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                    exact_words: int = MIN_WORDS) -> DataFrame:
+                    exact_words: int = EXACT_WORDS) -> DataFrame:
     """(doc_id, text_hash, gone): the numbers of the lines that go, in order, per document text."""
     # read twice rather than written: hashes do not compress, and the second pass needs no half keys
     seen = _occurrences(docs, id_col, text_col, min_words, exact_words)
     place = F.struct("doc_id", "line_no", "text_hash")
     classes = cut(seen.groupBy("h1", "h2").agg(
         F.min(place).alias("first"), F.count("*").alias("copies"), F.first("halves").alias("halves")), "line-classes")
-    near = near_lines(docs, classes, id_col, text_col, min_words).withColumn("near", F.lit(True))
-    judged = (classes.select("h1", "h2", "first", "copies").join(near, ["h1", "h2"], "left")
-              .where("near or copies > 1").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")))
-    gone = seen.drop("halves").join(judged, ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
+    near = near_lines(docs, classes.where("halves is not null"), id_col, text_col, min_words)
+    judged = cut(classes.select("h1", "h2", "first", "copies").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
+                 .where("near or copies > 1").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "judged-lines")
+    discard(classes, near)
+    again = KeyFilter(judged, [F.col("h1"), F.col("h2")]).may_meet(seen.drop("halves"), [F.col("h1"), F.col("h2")])
+    gone = again.join(judged, ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
 
 
@@ -185,19 +195,23 @@ def _mask(gone: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                count_col: str | None = None, exact_words: int = MIN_WORDS) -> DataFrame:
+                count_col: str | None = None, exact_words: int = EXACT_WORDS) -> DataFrame:
     """``docs`` with the text less its repeated lines; ``count_col`` names a column for how many went."""
-    gone = lines_to_remove(docs, id_col, text_col, min_words, exact_words).select(
+    gone = cut(lines_to_remove(docs, id_col, text_col, min_words, exact_words).select(
         F.col("doc_id").alias("_dedup_id"), F.col("text_hash").alias("_dedup_hash"), _mask(F.col("gone")).alias("_dedup_mask"),
-        F.size("gone").alias("_dedup_gone"))
-    joined = docs.join(gone, (F.col(id_col).cast("long") == F.col("_dedup_id"))
-                       & (F.xxhash64(text_col) == F.col("_dedup_hash")), "left")
+        F.size("gone").alias("_dedup_gone")), "lines-gone")
+    own = [F.col(id_col).cast("long"), F.xxhash64(text_col)]
+    losing = KeyFilter(gone, [F.col("_dedup_id"), F.col("_dedup_hash")])
+    # documents that lose nothing stay where they are, only the others are shuffled
+    joined = losing.may_meet(docs, own).join(gone, (own[0] == F.col("_dedup_id")) & (own[1] == F.col("_dedup_hash")), "left")
     goes = lambda i: F.coalesce(F.substring(F.col("_dedup_mask"), i + 1, 1) == F.lit(b"1"), F.lit(False))
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda _line, i: ~goes(i)), "\n")
     out = joined.withColumn(text_col, F.when(F.col("_dedup_mask").isNull(), F.col(text_col)).otherwise(kept))
+    whole = losing.meets_none(docs, own)
     if count_col:
         out = out.withColumn(count_col, F.coalesce("_dedup_gone", F.lit(0)))
-    return out.drop("_dedup_id", "_dedup_hash", "_dedup_mask", "_dedup_gone")
+        whole = whole.withColumn(count_col, F.lit(0))
+    return out.drop("_dedup_id", "_dedup_hash", "_dedup_mask", "_dedup_gone").unionByName(whole)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,12 +20,14 @@ def close(a, b):
 
 def brute(rows, least=8):
     lines = sorted((i, k, tuple(split_words(line))) for i, t in rows if i is not None and t is not None
-                   for k, line in enumerate(t.split("\n")) if len(split_words(line)) >= least)
-    gone, seen = defaultdict(set), []
+                   for k, line in enumerate(t.split("\n")) if split_words(line))
+    gone, seen, equal = defaultdict(set), [], set()
     for i, k, words in lines:
-        if any(close(words, w) for w in seen):
+        if words in equal or (len(words) >= least and any(close(words, w) for w in seen)):
             gone[i].add(k)
-        seen.append(words)
+        equal.add(words)
+        if len(words) >= least:
+            seen.append(words)
     return gone
 
 

@@ -67,6 +67,25 @@ def json_props_exploded(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.explode(props).alias("prop_key", "prop_value"))
 
 
+def json_items(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """P15 on raw JSON text: (id, key, item) of the members of an object, dispatched by type at run time.
+
+    A list gives its elements; any other value is a list of itself, so a scalar gives its
+    text and an object its JSON.  JSON nulls, blank keys and blank items give nothing, nor
+    does a cell that is no JSON or no object (an array has no keys).  Keys and items are
+    stripped; an element that is a list or an object itself is its JSON.
+    """
+    members = df.select(F.col(id_col).alias("id"), F.try_parse_json(F.col(json_col)).alias("v"))
+    rows = df.sparkSession.sql(
+        "SELECT id, trim(e.key) AS key, explode(coalesce(try_variant_get(e.value, '$', 'array<variant>'), array(e.value))) AS item "
+        "FROM {members}, LATERAL variant_explode(v) AS e WHERE schema_of_variant(v) LIKE 'OBJECT<%' AND trim(e.key) <> ''",
+        members=members)
+    kind = F.expr("schema_of_variant(item)")
+    text = (F.when(kind == "VOID", None).when(kind.rlike("^(OBJECT|ARRAY)<"), F.to_json("item"))
+            .otherwise(F.expr("try_variant_get(item, '$', 'string')")))
+    return rows.select(F.col("id").alias(id_col), "key", F.trim(text).alias("item")).where("item <> ''")
+
+
 def nested_as_json(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """array/map/struct columns written as JSON text (for text exports)."""
     from pyspark.sql.types import ArrayType, MapType, StructType

@@ -249,6 +249,9 @@ stg AS (
     array_to_string(list_transform(list_sort(list_distinct(list_transform(pairs, lambda p: p.category))), lambda c:
       c || ':' || array_to_string(list_transform(list_filter(pairs, lambda p: p.category = c), lambda p: p.skill), ',')),
       ';') AS type_text,
+    '{{' || array_to_string(list_transform(list_sort(list_distinct(list_transform(pairs, lambda p: p.category))), lambda c:
+      to_json(c)::VARCHAR || ':' || to_json(list_transform(list_filter(pairs, lambda p: p.category = c), lambda p: p.skill))::VARCHAR),
+      ',') || '}}' AS type_json,
     f.ingested_at AS ingested_at, {RUN_TS_SQL} AS processed_at
   FROM merged
 ),

@@ -68,3 +68,17 @@ def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.lit(0).cast("long").alias(c) for c in ledger.COUNTERS[2:]])
     entries = ledger.run_entries(stats, RUN_TS, RUN_TS)
     return ledger.upsert_ledger(prior, entries)
+
+
+def entries_of_runs(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFrame:
+    """Entries of several runs over the documents: each run fails, skips or completes a file by its number."""
+    docs = read_table(spark, sf_dir, "documents").withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(runs))))
+    status = F.element_at(F.array(*map(F.lit, ["failed", "skipped", "completed", "failed"])), ((F.col("doc_id") + F.col("r")) % 4 + 1).cast("int"))
+    started = F.to_timestamp(F.lit(PRIOR_START)) + F.make_dt_interval(days=F.col("r"), secs=F.col("doc_id").cast("decimal(18,6)"))
+    return docs.select(
+        F.md5("text").alias("file_md5"),
+        F.concat(F.lit("documents/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_path"),
+        F.col("source").alias("source_name"), status.alias("status"), F.col("n_chars").alias("total_rows"),
+        *[F.lit(0).cast("long").alias(c) for c in ledger.COUNTERS[1:]],
+        started.alias("started_at"), started.alias("finished_at"),
+        F.concat(F.lit("run"), F.col("r").cast("string")).alias("run_id"), F.col("doc_id").alias("id_before"))

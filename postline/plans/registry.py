@@ -20,7 +20,7 @@ from postline.functions.columns import map_text
 from postline.operators import bridge, dedup, dimensions, nested
 from postline.operators import quality
 from postline.operators.normalise import normalise_postings
-from postline.plans import ingest, doc_ledger, models, star
+from postline.plans import csv_loads, doc_ledger, ingest, models, star
 from postline.sources import ledger
 from postline.sources.driver_tables import postings_source
 from postline.schemas import BOOL_COLUMNS, DECIMAL_COLUMNS, TEXT_COLUMNS
@@ -167,6 +167,25 @@ def json_props_explode_q(spark, sf_dir):
     return nested.json_props_exploded(read_table(spark, sf_dir, "events"))
 
 
+@register("json_items", """
+WITH c AS (SELECT event_id, CASE event_id % 8
+    WHEN 0 THEN props WHEN 1 THEN '{"k":[' || event_id || ',"a b",null," ",[1,2],{"y":true}]}'
+    WHEN 2 THEN '{"k":" txt ' || event_id || '"," ":1,"l":true}' WHEN 3 THEN '{"k":{"x":' || event_id || '},"n":-7}'
+    WHEN 4 THEN '{"k":null,"m":[]}' WHEN 5 THEN '{" k ":' || event_id || '.5}'
+    WHEN 6 THEN '[1,' || event_id || ']' ELSE '{"k": ' END AS cell FROM events),
+e AS (SELECT event_id, trim(j.key) AS key, j.value AS v FROM (SELECT * FROM c WHERE json_valid(cell) AND json_type(cell) = 'OBJECT') c, json_each(c.cell) j),
+i AS (SELECT event_id, key, unnest(CASE WHEN json_type(v) = 'ARRAY' THEN CAST(v AS JSON[]) ELSE [v] END) AS item FROM e WHERE key <> '')
+SELECT event_id, key, trim(item ->> '$') AS item FROM i WHERE trim(item ->> '$') <> ''""")
+def json_items_q(spark, sf_dir):
+    """P15 on raw JSON: event properties with cells of every type."""
+    n = F.col("event_id").cast("string")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    kinds = [F.col("props"), text('{"k":[', n, ',"a b",null," ",[1,2],{"y":true}]}'), text('{"k":" txt ', n, '"," ":1,"l":true}'),
+             text('{"k":{"x":', n, '},"n":-7}'), text('{"k":null,"m":[]}'), text('{" k ":', n, ".5}"), text("[1,", n, "]"), text('{"k": ')]
+    cell = F.element_at(F.array(*kinds), (F.col("event_id") % 8 + 1).cast("int"))
+    return nested.json_items(read_table(spark, sf_dir, "events").select("event_id", cell.alias("cell")), "event_id", "cell")
+
+
 # --- dimensions, entity, bridge: M4–M13 -------------------------------------
 
 def _dim_query(name: str) -> Query:
@@ -221,6 +240,75 @@ def ingest_stats_q(spark, sf_dir):
     return ingest.ingest_stats(typed, by=["batch"])
 
 
+# --- the ingest job over CSV files: S1–S7, S9–S11 -----------------------------
+
+_VALUES = (f"{', '.join(TEXT_COLUMNS + BOOL_COLUMNS + list(DECIMAL_COLUMNS))}, array_to_string(skills_list, '|') AS skills_text, "
+           "array_to_string(list_transform(type_entries, lambda e: e.key || ':' || array_to_string(e.value, ',')), ';') "
+           "AS type_skills_text")
+
+
+@register("ingest_landed", oracle.q(f"SELECT {_VALUES} FROM landing"))
+def ingest_landed_q(spark, sf_dir):
+    return csv_loads.landed_values(spark, sf_dir)
+
+
+@register("ingest_ids", oracle.q("""
+SELECT count(DISTINCT batch) AS files, CAST(count(DISTINCT batch) AS BIGINT) AS dense_files, CAST(count(*) AS BIGINT) AS n_rows,
+  CAST(1 AS BIGINT) AS min_id, count(*) AS max_id, TIMESTAMP '2024-05-01 12:00:00' AS loaded_at FROM landing"""))
+def ingest_ids_q(spark, sf_dir):
+    return csv_loads.landed_ids(spark, sf_dir)
+
+
+@register("ingest_runs", oracle.q("""
+SELECT TIMESTAMP '2024-05-01 12:00:00' AS started_at, 'completed' AS status, count(DISTINCT batch) AS files,
+  count(*) AS total_rows, count(*) AS inserted_rows,
+  count(*) FILTER (job_skills_invalid) + count(*) FILTER (job_type_skills_invalid) AS parse_warnings,
+  count(*) FILTER (job_skills_missing) AS job_skills_missing, count(*) FILTER (job_skills_invalid) AS job_skills_invalid,
+  count(*) FILTER (job_type_skills_missing) AS job_type_skills_missing,
+  count(*) FILTER (job_type_skills_invalid) AS job_type_skills_invalid
+FROM landing
+UNION ALL
+SELECT TIMESTAMP '2024-06-01 12:00:00', 'skipped', count(DISTINCT batch), 0, 0, 0, 0, 0, 0, 0 FROM landing"""))
+def ingest_runs_q(spark, sf_dir):
+    return csv_loads.run_entries(spark, sf_dir)
+
+
+@register("ingest_smoke", oracle.q(f"""
+SELECT {_VALUES}, CAST((SELECT count(*) FROM landing) AS BIGINT) AS whole_rows, CAST(0 AS BIGINT) AS whole_skipped
+FROM (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY id) AS place FROM landing) WHERE place <= {csv_loads.SAMPLE_ROWS}"""))
+def ingest_smoke_q(spark, sf_dir):
+    return csv_loads.sampled_values(spark, sf_dir)
+
+
+@register("ingest_scan", r"""
+SELECT md5(content) AS file_md5, CAST(strlen(content) AS BIGINT) AS size, 'job_title,job_via' AS header, false AS multiline,
+  CAST(NULL AS VARCHAR) AS problem
+FROM (SELECT o_orderkey % 16 AS part, 'job_title,job_via' || chr(10) ||
+    string_agg('"' || o_orderkey || '","' || o_orderpriority || '"' || chr(10), '' ORDER BY o_orderkey) AS content
+  FROM orders GROUP BY 1)""")
+def ingest_scan_q(spark, sf_dir):
+    return csv_loads.scanned(spark, sf_dir)
+
+
+@register("ledger_fold", """
+WITH e AS (SELECT md5(text) AS file_md5, 'documents/' || source || '/' || doc_id || '.txt' AS file_path, source AS source_name,
+  ['failed', 'skipped', 'completed', 'failed'][(doc_id + r) % 4 + 1] AS status, n_chars AS total_rows,
+  TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(r AS INTEGER)) + to_seconds(doc_id) AS finished_at, 'run' || r AS run_id
+  FROM documents CROSS JOIN (SELECT unnest([1, 2, 3]) AS r)),
+t AS (SELECT *, row_number() OVER (PARTITION BY file_md5 ORDER BY finished_at, run_id, file_path) AS early,
+  row_number() OVER (PARTITION BY file_md5 ORDER BY finished_at DESC, run_id DESC, file_path DESC) AS late,
+  row_number() OVER (PARTITION BY file_md5, status ORDER BY finished_at, run_id, file_path) AS within
+  FROM e WHERE status <> 'skipped'),
+k AS (SELECT *, row_number() OVER (PARTITION BY file_md5 ORDER BY status = 'completed' AND within = 1 DESC, late) AS pick FROM t
+  WHERE (status = 'completed' AND within = 1) OR late = 1)
+SELECT k.file_md5, f.file_path, f.source_name, k.status, k.total_rows, k.finished_at, k.run_id
+FROM k JOIN t f ON f.file_md5 = k.file_md5 AND f.early = 1 WHERE k.pick = 1""")
+def ledger_fold_q(spark, sf_dir):
+    """S7 as the ingest does it: the ledger from the entries of three runs over the documents."""
+    return ledger.fold_entries(doc_ledger.entries_of_runs(spark, sf_dir)).select(
+        "file_md5", "file_path", "source_name", "status", "total_rows", "finished_at", "run_id")
+
+
 # --- quality: Q1–Q8 ----------------------------------------------------------
 
 def _tables(spark, sf_dir):
@@ -373,10 +461,11 @@ def fact_job_posting_daily_q(spark, sf_dir):
 
 
 @register("nested_as_json", oracle.q("""
-SELECT raw_job_id, to_json(skills_arr)::VARCHAR AS skills_json FROM stg"""))
+SELECT raw_job_id, to_json(skills_arr)::VARCHAR AS skills_json, type_json AS type_skills_json FROM stg"""))
 def nested_as_json_q(spark, sf_dir):
-    """The staged skills as JSON text."""
-    return nested.nested_as_json(_staging(spark, sf_dir)).select("raw_job_id", F.col("job_skills_array").alias("skills_json"))
+    """The staged skills and the skills by category as JSON text."""
+    return nested.nested_as_json(_staging(spark, sf_dir)).select(
+        "raw_job_id", F.col("job_skills_array").alias("skills_json"), F.col("job_type_skills").alias("type_skills_json"))
 
 
 @register("dim_date", oracle.q(oracle.STAR_DIM_DATE))

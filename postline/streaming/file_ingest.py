@@ -5,9 +5,10 @@ Structured Streaming query watches a folder with the ``binaryFile`` source
 (only the path column is selected, so file contents are not read by the
 stream itself) and, for every micro-batch, hands the new paths to the batch
 ingest job.  Exactly-once holds because the ingest job is idempotent: a
-file whose fingerprint is completed in the ledger is skipped, and a reload
-overwrites only that file's landing partition, so a retried micro-batch
-changes nothing.
+file whose fingerprint is completed in the ledger is skipped, and what a run
+that ended early has written is visible to no reader, so a retried micro-batch
+changes nothing.  A micro-batch takes at most ``files_per_batch`` files, so the paths
+that go through the driver are bounded, the first time too.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 
 def start_file_ingest(spark: SparkSession, folder: str, paths: Paths, checkpoint: str,
                       source_name: str = "stream", glob: str = "*.csv",
-                      available_now: bool = False) -> StreamingQuery:
+                      available_now: bool = False, files_per_batch: int = 1000) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(folder).select("path"))
+             .option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").load(folder).select("path"))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         # one row per new file in this micro-batch (bounded by files, not data)

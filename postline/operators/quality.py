@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postline.operators.bloom import BITS, KeyFilter
+
 
 # --- single assertions ------------------------------------------------------
 
@@ -52,6 +54,24 @@ def relationships(child: DataFrame, col: str, parent: DataFrame, field_name: str
     return keys.join(parents, col, "left_anti")
 
 
+def relationships_filtered(child: DataFrame, col: str, parent: DataFrame, field_name: str,
+                           where: str | Column | None = None, bits: int = BITS) -> DataFrame:
+    """``relationships`` for parents and children too large to shuffle whole, with filters of a fixed size.
+
+    A child key outside the filter of the parents is an orphan at once.  The others meet
+    only those parents that lie in the filter of these keys, in an exact anti join.
+    """
+    c = child.where(F.col(col).isNotNull())
+    if where is not None:
+        c = c.where(where)
+    keys = c.groupBy(col).agg(F.count(F.lit(1)).alias("n_records"))
+    parents = parent.select(F.col(field_name).alias(col))
+    known, asked = KeyFilter(parents, [F.col(col)], bits), [F.col(col)]
+    open_keys = known.may_meet(keys, asked)
+    met = KeyFilter(open_keys, asked, bits).may_meet(parents, asked)
+    return known.meets_none(keys, asked).unionByName(open_keys.join(met, col, "left_anti"))
+
+
 def composite_key_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Key combinations seen more than once; NULLs compare equal."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("duplicate_count")).where("duplicate_count > 1")

@@ -417,6 +417,40 @@ FROM (
       first(r ORDER BY ingested_at, raw_job_id) AS f
     FROM keyed AS r WHERE trim(coalesce(company_name, '')) <> '' GROUP BY ALL))"""
 
+_RECORD = ("company_id, country_id, platform_id, schedule_type_id, rate_type_id, title_cat_id, date_key, job_flags_key, "
+           "salary_year_avg, salary_hour_avg")
+
+STAR_VALIDITY = f"""
+SELECT job_id, span_no, {_RECORD}, valid_from,
+  CAST(lead(valid_from) OVER (PARTITION BY job_id ORDER BY span_no) - INTERVAL 1 DAY AS DATE) AS valid_to, days_seen, records_seen
+FROM (
+  SELECT job_id, span_no, {_RECORD}, min(ingestion_date) AS valid_from, count(*) AS days_seen,
+    CAST(sum(records_seen) AS BIGINT) AS records_seen
+  FROM (SELECT *, CAST(sum(CASE WHEN place = 1 OR NOT (row({_RECORD}) IS NOT DISTINCT FROM before) THEN 1 ELSE 0 END)
+      OVER (PARTITION BY job_id ORDER BY ingestion_date ROWS UNBOUNDED PRECEDING) AS BIGINT) AS span_no
+    FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ingestion_date) AS place,
+        lag(row({_RECORD})) OVER (PARTITION BY job_id ORDER BY ingestion_date) AS before
+      FROM ({STAR_FACT_DAILY})))
+  GROUP BY ALL)"""
+
+_CENTS = "CAST(salary_year_avg * 100 AS BIGINT)"
+_MEAN = f"((2 * sum({_CENTS}) + count(salary_year_avg)) // (2 * count(salary_year_avg))) / 100.0"
+
+STAR_CUBE = f"""
+SELECT CAST(grouping(month) * 8 + grouping(company_id) * 4 + grouping(country_id) * 2 + grouping(platform_id) AS BIGINT) AS grouping,
+  month, company_id, country_id, platform_id, count(*) AS job_count, count(salary_year_avg) AS jobs_with_year_salary,
+  CASE WHEN count(salary_year_avg) > 0 THEN {_MEAN} END AS avg_salary_year
+FROM (SELECT *, date_trunc('month', {_POSTED}) AS month FROM job_posting)
+GROUP BY GROUPING SETS ((month, company_id), (month, country_id), (month, platform_id), (country_id, platform_id), (month), (company_id), ())"""
+
+STAR_MOVING = f"""
+SELECT company_id, posting_date, jobs, CAST(sum(jobs) OVER w AS BIGINT) AS jobs_moving, CAST(sum(paid) OVER w AS BIGINT) AS paid_moving,
+  CASE WHEN sum(paid) OVER w > 0 THEN ((2 * sum(cents) OVER w + sum(paid) OVER w) // (2 * sum(paid) OVER w)) / 100.0 END AS avg_salary_moving
+FROM (SELECT company_id, CAST({_POSTED} AS DATE) AS posting_date, count(*) AS jobs, count(salary_year_avg) AS paid,
+    coalesce(sum({_CENTS}), 0) AS cents
+  FROM job_posting WHERE {_POSTED} IS NOT NULL GROUP BY 1, 2)
+WINDOW w AS (PARTITION BY company_id ORDER BY posting_date RANGE BETWEEN INTERVAL 27 DAYS PRECEDING AND CURRENT ROW)"""
+
 STAR_DIM_DATE = f"""
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS date,
   CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,

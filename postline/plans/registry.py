@@ -20,7 +20,8 @@ from postline.functions.columns import map_text
 from postline.operators import bridge, dedup, dimensions, nested
 from postline.operators import quality
 from postline.operators.normalise import normalise_postings
-from postline.plans import csv_loads, doc_ledger, ingest, models, star
+from postline.plans import csv_loads, doc_ledger, incremental, ingest, models, star
+from postline.session import Scratch, cut_lineage
 from postline.sources import ledger
 from postline.sources.driver_tables import postings_source
 from postline.schemas import BOOL_COLUMNS, DECIMAL_COLUMNS, TEXT_COLUMNS
@@ -223,6 +224,34 @@ def job_skill_joined_q(spark, sf_dir):
                                    m["skill_category"], m["job_posting"], models.RUN_TS)
 
 
+# --- incremental builds: S12, M1 ---------------------------------------------
+
+def _two_builds(spark, sf_dir, name: str) -> DataFrame:
+    """A model of the version that a second build makes, from the loads of the first day and then those of the others."""
+    raw = _raw(spark, sf_dir)
+    first = F.col("ingested_at") < F.lit(datetime(2024, 1, 2))
+    with Scratch(spark) as scratch:
+        for part in (~first, first):  # the later loads first, so earlier records arrive late
+            incremental.apply_rows(spark, f"{scratch.root}/models", raw.where(part), models.RUN_TS)
+        model = incremental.read_models(spark, f"{scratch.root}/models", [name])[name]
+        return cut_lineage(_stg_out(model) if name == "stg_raw_jobs" else model)
+
+
+@register("incremental_stg_raw_jobs", oracle.q(f"SELECT {_STG_COLS} FROM stg"))
+def incremental_stg_raw_jobs_q(spark, sf_dir):
+    return _two_builds(spark, sf_dir, "stg_raw_jobs")
+
+
+@register("incremental_job_skill", oracle.q("SELECT * FROM job_skill"))
+def incremental_job_skill_q(spark, sf_dir):
+    return _two_builds(spark, sf_dir, "job_skill")
+
+
+@register("incremental_company", oracle.q("SELECT * FROM company"))
+def incremental_company_q(spark, sf_dir):
+    return _two_builds(spark, sf_dir, "company")
+
+
 # --- ingest statistics: S9, S10 (each load batch is one source file) --------
 
 @register("ingest_stats", oracle.q("""
@@ -355,6 +384,17 @@ def q_orphans_customers(spark, sf_dir):
     return quality.relationships(read_table(spark, sf_dir, "customer"), "c_custkey", orders, "o_custkey")
 
 
+@register("q_orphans_filtered", """
+SELECT c_custkey, count(*) AS n_records FROM customer c
+WHERE c_custkey IS NOT NULL AND NOT EXISTS
+  (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P')
+GROUP BY c_custkey""")
+def q_orphans_filtered(spark, sf_dir):
+    """The same with filters of a fixed size in front of the anti join."""
+    orders = read_table(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
+    return quality.relationships_filtered(read_table(spark, sf_dir, "customer"), "c_custkey", orders, "o_custkey")
+
+
 @register("q_composite_key", oracle.q("""
 SELECT job_id, skill_id, count(*) AS duplicate_count FROM job_skill
 GROUP BY job_id, skill_id HAVING count(*) > 1"""))
@@ -551,4 +591,19 @@ def remote_vs_onsite_q(spark, sf_dir):
     return star.remote_vs_onsite(_postings(spark, sf_dir)["job_posting"])
 
 
+@register("posting_cube", oracle.q(oracle.STAR_CUBE))
+def posting_cube_q(spark, sf_dir):
+    return star.posting_cube(_postings(spark, sf_dir)["job_posting"])
+
+
+@register("validity_intervals", oracle.q(oracle.STAR_VALIDITY))
+def validity_intervals_q(spark, sf_dir):
+    return star.validity_intervals(star.fact_job_posting_daily(dedup.with_business_key(_raw(spark, sf_dir))))
+
+
+@register("moving_volume", oracle.q(oracle.STAR_MOVING))
+def moving_volume_q(spark, sf_dir):
+    return star.moving_volume(_postings(spark, sf_dir)["job_posting"])
+
+
 __all__ = ["REGISTRY", "register"]

@@ -212,3 +212,61 @@ def remote_vs_onsite(posting: DataFrame) -> DataFrame:
         F.count("salary_hour_avg").alias("jobs_with_hour_salary"),
         *_money_avg("salary_hour_avg", "avg_salary_hour"),
     )
+
+
+#: The groupings of the cube, in one expand: months by dimension, the dimensions alone, country by platform, all.
+CUBE_SETS = [("month", "company_id"), ("month", "country_id"), ("month", "platform_id"), ("country_id", "platform_id"),
+             ("month",), ("company_id",), ()]
+
+
+def posting_cube(posting: DataFrame) -> DataFrame:
+    """R8–R11 in one pass: volume and pay for every grouping of ``CUBE_SETS``.
+
+    ``grouping`` has a bit for each of (month, company, country, platform) that the row is a
+    total over, the month the highest, so a total and a key that is null are told apart.
+    """
+    keys = ["month", "company_id", "country_id", "platform_id"]
+    rows = posting.withColumn("month", F.date_trunc("month", posted_ts()))
+    grouped = rows.groupingSets([[F.col(c) for c in s] for s in CUBE_SETS], *keys)
+    return grouped.agg(F.grouping_id().cast("long").alias("grouping"), F.count(F.lit(1)).alias("job_count"),
+                       *_money_avg("salary_year_avg", "avg_salary_year"),
+                       F.count("salary_year_avg").alias("jobs_with_year_salary")).select(
+        "grouping", *keys, "job_count", "jobs_with_year_salary", "avg_salary_year")
+
+
+def validity_intervals(daily: DataFrame) -> DataFrame:
+    """R2 as intervals: from and to of each unchanged record of a posting.
+
+    ``daily`` has a row per posting and ingestion date.  Dates that follow each other with
+    the same record are one interval; it ends the day before the next record of the posting
+    begins, the last one is open (null).  A window over one posting's dates: at most a row per day.
+    """
+    record = [c for c in daily.columns if c not in ("job_id", "ingestion_date", "ingestion_date_key", "records_seen")]
+    by_day = Window.partitionBy("job_id").orderBy("ingestion_date")
+    packed = F.struct(*record)
+    begins = F.row_number().over(by_day) == 1
+    changed = ~packed.eqNullSafe(F.lag(packed).over(by_day))
+    numbered = daily.withColumn("_new", (begins | changed).cast("int")).withColumn(
+        "span_no", F.sum("_new").over(by_day.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = numbered.groupBy("job_id", "span_no", *record).agg(
+        F.min("ingestion_date").alias("valid_from"), F.count(F.lit(1)).alias("days_seen"),
+        F.sum("records_seen").alias("records_seen"))
+    following = Window.partitionBy("job_id").orderBy("span_no")
+    return spans.withColumn("valid_to", F.date_sub(F.lead("valid_from").over(following), 1)).select(
+        "job_id", "span_no", *record, "valid_from", "valid_to", "days_seen", "records_seen")
+
+
+def moving_volume(posting: DataFrame, days: int = 28) -> DataFrame:
+    """R8 moving: postings and their mean yearly pay over the last ``days`` days, per company and posting date.
+
+    Days are aggregated first, so the range frame runs over a row per day, also for a company that
+    holds a third of all postings.  Amounts are cents, so sums are exact.
+    """
+    cents = F.sum((F.col("salary_year_avg") * 100).cast("long"))
+    per_day = (posting.select("company_id", F.to_date(posted_ts()).alias("posting_date"), "salary_year_avg")
+               .where("posting_date is not null").groupBy("company_id", "posting_date")
+               .agg(F.count(F.lit(1)).alias("jobs"), F.count("salary_year_avg").alias("paid"), F.coalesce(cents, F.lit(0)).alias("cents")))
+    frame = (Window.partitionBy("company_id").orderBy(F.unix_date("posting_date")).rangeBetween(1 - days, 0))
+    moved = per_day.select("company_id", "posting_date", "jobs", *[F.sum(c).over(frame).alias(f"{c}_moving") for c in ("jobs", "paid", "cents")])
+    mean = F.when(F.col("paid_moving") > 0, F.expr("(2 * cents_moving + paid_moving) div (2 * paid_moving)") / 100.0)
+    return moved.select("company_id", "posting_date", "jobs", "jobs_moving", "paid_moving", mean.alias("avg_salary_moving"))

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postline.llm.common import cut, read_table
+from postline.llm.common import bounded_batches, cut, read_table
 
 MIN_COUNT = 100
 LONGEST = 5
@@ -351,9 +351,9 @@ def _windows(ids: np.ndarray, fresh: int, packings: list[Packing], blooms: list[
     return packings[-1].pack([ids[good + k] for k in range(n)])
 
 
-def count_phrases(encoded: DataFrame, packings: list[Packing], blooms: list, shards: int, min_count: int) -> DataFrame:
+def count_phrases(encoded: DataFrame, packings: list[Packing], blooms: list, tasks: int, min_count: int) -> DataFrame:
     """(ids, a): the phrases of ``packings[-1].n`` words with at least ``min_count`` occurrences."""
-    packing = packings[-1]
+    packing, shards = packings[-1], 8 * tasks  # several small shards a task even out how they are dealt
     schema = "shard int, base long, runs binary, data binary, counts binary"
     kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
     names = ["shard", "base", "runs", "data", "counts"]
@@ -395,7 +395,7 @@ def count_phrases(encoded: DataFrame, packings: list[Packing], blooms: list, sha
                 [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(found.counts[often])], names=["ids", "a"])
 
     parts = encoded.select("ids", "fresh").mapInArrow(count, schema)
-    return cut(parts.repartition(shards, "shard").mapInArrow(merge, "ids array<int>, a long"), "phrases")
+    return cut(parts.repartition(tasks, "shard").mapInArrow(merge, "ids array<int>, a long"), "phrases")
 
 
 def bloom_of(phrases: DataFrame, packing: Packing) -> np.ndarray:
@@ -434,6 +434,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
     if not 1 <= longest <= LONGEST:
         raise ValueError(f"phrases have 1 to {LONGEST} words")
     spark, sources = docs.sparkSession, _sources(docs, text_col, lang_col)
+    bounded_batches(spark)
     counted = cut(count_words(sources).where(F.col("word").isNull() | (F.col("f") >= min_count)), "word-counts")
     totals = counted.where("word is null").select("lang", F.col("f").alias("n"))
     words = cut(number_words(counted.where("word is not null")), "word-ids")
@@ -441,12 +442,12 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
     most = words.agg(F.max("id")).first()[0]
     if most is not None:
         bits = max(int(most).bit_length(), 1)
-        shards = max(1, -(-(totals.agg(F.sum("n")).first()[0] or 0) // shard_words))
+        tasks = max(1, -(-(totals.agg(F.sum("n")).first()[0] or 0) // shard_words))
         encoded = encode_texts(sources, words, broadcast_words)
         packings, blooms = [], []
         for n in range(2, longest + 1):
-            packings.append(Packing(n, bits, min(31, 12 + shards.bit_length())))
-            phrases = count_phrases(encoded, packings, blooms, shards, min_count)
+            packings.append(Packing(n, bits, min(31, 16 + tasks.bit_length())))
+            phrases = count_phrases(encoded, packings, blooms, tasks, min_count)
             if phrases.isEmpty():
                 break
             found.append(_worded(phrases, words))
@@ -495,7 +496,11 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, co
               .withColumn("score", cut_score(F.col("a"), F.col("n"), F.col("l"), F.col("r"))))
     lowest = scored.groupBy("lang", "words", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("best")).select(
         "lang", F.array_join("words", " ").alias("phrase"), "a", "best.l", "best.r", "n", "best.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # the first of each of 32 parts of a language, then the first of those: no task sorts a whole language
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(32))).orderBy(*best)
+    lowest = lowest.withColumn("place", F.row_number().over(parts)).where(F.col("place") <= top).drop("place")
+    order = Window.partitionBy("lang").orderBy(*best)
     return (lowest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
 

@@ -37,6 +37,11 @@ class Recent(dict):
         return value
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of some megabytes, however long they are (one longer text is a batch of its own)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

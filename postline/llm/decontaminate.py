@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
-from postline.llm.common import cut, read_table
+from postline.llm.common import bounded_batches, cut, read_table
 
 # Ones are the positions a mask looks at.
 MASKS = ("1111011", "110010111", "11000100111")
@@ -229,6 +229,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
              masks: tuple[str, ...] = MASKS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, words, equal_words, doc_word, item_word): the best overlap of each row and item."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text(text_col).alias("text"))
     schema = "doc_id long, item_id long, words int, equal_words int, doc_word int, item_word int"
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
@@ -272,6 +273,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
     Only the text goes to Python, a flag comes back.
     """
+    bounded_batches(docs.sparkSession)
+
     def free_of(shared) -> Column:
         def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
             block, hashes = Block(shared.value, masks, min_words, min_ratio), Words()

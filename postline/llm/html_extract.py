@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postline.llm.common import Recent, cut, named, read_table
+from postline.llm.common import Recent, bounded_batches, cut, named, read_table
 
 GROUP = 64
 MAX_LEVEL = 32    # a longer level becomes one repeated group of its kinds of items
@@ -558,6 +558,7 @@ def plans(pages: DataFrame, group: int = GROUP, broadcast_bytes: int = BROADCAST
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), url_col: str = "url", html_col: str = "html",
             group: int = GROUP, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The ``keep`` columns with ``text`` (the main text) and ``n_chars``, a row for each row of ``pages``."""
+    bounded_batches(pages.sparkSession)
     source = _pages(pages, list(keep), url_col, html_col)
     planned = _with(source, plans(source, group, broadcast_bytes), "plan", broadcast_bytes)
     columns = list(keep)

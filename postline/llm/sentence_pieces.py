@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postline.llm.common import Recent, read_table
+from postline.llm.common import Recent, bounded_batches, read_table
 
 SPACE = "▁"
 NEVER = 1 << 60
@@ -309,6 +309,7 @@ def _coder(shared) -> PieceCoder:
 
 
 def _share(spark: SparkSession, model_path: str, cache_parts: int = CACHE_PARTS):
+    bounded_batches(spark)
     model = read_model(model_path)
     model["cache"] = cache_parts
     model["key"] = hashlib.sha256(repr(sorted(model["rank"].items())).encode() + repr(model["pieces"]).encode()).hexdigest()

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postline.llm.common import cut, free_name, named, read_table
+from postline.llm.common import bounded_batches, cut, free_name, named, read_table
 from postline.llm.components import components
 
 SEED = 42
@@ -64,6 +64,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             marks = np.array([fingerprint(t.as_py(), size) for t in batch.column(2)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(marks.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary"))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), text.alias("text")).mapInArrow(
         run, "doc_id long, text_hash long, fp long")

@@ -45,13 +45,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postline.llm.common import Recent, cut, read_table, scratch_path
+from postline.llm.common import Recent, bounded_batches, cut, read_table, scratch_path
 
 MAGIC = b"TOKCODE1"
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 21
-CACHE_PARTS = 300_000
-CACHE_WORDS = 200_000
+CACHE_PARTS = 600_000
+CACHE_WORDS = 300_000
 END_ID = 0
 
 # The white space of the tokenizer's split pattern.
@@ -251,6 +251,7 @@ def write_codes(docs: DataFrame, model_path: str, folder: str, id_col: str = "do
     Files follow each other by (part, seq).
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     with open(model_path, encoding="utf-8") as f:
         model = f.read()
     shared, key = spark.sparkContext.broadcast(model), zlib.crc32(model.encode())

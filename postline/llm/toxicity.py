@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from postline.llm.common import named, read_table
+from postline.llm.common import bounded_batches, named, read_table
 
 HASH_BITS = 24
 WARM_SCALE = 0.3
@@ -344,6 +344,7 @@ def sample_of(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> list[tupl
 def score_docs(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang",
                keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (default: all) with score, threshold and toxic (score at or over it)."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's words
     keep = docs.columns if keep is None else keep
     kept = docs.select(*map(named, keep))
@@ -375,6 +376,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), text_col: s
 
     Only text and language go to Python, a flag comes back.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit_model(sample_of(docs, labels, fit), fit))
 
     def clean(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:

@@ -45,7 +45,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the text they decode to."""
     import public_tokenizers
 
-    return round_trip_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    # a smaller cache than on its own: the executors still hold what the stages before needed
+    return round_trip_digests(docs, public_tokenizers.path("piece_bpe_32k.model"), cache_parts=100_000)
 
 
 STAGES = [

@@ -247,11 +247,6 @@ def incremental_job_skill_q(spark, sf_dir):
     return _two_builds(spark, sf_dir, "job_skill")
 
 
-@register("incremental_company", oracle.q("SELECT * FROM company"))
-def incremental_company_q(spark, sf_dir):
-    return _two_builds(spark, sf_dir, "company")
-
-
 # --- ingest statistics: S9, S10 (each load batch is one source file) --------
 
 @register("ingest_stats", oracle.q("""

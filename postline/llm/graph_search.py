@@ -148,6 +148,11 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
     return graph, start
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, its largest component between 1/2 and 1: the same cosines, and squares in range."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
@@ -175,7 +180,7 @@ def build_index(rows: DataFrame, k: int, shard_nodes: int = SHARD_NODES) -> tupl
 
     def build(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.iloc[np.argsort([i[0] for i in frame["ids"]])]  # the same order whatever arrived first
-        vectors = np.array(frame["vec"].tolist(), dtype=np.float64)
+        vectors = _scaled(np.array(frame["vec"].tolist(), dtype=np.float64))
         graph, start = build_graph(_unit(vectors))
         sizes = [len(i) for i in frame["ids"]]
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "start": [start], "vectors": [vectors.tobytes()],
@@ -191,7 +196,7 @@ def build_index(rows: DataFrame, k: int, shard_nodes: int = SHARD_NODES) -> tupl
 def _search(vectors: np.ndarray, graph: np.ndarray, start: int, ids: np.ndarray, sizes: np.ndarray,
             query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> pd.DataFrame:
     """The ``k`` best rows of a shard for each query, own rows left out."""
-    points, ends = _unit(vectors), np.cumsum(sizes)
+    points, ends, queries = _unit(vectors), np.cumsum(sizes), _scaled(queries)
     norms = np.linalg.norm(vectors, axis=1)
     out: list[tuple[int, int, float]] = []
     for at in range(0, len(queries), BATCH):

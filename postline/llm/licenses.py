@@ -117,6 +117,9 @@ def _known() -> list[tuple[str, str]]:
 KNOWN = _known()
 
 
+SALTS = 16
+
+
 def canonical_line(line: Column) -> Column:
     plain = F.trim(F.regexp_replace(F.translate(line, UPPER, LOWER), OTHER, " "))
     padded = F.concat(F.lit(" "), plain, F.lit(" "))
@@ -161,8 +164,11 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     named = found.groupBy("text_digest", "lines_hash").agg(
         F.array_join(F.array_sort(F.collect_set("license")), ",").alias("line_licenses"),
         F.collect_set("digest").alias("digests"))
-    out = (rows.withColumn("lines_hash", F.hash("lines"))
-           .join(texts, "text_digest", "left").join(named, ["text_digest", "lines_hash"], "left"))
+    # copies of one text are dealt over several keys; only texts with a known digest or line are repeated for that
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt")
+    out = (rows.withColumn("lines_hash", F.hash("lines")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+           .join(texts.select("*", salts), ["text_digest", "salt"], "left")
+           .join(named.select("*", salts), ["text_digest", "lines_hash", "salt"], "left"))
     hits = F.size(F.filter("lines", lambda x: F.array_contains(F.col("digests"), x)))
     return out.select(
         "doc_id", "text_digest", F.when(~F.col("bare"), F.col("text_license")).alias("text_license"),

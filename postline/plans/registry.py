@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from postline import oracle
 from postline.functions.columns import map_text
-from postline.operators import bridge, dedup, dimensions, nested
+from postline.operators import asof, bridge, dedup, dimensions, nested
 from postline.operators import quality
 from postline.operators.normalise import normalise_postings
 from postline.plans import csv_loads, doc_ledger, incremental, ingest, models, profile, star
@@ -496,6 +496,19 @@ def ledger_invalid_status_q(spark, sf_dir):
     return ledger.invalid_status(dirty)
 
 
+@register("events_open_run", oracle.LEDGER_CTES + """
+, r AS (SELECT file_path, started_at, finished_at FROM prior)
+SELECT event_id, file_path AS open_run FROM (
+  SELECT e.event_id, r.file_path,
+    row_number() OVER (PARTITION BY e.event_id ORDER BY r.started_at DESC NULLS LAST, r.file_path DESC) AS place
+  FROM events e LEFT JOIN r ON r.started_at <= e.ts AND (r.finished_at IS NULL OR e.ts < r.finished_at)) WHERE place = 1""")
+def events_open_run_q(spark, sf_dir):
+    """Every event with the load that ran when it happened; a failed load has no end."""
+    return asof.with_open_interval(
+        read_table(spark, sf_dir, "events").select("event_id", "ts"), "ts", doc_ledger.prior_ledger(spark, sf_dir),
+        "started_at", "finished_at", "file_path", "open_run").select("event_id", "open_run")
+
+
 # --- star: R1–R11 ------------------------------------------------------------
 
 @register("fact_job_posting", oracle.q(oracle.STAR_FACT))

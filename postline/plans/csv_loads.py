@@ -8,31 +8,67 @@ a query returns is checkpointed, so the folder goes with the query.
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postline.functions.columns import map_text
 from postline.plans.ingest import (
-    Paths, committed_landing, ingest_files, read_entries, sampled_landing,
+    Paths, _exists, committed_landing, ingest_files, read_entries, sampled_landing,
 )
 from postline.schemas import BOOL_COLUMNS, DECIMAL_COLUMNS, SOURCE_COLUMNS, TEXT_COLUMNS
-from postline.session import Scratch, cut_lineage
+from postline.session import Scratch, cut_lineage, delete_path
 from postline.sources import files
 from postline.sources.driver_tables import postings_source, read_table
 
 FIRST_RUN, SECOND_RUN = datetime(2024, 5, 1, 12), datetime(2024, 6, 1, 12)
 SAMPLE_ROWS = 50
+RANGE_ORDERS = 250_000  # orders in a sorted range of the files
 
 
 def write_posting_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """One header CSV per batch of the posting cells, rows in source order."""
-    cells = postings_source(spark, sf_dir).repartition("batch").sortWithinPartitions("batch", "source_row")
-    (cells.select("batch", *SOURCE_COLUMNS).write.partitionBy("batch")
-     .option("header", "true").option("quoteAll", "true").option("escape", '"').csv(folder))
+    """One header CSV per batch of the posting cells, rows in source order.
+
+    A batch is sorted and written in ranges of source rows, each of a bounded number of orders and
+    in whatever task; a task per file then puts the ranges one after the other, a block at a time.
+    """
+    keys = read_table(spark, sf_dir, "orders").select((F.col("o_orderkey") * 2).alias("row"))
+    ranges = keys.count() // RANGE_ORDERS + 1
+    bounds = []
+    if ranges > 1:
+        shares = [i / ranges for i in range(1, ranges)]
+        bounds = sorted(set(keys.agg(F.percentile_approx("row", shares, 100 * ranges)).first()[0] or []))
+    cells = (postings_source(spark, sf_dir).withColumn("range", F.expr(_place_sql("source_row", bounds, 0, len(bounds))))
+             .repartition("batch", "range").sortWithinPartitions("batch", "range", "source_row"))
+    parts = f"{folder}-ranges"
+    (cells.select("batch", "range", *SOURCE_COLUMNS).write.partitionBy("batch", "range")
+     .option("header", "false").option("quoteAll", "true").option("escape", '"').option("compression", "gzip").csv(parts))
+    head = ",".join(f'"{c}"' for c in SOURCE_COLUMNS) + "\n"
+    files.join_files(spark, _by_batch(spark, parts, folder), head.encode(), "gzip")
+    delete_path(spark, parts)
     return folder
 
 
+def _place_sql(x: str, bounds: list[int], low: int, high: int) -> str:
+    """How many of the sorted bounds ``x`` has reached, by halving."""
+    if low == high:
+        return str(low)
+    mid = (low + high) // 2
+    return (f"CASE WHEN {x} < {bounds[mid]} THEN {_place_sql(x, bounds, low, mid)} "
+            f"ELSE {_place_sql(x, bounds, mid + 1, high)} END")
+
+
+def _by_batch(spark: SparkSession, parts: str, folder: str) -> dict[str, list[str]]:
+    """The file of every batch and the files of its ranges in order (names alone)."""
+    listed = spark.read.format("binaryFile").load(parts).inputFiles() if _exists(spark, parts) else []
+    found: dict[str, list[tuple]] = {}
+    for path in (unquote(p) for p in listed):
+        batch, number, name = path.split("/")[-3:]
+        found.setdefault(f"{folder}/{batch}/postings.csv", []).append((int(number.split("=")[1]), name, path))
+    return {target: [path for *_, path in sorted(ranges)] for target, ranges in found.items()}
+
+
 def write_order_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """16 files of order numbers and priorities, a header line first."""
     orders = read_table(spark, sf_dir, "orders").select(

@@ -17,6 +17,7 @@ import csv
 import hashlib
 import io
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -60,14 +61,44 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         file_key(F.col("file_path"), True).alias("file_path"))
 
 
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    if "://" not in path:
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
+
+
 def open_file(path: str):
     """A binary stream of a file named as Spark names it."""
-    if "://" not in path:
-        return fs.LocalFileSystem().open_input_stream(re.sub("^file:/+", "/", path), compression=None)
-    store, name = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
+    store, name = _store(path)
     return store.open_input_stream(name, compression=None)
 
 
+def join_files(spark: SparkSession, joined: dict[str, list[str]], head: bytes, packed: str | None = None) -> None:
+    """Write each file (a key) from a head and the contents of its parts in order, a block at a time in a task per file.
+
+    ``packed`` names the compression of the parts.  A file gets its name when it is whole.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for target, parts in zip(*(column.to_pylist() for column in batch.columns)):
+                store, name = _store(target)
+                folder, _, last = name.rpartition("/")
+                store.create_dir(folder, recursive=True)
+                own = f"{folder}/.{last}-{uuid.uuid4().hex}"  # listings leave hidden files out
+                with store.open_output_stream(own, compression=None) as out:
+                    out.write(head)
+                    for part in parts:
+                        with open_file(part) as raw:
+                            text = pa.CompressedInputStream(raw, packed) if packed else raw
+                            for block in iter(lambda: text.read(BLOCK_BYTES), b""):
+                                out.write(block)
+                store.move(own, name)
+                yield batch.slice(0, 0).select([0])
+
+    rows = spark.createDataFrame(list(joined.items()), "target string, parts array<string>")
+    rows.repartition(max(1, len(joined))).mapInArrow(run, "target string").write.format("noop").mode("overwrite").save()
+
+
 class _Hashed(io.RawIOBase):
     """Reads through a stream and keeps the md5 and size of all that was read."""
 

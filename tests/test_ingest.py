@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import glob
 import gzip
 import hashlib
@@ -262,3 +263,23 @@ def test_run_build_chains_the_three_steps(spark):
     assert len(results) == 59
     failing = {name for name, n in results if n}
     assert failing <= {"unique(stg_job_skills_exploded.skill_assignment_id)"}
+
+
+@pytest.mark.parametrize("range_orders", [7, 250_000])
+def test_posting_files_are_joined_from_sorted_ranges(spark, monkeypatch, range_orders):
+    """One file per batch, its rows in source order, however many ranges are sorted on their own."""
+    from postline.plans import csv_loads
+    joined = {}
+    join = files.join_files
+    monkeypatch.setattr(csv_loads, "RANGE_ORDERS", range_orders)
+    monkeypatch.setattr(csv_loads.files, "join_files", lambda s, parts, *rest: (joined.update(parts), join(s, parts, *rest)))
+    folder = csv_loads.write_posting_files(spark, SF_SMALL, tempfile.mkdtemp(prefix="postline-test-csv-") + "/csv")
+    assert not os.path.exists(f"{folder}-ranges")
+    assert all(len(parts) > 4 if range_orders == 7 else len(parts) == 1 for parts in joined.values())
+    source = postings_source(spark, SF_SMALL).orderBy("batch", "source_row").collect()
+    for batch in sorted({r.batch for r in source}):
+        (path,) = glob.glob(f"{folder}/batch={batch}/*")
+        with open(path, newline="") as fh:
+            lines = list(csv.reader(fh))
+        assert lines[0] == SOURCE_COLUMNS
+        assert lines[1:] == [[r[c] or "" for c in SOURCE_COLUMNS] for r in source if r.batch == batch]

@@ -154,3 +154,13 @@ def test_links_and_folds_of_one_large_posting(spark):
     folded = pairs.select(dedup.fold_pairs(F.col("p")).alias("m")).selectExpr("size(m) AS n", "size(m['c7']) AS k").first()
     assert (folded["n"], folded["k"]) == (100, n // 100)
     assert time.monotonic() - started < 60
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shared_staging_is_stored_in_columns(small_landing):
+    """A consumer of the shared staged relation reads its columns alone."""
+    staged = models.shared_models(small_landing, models.RUN_TS)["stg_raw_jobs"].select("business_key")
+    assert "parquet" in _plan(staged) and "job_skills_array" not in _plan(staged)

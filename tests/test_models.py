@@ -160,6 +160,14 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_skill_dimension_merges_the_landing_rows_once(spark, small_landing, small_models):
+    """Both exploded relations read a stored copy; the merge per business key is no part of the plan."""
+    got = models.skill_dimension(small_landing, models.RUN_TS)
+    assert "collect_set" not in _plan(got)
+    names = lambda df: _rows(df.select("skill_id", "skill_name"))
+    assert names(got) == names(small_models["skill"])
+
+
 def test_shared_staging_is_stored_in_columns(small_landing):
     """A consumer of the shared staged relation reads its columns alone."""
     staged = models.shared_models(small_landing, models.RUN_TS)["stg_raw_jobs"].select("business_key")

@@ -8,8 +8,9 @@
 3. For 2 to ``longest`` words, each window's ids are packed into one number, which an
    invertible permutation spreads evenly.  Its upper bits are the quotient, the
    rest the full remainder, so a filter's entry names exactly one n-gram.  A filter
-   keeps its entries in order with their counts; a quotient is not stored per entry
-   but as the number of its entries, a remainder in as many bytes as it needs.
+   keeps its entries in order with their counts; a remainder is stored in as many bytes
+   as it needs, a quotient as the number of its entries or, where there are fewer entries
+   than quotients, as the step from the entry before.
    Tasks count into filters of a bounded size; the filters are cut by quotient into
    shards, each shard's filters are merged in order, and the entries with at least
    ``min_count`` are turned back into ids.
@@ -49,6 +50,7 @@ WORDS_AT_ONCE = 400_000   # distinct words a task counts before it passes them o
 KEYS_AT_ONCE = 2_000_000  # windows a task collects before it sorts them into its filter
 FILTER_KEYS = 3_000_000   # entries of a task's filter
 SHARD_WORDS = 4_000_000   # words of the corpus for each shard
+SHARDS_A_TASK = 8         # several small shards a task even out how they are dealt
 CHUNK = 1 << 20           # ids of a row
 BLOOM_BITS = 26
 BUCKETS = 4096
@@ -186,7 +188,11 @@ class QuotientFilter:
         return self
 
     def cut(self, shards: int) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
-        """(shard, its first quotient, entries of each quotient, remainders, counts): a shard is a range of quotients."""
+        """(shard, its first quotient, quotients, remainders, counts): a shard is a range of quotients.
+
+        The quotients are the entries of each, or, below a first quotient of ``~base``, the steps between those of the
+        entries, so they never take more than the entries do.
+        """
         self.settle()
         low = np.uint64(8 * self.packing.low_bytes)
         quotients = (self.limbs[0] >> low).astype(np.int64)
@@ -196,7 +202,10 @@ class QuotientFilter:
             if a == b:
                 continue
             base = shard * size
-            runs = np.bincount(quotients[a:b] - base)
+            if int(quotients[b - 1]) - base < b - a:
+                runs = np.bincount(quotients[a:b] - base)
+            else:
+                runs, base = np.diff(quotients[a:b], prepend=base), ~base
             rest = [(self.limbs[0][a:b] & np.uint64((1 << int(low)) - 1)), *(limb[a:b] for limb in self.limbs[1:])]
             stored = [r.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :s] for r, s in zip(rest, self.packing.sizes) if s]
             data = np.concatenate(stored, axis=1).tobytes() if stored else b""
@@ -205,7 +214,10 @@ class QuotientFilter:
     def read(self, base: int, runs: bytes, data: bytes, counts: bytes) -> None:
         """Merge a stored part."""
         lengths, n = np.frombuffer(runs, "<u4"), len(counts) // 4
-        quotients = np.repeat(np.arange(len(lengths)) + base, lengths).astype(np.uint64)
+        if base < 0:
+            quotients = (np.cumsum(lengths, dtype=np.int64) + ~base).astype(np.uint64)
+        else:
+            quotients = np.repeat(np.arange(len(lengths)) + base, lengths).astype(np.uint64)
         rows, limbs, at = np.frombuffer(data, np.uint8).reshape(n, -1), [], 0
         for size in self.packing.sizes:
             wide = np.zeros((n, 8), np.uint8)
@@ -353,7 +365,7 @@ def _windows(ids: np.ndarray, fresh: int, packings: list[Packing], blooms: list[
 
 def count_phrases(encoded: DataFrame, packings: list[Packing], blooms: list, tasks: int, min_count: int) -> DataFrame:
     """(ids, a): the phrases of ``packings[-1].n`` words with at least ``min_count`` occurrences."""
-    packing, shards = packings[-1], 8 * tasks  # several small shards a task even out how they are dealt
+    packing, shards = packings[-1], SHARDS_A_TASK * tasks
     schema = "shard int, base long, runs binary, data binary, counts binary"
     kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
     names = ["shard", "base", "runs", "data", "counts"]
@@ -446,7 +458,8 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
         encoded = encode_texts(sources, words, broadcast_words)
         packings, blooms = [], []
         for n in range(2, longest + 1):
-            packings.append(Packing(n, bits, min(31, 16 + tasks.bit_length())))
+            # enough quotients to cut into shards: any more would be empty ones
+            packings.append(Packing(n, bits, min(31, 4 + (SHARDS_A_TASK * tasks).bit_length())))
             phrases = count_phrases(encoded, packings, blooms, tasks, min_count)
             if phrases.isEmpty():
                 break

@@ -105,6 +105,20 @@ def test_filter_is_lossless(n, bits):
     assert Counter(map(tuple, rows.tolist())) == Counter({tuple(r): c for r, c in zip(back.tolist(), whole.counts.tolist())})
 
 
+@pytest.mark.parametrize("entries", [1, 40, 70_000])
+def test_stored_quotients_take_no_more_than_the_entries(entries):
+    rows = np.random.default_rng(entries).integers(0, 1 << 16, (entries, 5))
+    packing = Packing(5, 16, 16)
+    one, back = QuotientFilter(packing), QuotientFilter(packing)
+    one.add(packing.pack(list(rows.T)))
+    parts = list(one.cut(8))
+    assert sum(len(part[2]) for part in parts) <= 4 * len(one.counts)
+    for _, *stored in parts:
+        back.read(*stored)
+    back.settle()
+    assert all((a == b).all() for a, b in zip([*one.limbs, one.counts], [*back.limbs, back.counts]))
+
+
 def test_scores_beyond_64_bits(spark):
     from pyspark.sql import functions as F
     a, n, left, right = 9 * 10**14, 9 * 10**15, 10**15, 10**15

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shared import one_col
 from postline.functions.literals import invalid_flag, missing_flag, parse_list, parse_map
@@ -108,3 +109,24 @@ def test_property_maps_keep_their_words(spark, rows, pad):
     cells = [repr({pad + k: [_cell_item(s) for s in slots] for k, slots in row.items()}) for row in rows]
     want = [{k: _values(slots) for k, slots in row.items() if _values(slots)} or None for row in rows]
     assert run_map(spark, cells) == want
+
+
+def test_clean_cells_skip_cleaning_and_give_the_same(spark):
+    """Cells that are known to need no cleaning: what they give is what the cleaned path gives, and no other cell is among them."""
+    from postline.functions import literals as lit
+    clean = ["['a']", " [ 'a b' , \"it's\", 'x' ] ", "['nullable', 'nones', 'a-é-z']"]
+    odd = ["[]", "['']", "[' a']", "['a ']", "['Null']", "['NONE', 'a']", "['nan']", "['\u00a0a']", "['a', ]", "['a'", "[broken, list", "('a',)",
+           "['a'] # ]", "(['a'])", "", None, "N/A", "[1, 'a']", "['a\\'b']"]
+    df = one_col(spark, clean + odd)
+    rows = df.select("v", F.expr(lit.clean_list_cell_sql("v")).alias("k"), parse_list("v").alias("want"))
+    assert [r.k for r in rows.collect()] == [True] * len(clean) + [False] * len(odd)
+    lit.register_udfs(spark)
+    read = df.selectExpr("v", lit.parsed_list_sql("v") + " AS p", lit.clean_list_cell_sql("v") + " AS k")
+    got = read.selectExpr("v", lit.cleaned_list_sql("p", "k") + " AS got").selectExpr("v", "CASE WHEN size(got) > 0 THEN got END AS got")
+    assert [r.got for r in got.collect()] == [r.want for r in rows.collect()]
+    wrap = lambda c: None if c is None else "{'k': " + c + ", \"j\": ['b']}"
+    maps = one_col(spark, [wrap(c) for c in clean + odd] + ["{' k': ['a']}", "{'None': ['a']}", "{'k': ['a'], 'k': ['b']}", "{'k': 'a'}", "{no dict", "{}"])
+    read = maps.selectExpr("v", lit.parsed_map_sql("v") + " AS p", lit.clean_dict_cell_sql("v") + " AS k")
+    assert [r.k for r in read.limit(len(clean)).collect()] == [True] * len(clean)
+    got = read.selectExpr(lit.cleaned_entries_sql("p", "k") + " AS e").selectExpr("CASE WHEN size(e) > 0 THEN map_from_entries(e) END AS got")
+    assert [r.got for r in got.collect()] == [r.want for r in maps.select(parse_map("v").alias("want")).collect()]

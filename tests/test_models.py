@@ -68,6 +68,36 @@ def test_hot_key_holding_a_third_of_rows(small_landing):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_rows_of_small_keys_are_not_expanded(small_landing, monkeypatch):
+    """Only keys of many items are expanded; whatever the limit is, the staged rows are the same."""
+    merge = lambda: dedup.dedup_merge(small_landing, models.RUN_TS)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan(merge())
+    want = _rows(_flat_stg(dedup.dedup_merge_joined(small_landing, models.RUN_TS)))
+    for limit in (0, 12):
+        monkeypatch.setattr(dedup, "WHOLE_ITEMS", limit)
+        assert "Generate" in plan(merge())
+        assert _rows(_flat_stg(merge())) == want
+
+
+def test_merge_of_odd_sets(spark, monkeypatch):
+    """Blank and null items, no sets at all, a map without pairs, rows with equal places."""
+    raw = spark.createDataFrame(
+        [(1, "x", [" a", "b", "a ", "", None], {"k": ["v", " v"], " ": ["z"]}), (2, "X ", ["c"], None),
+         (3, "y", None, {" ": ["q"]}), (4, "z", [], None), (4, "z", ["d"], {"m": ["n"], "k": ["o"]}), (5, None, None, None)],
+        "id long, company_name string, job_skills array<string>, job_type_skills map<string,array<string>>")
+    for c in dedup.POSTING_COLUMNS:
+        if c not in raw.columns:
+            kind = "decimal(12,2)" if c.startswith("salary_") and c != "salary_rate" else "string"
+            raw = raw.withColumn(c, F.lit(None).cast(kind))
+    raw = raw.withColumn("ingested_at", F.lit(None).cast("timestamp"))
+    want = {1: ("a|b|c", "k:v"), 3: ("", " :q"), 4: ("d", "k:o;m:n"), 5: ("", "")}
+    for limit in (1000, 3, 0):
+        monkeypatch.setattr(dedup, "WHOLE_ITEMS", limit)
+        got = {r.raw_job_id: (r.s, r.t) for r in _flat_stg(dedup.dedup_merge(raw, models.RUN_TS)).collect()}
+        assert got == want, limit
+
+
 def test_bridge_row_local_equals_relational(small_models):
     m = small_models
     joined = bridge.job_skill_joined(m["stg_job_skills_exploded"], m["stg_job_type_skills_exploded"], m["skill"],
